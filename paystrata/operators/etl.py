@@ -37,12 +37,23 @@ def add_key(payments: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return payments.select(key, *PAYMENT_COLUMNS[1:], *carry)
 
 
-def split_lines(lines: DataFrame) -> DataFrame:
-    return lines.withColumn(_FIELDS, f.split_fields(F.col("value")))
+def split_lines(lines: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """``value`` and its fields.
+
+    The one-element explode keeps later filters above the split. Without it the
+    optimizer copies the split into the filter and each line is split twice.
+    """
+    split_once = F.explode(F.array(f.split_fields(F.col("value")))).alias(_FIELDS)
+    return lines.select("value", split_once, *carry)
+
+
+def raw_field(name: str) -> Column:
+    """A record field of a split line, quotes and all."""
+    return F.get(F.col(_FIELDS), F.lit(SOURCE_POSITIONS[name]))
 
 
 def _from_fields(name: str, strip_amount_quotes: bool) -> Column:
-    raw = F.get(F.col(_FIELDS), F.lit(SOURCE_POSITIONS[name]))
+    raw = raw_field(name)
     if name != "amount":
         return f.strip_quotes(raw).alias(name)
     return f.lenient_amount(f.strip_quotes(raw) if strip_amount_quotes else raw).alias(name)
@@ -59,7 +70,7 @@ def parse_lines(
     Quotes are dropped from every field but the amount, so a quoted amount
     counts as 0.0 unless ``strip_amount_quotes`` is set.
     """
-    rows = split_lines(lines).filter(F.size(_FIELDS) >= MIN_FIELDS)
+    rows = split_lines(lines, carry).filter(F.size(_FIELDS) >= MIN_FIELDS)
     typed = rows.select(
         *[_from_fields(name, strip_amount_quotes) for name in SOURCE_POSITIONS], *carry
     )

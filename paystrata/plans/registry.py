@@ -112,9 +112,10 @@ def build_id(spark: SparkSession, folder: str) -> DataFrame:
 
 def reject_lines(lines: DataFrame) -> DataFrame:
     """Lines without a specialty are cut after 20 fields, which is too short."""
-    specialty = F.get(fields.split_fields(F.col("value")), F.lit(19))
-    cut = F.array_join(F.slice(fields.split_fields(F.col("value")), 1, 20), ",")
-    damaged = lines.select(F.when(specialty == "", cut).otherwise(F.col("value")).alias("value"))
+    rows = etl.split_lines(lines)
+    cut = F.array_join(F.slice("_fields", 1, 20), ",")
+    whole = etl.raw_field("physician_specialty") != ""
+    damaged = rows.select(F.when(whole, F.col("value")).otherwise(cut).alias("value"))
     return etl.rejected_lines(damaged).groupBy("n_fields").agg(F.count("*").alias("n_lines"))
 
 

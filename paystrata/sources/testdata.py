@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paystrata.functions.fields import split_fields, strip_quotes
-from paystrata.operators.etl import add_key
+from paystrata.functions.fields import strip_quotes
+from paystrata.operators.etl import add_key, raw_field, split_lines
 from paystrata.schema import CSV_COLUMNS, PAYMENT_COLUMNS, SOURCE_NAMES
 from paystrata.session import new_folder, partitions_for
 from paystrata.sinks.layouts import write_by_payer, write_sorted
@@ -162,9 +162,8 @@ def topics_root(spark: SparkSession, folder: str) -> str:
     """Two published topics: payers ending in 0-4, and the others."""
 
     def write(path: str, _size: int) -> None:
-        lines = read_lines(spark, csv_path(spark, folder))
-        payer = strip_quotes(F.get(split_fields(F.col("value")), F.lit(27)))
-        low = F.coalesce(F.right(payer, F.lit(1)) < "5", F.lit(False))
+        lines = split_lines(read_lines(spark, csv_path(spark, folder)))
+        low = F.coalesce(F.right(strip_quotes(raw_field("payer")), F.lit(1)) < "5", F.lit(False))
         publish_to_folder(lines.filter(low), f"{path}/{TOPICS[0]}")
         publish_to_folder(lines.filter(~low), f"{path}/{TOPICS[1]}")
 
