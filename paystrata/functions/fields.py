@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,13 +14,42 @@ _QUOTED = r'"[^"]*+"'
 _FIELD = rf'[^",]*+(?:{_QUOTED}[^",]*+)*+'
 _ODD_QUOTES_AHEAD = rf'(?=[^"]*+(?:{_QUOTED}[^"]*+)*+"[^"]*+\z)'
 # With an odd count no comma before the first quote has an even number after it.
-_UNPAIRED_START = rf'(?:\A{_ODD_QUOTES_AHEAD}[^"]*+")?+'
-FIELD_PATTERN = rf"(?:\A|,)({_UNPAIRED_START}{_FIELD})"
+_UNPAIRED_START = rf'(?:{_ODD_QUOTES_AHEAD}[^"]*+")?+'
+# Fields of a line with a comma put before it, so that no match is empty.
+_NEXT_FIELD = rf",((?:(?<=\A,){_UNPAIRED_START})?+{_FIELD})"
+_MARK = "\u0001"
 
 
 def split_fields(line: Column) -> Column:
     """Quote-aware comma split; blank fields at the end are kept."""
-    return F.regexp_extract_all(line, F.lit(FIELD_PATTERN), F.lit(1))
+    return F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_NEXT_FIELD), F.lit(1))
+
+
+def _pick_pattern(positions: Sequence[int]) -> str:
+    """A whole line, with a group for each wanted field."""
+    pattern = r"\A"
+    for place in range(positions[-1] + 1):
+        field = f",{_FIELD}" if place else f"{_UNPAIRED_START}{_FIELD}"
+        if place in positions:
+            field = f",({field[1:]})" if place else f"({field})"
+        pattern += field
+    return pattern + r"(?s:,.*+)?+\z"
+
+
+def pick_fields(line: Column, positions: Sequence[int]) -> Column:
+    """The fields of ``split_fields`` at some ascending positions, as an array.
+
+    One match rewrites the line to the wanted fields between marks, which is
+    cheaper than making every field. A line that already holds the mark is
+    matched once per field. A line without all the positions gives one element.
+    """
+    pattern = _pick_pattern(positions)
+    groups = range(1, len(positions) + 1)
+    marked = F.regexp_replace(line, pattern, _MARK.join(f"${n}" for n in groups))
+    one_by_one = F.when(
+        line.rlike(pattern), F.array(*[F.regexp_extract(line, pattern, n) for n in groups])
+    ).otherwise(F.array(line))
+    return F.when(line.contains(_MARK), one_by_one).otherwise(F.split(marked, _MARK))
 
 
 def strip_quotes(field: Column) -> Column:

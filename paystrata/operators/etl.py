@@ -17,6 +17,7 @@ from paystrata.schema import (
 )
 
 _FIELDS = "_fields"
+_PICKED = sorted(SOURCE_POSITIONS.values())
 _KEY_PARTS = ("physician_id", "date_payment", "record_id")
 
 
@@ -37,14 +38,18 @@ def add_key(payments: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return payments.select(key, *PAYMENT_COLUMNS[1:], *carry)
 
 
-def split_lines(lines: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """``value`` and its fields.
+def _split_once(fields: Column) -> Column:
+    """One-element explode, which keeps later filters above the split.
 
-    The one-element explode keeps later filters above the split. Without it the
-    optimizer copies the split into the filter and each line is split twice.
+    Without it the optimizer copies the split into the filter, and every line
+    is split twice.
     """
-    split_once = F.explode(F.array(f.split_fields(F.col("value")))).alias(_FIELDS)
-    return lines.select("value", split_once, *carry)
+    return F.explode(F.array(fields)).alias(_FIELDS)
+
+
+def split_lines(lines: DataFrame) -> DataFrame:
+    """``value`` and the array of all its fields."""
+    return lines.select("value", _split_once(f.split_fields(F.col("value"))))
 
 
 def raw_field(name: str) -> Column:
@@ -52,8 +57,8 @@ def raw_field(name: str) -> Column:
     return F.get(F.col(_FIELDS), F.lit(SOURCE_POSITIONS[name]))
 
 
-def _from_fields(name: str, strip_amount_quotes: bool) -> Column:
-    raw = raw_field(name)
+def _picked(name: str, strip_amount_quotes: bool) -> Column:
+    raw = F.get(F.col(_FIELDS), F.lit(_PICKED.index(SOURCE_POSITIONS[name])))
     if name != "amount":
         return f.strip_quotes(raw).alias(name)
     return f.lenient_amount(f.strip_quotes(raw) if strip_amount_quotes else raw).alias(name)
@@ -70,9 +75,10 @@ def parse_lines(
     Quotes are dropped from every field but the amount, so a quoted amount
     counts as 0.0 unless ``strip_amount_quotes`` is set.
     """
-    rows = split_lines(lines, carry).filter(F.size(_FIELDS) >= MIN_FIELDS)
+    fields = _split_once(f.pick_fields(F.col("value"), _PICKED))
+    rows = lines.select(fields, *carry).filter(F.size(_FIELDS) == len(_PICKED))
     typed = rows.select(
-        *[_from_fields(name, strip_amount_quotes) for name in SOURCE_POSITIONS], *carry
+        *[_picked(name, strip_amount_quotes) for name in SOURCE_POSITIONS], *carry
     )
     records = add_key(typed, carry)
     return records if raw_blanks else normalize_blanks(records)

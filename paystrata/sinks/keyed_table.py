@@ -13,7 +13,7 @@ import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,17 +102,13 @@ class KeyedTable:
         out.write.mode("overwrite").parquet(self._batch_path(run_id, batch_id))
 
     def _newest(self) -> DataFrame:
-        """Row number one per key: each map task passes on one row per key at most."""
-        names = [field.name for field in self.schema]
-        order = [_RUN, _BATCH, SEQUENCE] + [n for n in names if n not in self.keys]
-        window = Window.partitionBy(*self.keys).orderBy(
-            *[F.col(name).desc_nulls_last() for name in order]
-        )
+        """The greatest row per key; each map task passes on one row per key at most."""
+        rest = [field.name for field in self.schema if field.name not in self.keys]
+        newest = F.max(F.struct(_RUN, _BATCH, SEQUENCE, *rest)).alias("newest")
         return (
-            self._log()
-            .withColumn("_rank", F.row_number().over(window))
-            .filter(F.col("_rank") == 1)
-            .select(*names)
+            self._log().groupBy(*self.keys).agg(newest)
+            .select(*self.keys, *[F.col(f"newest.{name}").alias(name) for name in rest])
+            .select(*[field.name for field in self.schema])
         )
 
     def current(self) -> DataFrame:

@@ -35,7 +35,13 @@ def spark_rows(frame) -> list[tuple]:
     return as_rows(frame.columns, [tuple(row) for row in frame.collect()])
 
 
-def duck_rows(connection, sql: str) -> tuple[list[str], list[tuple]]:
-    cursor = connection.execute(sql)
-    columns = [d[0] for d in cursor.description]
-    return columns, as_rows(columns, cursor.fetchall())
+_TYPES = {
+    "VARCHAR": "string", "DOUBLE": "double", "BIGINT": "bigint", "INTEGER": "int",
+}
+
+
+def duck_rows(connection, sql: str) -> tuple[dict[str, str], list[tuple]]:
+    """Column types by Spark's names, and the rows."""
+    result = connection.sql(sql)
+    types = {n: _TYPES.get(str(t), str(t)) for n, t in zip(result.columns, result.types)}
+    return types, as_rows(result.columns, result.fetchall())
