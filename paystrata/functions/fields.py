@@ -64,25 +64,27 @@ def null_to_blank(field: Column) -> Column:
     return F.coalesce(field, F.lit(""))
 
 
-def lenient_amount(text: Column) -> Column:
-    """Number, or 0.0 where the text is not one.
+def _number(text: Column) -> Column:
+    """Number, or NULL where the text is not one.
 
     The cast also takes spellings such as ``inf`` and ``nan``; only ``Infinity``
-    and ``NaN`` in exactly that form are numbers here.
+    and ``NaN`` in exactly that form are numbers here. Each of them has an n.
     """
-    number = text.try_cast("double")
-    special = F.isnan(number) | (F.abs(number) == float("inf"))
-    loose_spelling = text.rlike("(?i)inf|nan") & ~text.rlike("Infinity|NaN")
-    return F.when(special & loose_spelling, F.lit(0.0)).otherwise(
-        F.coalesce(number, F.lit(0.0))
+    has_n = text.contains("n") | text.contains("N")
+    return F.when(has_n & ~text.rlike("Infinity|NaN"), F.lit(None)).otherwise(
+        text.try_cast("double")
     )
 
 
+def lenient_amount(text: Column) -> Column:
+    """Number, or 0.0 where the text is not one."""
+    return F.coalesce(_number(text), F.lit(0.0))
+
+
 def strict_amount(text: Column) -> Column:
     """Number; the job fails on missing or bad text."""
-    return F.when(text.isNull(), F.raise_error(F.lit("amount is missing")).cast("double")).otherwise(
-        text.cast("double")
-    )
+    shown = F.coalesce(text, F.lit("nothing"))
+    return F.coalesce(_number(text), F.raise_error(F.concat(F.lit("not an amount: "), shown)))
 
 
 def payment_key(physician_id: Column, date_payment: Column, record_id: Column) -> Column:

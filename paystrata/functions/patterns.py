@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 _MANY, _ONE = object(), object()
 _ESCAPE = "#"
+_TO_END = 2**31 - 1
 
 
 def _tokens(pattern: str) -> list:
@@ -47,6 +48,8 @@ def matches(column: Column, pattern: str) -> Column:
         return column.endswith(tokens[1])
     if shape == [_MANY, str, _MANY]:
         return column.contains(tokens[1])
+    if shape == [_MANY, _ONE, str, _MANY]:
+        return F.substring(column, 2, _TO_END).contains(tokens[2])
     text = ""
     for token in tokens:
         if token is _MANY:
@@ -80,6 +83,7 @@ def condition(where: dict) -> Column:
     return result
 
 
+# The two patterns for February.
 FEBRUARY_WILDCARD = "%_02/%"
 FEBRUARY_EXACT = "%[_]02/%"
 

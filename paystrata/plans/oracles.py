@@ -65,13 +65,13 @@ _MARKS = f"""{_REPORT}, marks AS (
 )"""
 
 
-def _latest(batch: str) -> str:
+def _latest(batch: str, columns: str = _ALL, rest: str = "") -> str:
     """The winning row per key: the later batch, then the greater row."""
-    rest = ", ".join(f"{c} DESC NULLS LAST" for c in PAYMENT_COLUMNS if c != "_id")
+    order = ", ".join(f"{c} DESC NULLS LAST" for c in PAYMENT_COLUMNS if c != "_id")
     return f"""{_PAYMENTS}, ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY _id ORDER BY {batch} DESC, {rest}) AS place
+  SELECT *, row_number() OVER (PARTITION BY _id ORDER BY {batch} DESC, {order}) AS place
   FROM payments
-) SELECT {_ALL} FROM ranked WHERE place = 1"""
+) SELECT {columns} FROM ranked WHERE place = 1 {rest}""".rstrip()
 
 
 def _source_value(name: str) -> str:
@@ -248,6 +248,10 @@ FROM payments p WHERE NOT EXISTS (
     ),
     "stream_upsert": _latest(f"CASE WHEN {_LOW_PAYER} THEN 0 ELSE 1 END"),
     "stream_replay_idempotent": _latest(f"CASE WHEN {_LOW_PAYER} THEN 0 ELSE 1 END"),
+    "stream_report_keyed": _latest(
+        f"CASE WHEN {_LOW_PAYER} THEN 0 ELSE 1 END",
+        f"{_DIMS}, round(sum(amount), 2) AS us_dollars", f"GROUP BY {_DIMS}",
+    ),
     "stream_report": _select(
         f"{_DIMS}, round(sum(amount), 2) AS us_dollars", f"GROUP BY {_DIMS}"
     ),

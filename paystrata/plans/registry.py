@@ -260,6 +260,13 @@ def stream_report(spark: SparkSession, folder: str) -> DataFrame:
     return _cents(table.current(), "us_dollars")
 
 
+def stream_report_keyed(spark: SparkSession, folder: str) -> DataFrame:
+    """The report read again from the keyed table that a stream has filled."""
+    table = KeyedTable(spark, new_folder(spark, "stream-keyed")).create()
+    _stream_into(spark, folder, table, 0)
+    return _cents(report.open_payments(table.current()), "us_dollars")
+
+
 QUERIES: dict[str, Query] = {
     # Sources
     "scan_csv": scan_csv,
@@ -386,4 +393,5 @@ QUERIES: dict[str, Query] = {
     "stream_upsert": stream_upsert,
     "stream_replay_idempotent": stream_replay_idempotent,
     "stream_report": stream_report,
+    "stream_report_keyed": stream_report_keyed,
 }

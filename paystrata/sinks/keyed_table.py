@@ -1,10 +1,10 @@
 """A Parquet table with one current row per key.
 
-A table is two folders: ``base`` holds at most one row per key, ``log`` holds
-every batch written since, one folder per (run, batch). A write touches only
-its own batch folder, so a repeated batch replaces itself. Reading puts the
-newest log row of each key in place of the base row. ``compact`` writes the
-current rows as the base of a new table.
+A table is a folder ``log`` with every batch written, one folder per (run,
+batch), and after compaction a folder ``base`` with at most one row per key. A
+write touches only its own batch folder, so a repeated batch replaces itself.
+Reading puts the newest log row of each key in place of the base row.
+``compact`` writes the current rows as the base of a new table.
 """
 
 from __future__ import annotations
@@ -47,36 +47,34 @@ class KeyedTable:
 
     def create(self) -> KeyedTable:
         """Make an empty table; the path must be free."""
-        empty = self.spark.createDataFrame([], self.schema)
-        empty.write.mode("errorifexists").parquet(f"{self.path}/base")
-        return self._create_log()
-
-    def _create_log(self) -> KeyedTable:
-        empty = self.spark.createDataFrame([], self._log_schema)
-        empty.drop(_RUN, _BATCH).write.parquet(self._batch_path("none", 0))
+        empty = self.spark.createDataFrame([], self._log_schema).drop(_RUN, _BATCH)
+        empty.write.mode("errorifexists").parquet(self._batch_path("none", 0))
         return self
 
     def _batch_path(self, run_id: str, batch_id: int) -> str:
         return f"{self.path}/log/{_RUN}={run_id}/{_BATCH}={batch_id}"
 
-    def require(self) -> None:
-        """Writing never makes a table: a missing one is an error."""
+    def _read(self, part: str, schema: T.StructType) -> DataFrame | None:
+        path = f"{self.path}/{part}"
         try:
-            self._base()
+            return self.spark.read.schema(schema).option("basePath", path).parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            raise FileNotFoundError(f"no keyed table at {self.path}") from error
+            return None
 
-    def _base(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/base")
+    def _base(self) -> DataFrame | None:
+        return self._read("base", self.schema)
 
     def _log(self) -> DataFrame:
-        return (
-            self.spark.read.schema(self._log_schema)
-            .option("basePath", f"{self.path}/log")
-            .parquet(f"{self.path}/log")
-        )
+        log = self._read("log", self._log_schema)
+        if log is None:
+            raise FileNotFoundError(f"no keyed table at {self.path}")
+        return log
+
+    def require(self) -> None:
+        """Writing never makes a table: a missing one is an error."""
+        self._log()
 
     def upsert(
         self, rows: DataFrame, run_id: str, batch_id: int = 0, files: int | None = None
@@ -113,14 +111,18 @@ class KeyedTable:
 
     def current(self) -> DataFrame:
         """One row per key. A base row stands unless the log knows its key."""
-        self.require()
-        base = self._base().alias("base")
-        changed = self._log().select(*self.keys).distinct().alias("log")
+        newest, base = self._newest(), self._base()
+        if base is None:
+            return newest
+        left, right = base.alias("base"), self._log().select(*self.keys).distinct().alias("log")
         same_key = [F.col(f"base.{k}").eqNullSafe(F.col(f"log.{k}")) for k in self.keys]
-        return base.join(changed, same_key, "left_anti").unionByName(self._newest())
+        return left.join(right, same_key, "left_anti").unionByName(newest)
 
     def compact(self, path: str, partitions: int | None = None) -> KeyedTable:
-        """The current rows as the sorted base of a new table at ``path``."""
+        """The current rows as the sorted base of a new table at ``path``.
+
+        The log comes last: until the base is complete there is no table.
+        """
         target = KeyedTable(self.spark, path, self.schema, self.keys)
         write_sorted(self.current(), f"{target.path}/base", self.keys, partitions=partitions)
-        return target._create_log()
+        return target.create()

@@ -29,9 +29,13 @@ def topic_names(topics: str) -> list[str]:
 
 
 def kafka_options(
-    topics: str, brokers: str, group: str | None = None, poll_timeout_ms: int = 5000
+    topics: str, brokers: str, group: str | None = None, poll_timeout_ms: int = 5000,
+    max_offsets_per_trigger: int | None = None,
 ) -> dict[str, str]:
-    """Read from the beginning; the checkpoint, not the broker, keeps offsets."""
+    """Read from the beginning; the checkpoint, not the broker, keeps offsets.
+
+    ``max_offsets_per_trigger`` cuts a long backlog into micro-batches.
+    """
     options = {
         "kafka.bootstrap.servers": brokers,
         "subscribe": ",".join(topic_names(topics)),
@@ -40,6 +44,8 @@ def kafka_options(
     }
     if group:
         options["groupIdPrefix"] = group
+    if max_offsets_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     return options
 
 

@@ -77,6 +77,8 @@ def test_writing_needs_an_existing_table(spark):
         missing.upsert(rows(spark, ("a", 1.0)), "r0")
     with pytest.raises(FileNotFoundError):
         missing.current()
+    with pytest.raises(Exception, match="already exists"):
+        KeyedTable(spark, new_folder(spark, "twice")).create().create()
     with pytest.raises(FileNotFoundError):
         jobs.upsert_parsed(None, missing, "r0", "unused")
 

@@ -37,7 +37,8 @@ def test_topic_names():
 
 
 def test_kafka_options():
-    options = topics.kafka_options("a,b,a", "host:1", group="g")
+    options = topics.kafka_options("a,b,a", "host:1", group="g", max_offsets_per_trigger=9)
+    assert options["maxOffsetsPerTrigger"] == "9"
     assert options["subscribe"] == "a,b" and options["startingOffsets"] == "earliest"
     assert options["groupIdPrefix"] == "g" and options["kafkaConsumer.pollTimeoutMs"] == "5000"
 
