@@ -69,7 +69,6 @@ CSV_COLUMNS: list[str] = (
     + ["Program_Year", "Payment_Publication_Date"]
 )
 CSV_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in CSV_COLUMNS])
-CSV_HEADER = ",".join(CSV_COLUMNS)
 
 # Record field -> source column. The amount and the key are handled apart.
 SOURCE_NAMES: dict[str, str] = {

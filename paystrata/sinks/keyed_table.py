@@ -79,11 +79,12 @@ class KeyedTable:
     def upsert(
         self, rows: DataFrame, run_id: str, batch_id: int = 0, files: int | None = None
     ) -> None:
-        """Write one batch; no shuffle. Later (run, batch) pairs win over earlier ones.
+        """Write one batch. Later (run, batch) pairs win over earlier ones.
 
         Inside a batch the row with the greater ``_seq`` wins, and without that
         the greater row by its columns in schema order. A ``_seq`` without a
         position gets the row's place in its task, which follows the split it read.
+        ``files`` sets the number of files, at the price of a shuffle.
         """
         if not re.fullmatch(r"[\w.-]+", run_id):
             raise ValueError(f"run id {run_id!r} cannot name a folder")
@@ -96,7 +97,7 @@ class KeyedTable:
             sequence = F.lit(None).cast(SEQUENCE_TYPE).alias(SEQUENCE)
         out = rows.select(*names, sequence)
         if files:
-            out = out.coalesce(files)
+            out = out.repartition(files)
         out.write.mode("overwrite").parquet(self._batch_path(run_id, batch_id))
 
     def _newest(self) -> DataFrame:

@@ -2,32 +2,42 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paystrata.schema import CSV_HEADER, CSV_SCHEMA, PAYMENT_SCHEMA
+from paystrata.schema import CSV_COLUMNS, CSV_SCHEMA, PAYMENT_SCHEMA
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = CSV_SCHEMA,
+    multi_line: bool = False,
+) -> DataFrame:
     """Delimited file with a header; every column is a string.
 
-    The schema is given, so nothing is read to infer it and the parser only
-    builds the columns a query uses.
+    With a schema nothing is read ahead, the parser only builds the columns a
+    query uses, and a header that differs is an error. Without one the names
+    come from the header line.
     """
-    return (
-        spark.read.schema(CSV_SCHEMA)
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    if schema is not None:
+        reader = reader.schema(schema).option("enforceSchema", False)
+    return reader.csv(path)
 
 
-def read_lines(spark: SparkSession, path: str, header: str | None = CSV_HEADER) -> DataFrame:
-    """Raw lines. The header is dropped by its text, once per file it occurs in."""
+def read_lines(
+    spark: SparkSession, path: str, header: Sequence[str] | None = tuple(CSV_COLUMNS)
+) -> DataFrame:
+    """Raw lines. The header is dropped by its text, quoted or not, from every file."""
     lines = spark.read.text(path)
-    return lines if header is None else lines.filter(F.col("value") != header)
+    if header is None:
+        return lines
+    quoted = [f'"{name}"' for name in header]
+    return lines.filter(~F.col("value").isin(",".join(header), ",".join(quoted)))
 
 
 def read_payments(

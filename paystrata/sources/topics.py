@@ -58,19 +58,22 @@ def _sequence(at: Column, source: Column, block: Column, position: Column) -> Co
     ).alias(SEQUENCE)
 
 
-def kafka_stream(spark: SparkSession, topics: str, brokers: str, **settings) -> DataFrame:
-    """Needs the Kafka package on the class path."""
-    options = kafka_options(topics, brokers, **settings)
-    messages = spark.readStream.format("kafka").options(**options).load()
-    return messages.select(
+def kafka_messages(records: DataFrame) -> DataFrame:
+    """Text, topic and order of Kafka records; the offset orders a partition."""
+    source = F.concat_ws("-", "topic", F.col("partition").cast("string"))
+    return records.select(
         F.col("value").cast("string").alias("value"),
         "topic",
-        _sequence(
-            F.col("timestamp"), F.concat_ws("-", "topic", "partition"), F.lit(0), F.col("offset")
-        ),
+        _sequence(F.col("timestamp"), source, F.lit(0), F.col("offset")),
     )
 
 
+def kafka_stream(spark: SparkSession, topics: str, brokers: str, **settings) -> DataFrame:
+    """Needs the Kafka package on the class path."""
+    options = kafka_options(topics, brokers, **settings)
+    return kafka_messages(spark.readStream.format("kafka").options(**options).load())
+
+
 def folder_stream(
     spark: SparkSession, root: str, topics: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:

@@ -125,6 +125,19 @@ def test_stream_equals_batch(spark, folder):
     assert live.exceptAll(batch).count() == 0 and live.count() == batch.count()
 
 
+def test_kafka_records_are_ordered_by_offset(spark):
+    text = {n: record("a", n) for n in (4, 8, 6)}
+    records = spark.createDataFrame(
+        [(None, bytearray(text[n], "utf8"), "t", 0, offset) for offset, n in enumerate(text)],
+        "key binary, value binary, topic string, partition int, offset bigint",
+    ).withColumn("timestamp", F.lit("2024-01-01").cast("timestamp"))
+    table = KeyedTable(spark, new_folder(spark, "table")).create()
+    batch = topics.kafka_messages(records)
+    assert batch.columns == ["value", "topic", topics.SEQUENCE]
+    table.upsert(etl.parse_lines(batch, carry=[topics.SEQUENCE]), "r0")
+    assert amounts(table) == {"a": 6.0}
+
+
 def test_kafka_needs_its_package(spark):
     with pytest.raises(Exception, match="kafka"):
         topics.kafka_stream(spark, "a", "host:1")
