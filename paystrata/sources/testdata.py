@@ -1,7 +1,7 @@
 """The payments table and its other forms, derived from the star-schema tables.
 
-Each form is written once per application and state of the input, into the
-shared folder, by a Spark job over the whole tables; queries then scan it.
+Each form is written once per process and state of the input, into the shared
+folder, by a Spark job over the whole tables; queries then scan it.
 """
 
 from __future__ import annotations
@@ -77,18 +77,23 @@ def payments_from_tables(spark: SparkSession, folder: str) -> DataFrame:
     return add_key(joined, carry=["_row"])
 
 
+def _file_system(spark: SparkSession, name: str):
+    """A Hadoop path and the file system it is on."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(context._jsc.hadoopConfiguration())
+
+
 def _stamp(spark: SparkSession, folder: str) -> tuple[int, tuple]:
     """Size of the input tables, and a value that changes when a file does."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    sizes, times = [], []
+    size, marks = 0, []
     for name in TABLES:
-        path = hadoop.Path(f"{folder}/{name}.parquet")
-        system = path.getFileSystem(conf)
+        path, system = _file_system(spark, f"{folder}/{name}.parquet")
         summary = system.getContentSummary(path)
-        sizes.append((summary.getLength(), summary.getFileCount()))
-        times.append(system.getFileStatus(path).getModificationTime())
-    return sum(size for size, _ in sizes), (*sizes, *times)
+        changed = system.getFileStatus(path).getModificationTime()
+        size += summary.getLength()
+        marks.append((summary.getLength(), summary.getFileCount(), changed))
+    return size, tuple(marks)
 
 
 def _derived(
@@ -96,13 +101,16 @@ def _derived(
 ) -> str:
     """Path of a written form; ``write(path, input_bytes)`` makes it when it is new."""
     size, stamp = _stamp(spark, folder)
-    key = (spark.sparkContext.applicationId, folder, form, stamp)
+    key = (folder, form, stamp)
     with _lock:
-        if key not in _written:
-            path = new_folder(spark, form)
-            write(path, size)
-            _written[key] = path
-        return _written[key]
+        if key in _written:
+            path, system = _file_system(spark, _written[key])
+            if system.exists(path):
+                return _written[key]
+        target = new_folder(spark, form)
+        write(target, size)
+        _written[key] = target
+        return target
 
 
 def payments_path(spark: SparkSession, folder: str) -> str:
