@@ -51,14 +51,22 @@ def produce(spark: SparkSession, args) -> None:
 
 
 def consume(spark: SparkSession, args) -> None:
-    """Count messages per micro-batch and in all."""
+    """Print messages, and count them per micro-batch and in all."""
     path = f"{args.checkpoint}/counts"
     jobs.count_messages(
-        _messages(spark, args), path, f"{args.checkpoint}/offsets", args.once
+        _messages(spark, args), path, f"{args.checkpoint}/offsets", args.once, show=args.limit
     ).awaitTermination()
     _show("messages read", jobs.message_counts(spark, path).orderBy("batch_id"))
 
 
+def peek(spark: SparkSession, args) -> None:
+    """Parsed records of each micro-batch on the console."""
+    records = etl.parse_lines(_messages(spark, args))
+    jobs.print_batches(
+        records, args.checkpoint, args.limit, available_now=args.once
+    ).awaitTermination()
+
+
 def stream(spark: SparkSession, args) -> None:
     """Topics to keyed table, until stopped."""
     jobs.upsert_parsed(
@@ -144,7 +152,8 @@ def compact(spark: SparkSession, args) -> None:
 
 
 JOBS = {
-    "create": create, "produce": produce, "consume": consume, "stream": stream, "load": load,
+    "create": create, "produce": produce, "consume": consume, "peek": peek, "stream": stream,
+    "load": load,
     "query": query, "find": find_documents, "views": views, "top": top_specialties,
     "report": map_report, "index": index, "compact": compact,
 }
@@ -169,7 +178,7 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--physician", default="98485")
     out.add_argument("--where", help="JSON condition, or one of: " + ", ".join(WHERE))
     out.add_argument("--fields")
-    out.add_argument("--limit", type=int, default=20, help="documents to print")
+    out.add_argument("--limit", type=int, default=20, help="documents or messages to print")
     return out
 
 

@@ -54,8 +54,8 @@ class KeyedTable:
     def _batch_path(self, run_id: str, batch_id: int) -> str:
         return f"{self.path}/log/{_RUN}={run_id}/{_BATCH}={batch_id}"
 
-    def _read(self, part: str, schema: T.StructType) -> DataFrame | None:
-        path = f"{self.path}/{part}"
+    def _read(self, path: str, schema: T.StructType) -> DataFrame | None:
+        """The Parquet files below a path, or None where there is no such path."""
         try:
             return self.spark.read.schema(schema).option("basePath", path).parquet(path)
         except AnalysisException as error:
@@ -63,18 +63,21 @@ class KeyedTable:
                 raise
             return None
 
-    def _base(self) -> DataFrame | None:
-        return self._read("base", self.schema)
+    def require(self) -> None:
+        """Writing never makes a table: a missing one is an error.
 
-    def _log(self) -> DataFrame:
-        log = self._read("log", self._log_schema)
-        if log is None:
+        This looks for the folder that ``create`` made and not at the whole log,
+        since every batch calls it.
+        """
+        if self._read(self._batch_path("none", 0), self.schema) is None:
             raise FileNotFoundError(f"no keyed table at {self.path}")
-        return log
 
-    def require(self) -> None:
-        """Writing never makes a table: a missing one is an error."""
-        self._log()
+    def _base(self) -> DataFrame | None:
+        return self._read(f"{self.path}/base", self.schema)
+
+    def _log(self) -> DataFrame:
+        self.require()
+        return self._read(f"{self.path}/log", self._log_schema)
 
     def upsert(
         self, rows: DataFrame, run_id: str, batch_id: int = 0, files: int | None = None

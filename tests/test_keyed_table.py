@@ -1,5 +1,7 @@
 """Upserts, replays, compaction and sorted copies."""
 
+from random import Random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,6 +39,18 @@ def test_later_batch_wins_and_repeats_change_nothing(spark, table):
     assert content(table) == expected
 
 
+def test_random_batches_equal_a_dictionary(spark, table):
+    random, model = Random(7), {}
+    for run in range(2):
+        for batch in range(3):
+            pairs = {f"k{random.randrange(12)}": float(random.randrange(100)) for _ in range(8)}
+            table.upsert(rows(spark, *pairs.items()), f"r{run}", batch)
+            model.update(pairs)
+        if run == 0:
+            table = table.compact(new_folder(spark, "compacted"), partitions=2)
+    assert content(table) == sorted(model.items())
+
+
 def test_ten_follows_nine(spark, table):
     table.upsert(rows(spark, ("a", 10.0)), "r0", 10)
     table.upsert(rows(spark, ("a", 9.0)), "r0", 9)
@@ -94,6 +108,16 @@ def test_upsert_does_not_shuffle_and_reading_combines_first(spark, table, paymen
     assert plan.index("partial_max") > plan.index("Exchange")
 
 
+def test_compacted_base_is_scanned_with_filter_and_few_columns(spark, table, payments):
+    table.upsert(payments, "r0")
+    compacted = table.compact(new_folder(spark, "compacted"))
+    frame = compacted.current().filter("amount > 1000").select("_id", "amount")
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(amount,1000.0)" in plan
+    assert "ReadSchema: struct<_id:string,amount:double>" in plan
+    assert compacted.current().count() == payments.select("_id").distinct().count()
+
+
 def test_report_keys_may_be_null(spark):
     table = jobs.report_table(spark, new_folder(spark, "report")).create()
     group = ("US", "CA", None, "92123", "p", "n")

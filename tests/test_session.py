@@ -66,7 +66,9 @@ def test_command_line(spark, tmp_path, capsys):
 
     run("create")
     run("produce", "--file", str(file), *common)
-    assert "|             1|" in run("consume", *common, "--once", "--checkpoint", str(tmp_path / "c0"))
+    shown = run("consume", *common, "--once", "--checkpoint", str(tmp_path / "c0"))
+    assert "|             1|" in shown and SAMPLE[:60] in shown
+    run("peek", *common, "--once", "--checkpoint", str(tmp_path / "c2"))
     run("stream", *common, "--once", "--checkpoint", str(tmp_path / "c1"), "--run", "r0")
     assert "132655_02/12/2016" in run("load", "--file", str(file), "--run", "r1")
     assert "Food and Beverage" in run("query", "--physician", "1326")

@@ -61,6 +61,23 @@ def test_ingest_resume_and_replay(spark):
     assert amounts(table) == {"a": 1.0, "b": 5.0, "c": 3.0}
 
 
+def test_timed_run_picks_up_new_messages_until_stopped(spark):
+    root, path = new_folder(spark, "topics"), new_folder(spark, "parsed")
+    publish_to_folder(messages(spark, record("a", 1)), f"{root}/t")
+    query = jobs.store_parsed(
+        topics.folder_stream(spark, root, "t"), path, new_folder(spark, "checkpoint"),
+        interval="200 milliseconds",
+    )
+    try:
+        query.processAllAvailable()
+        publish_to_folder(messages(spark, record("b", 2)), f"{root}/t")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sorted(r.physician_id for r in spark.read.parquet(path).collect()) == ["a", "b"]
+    assert not query.isActive
+
+
 def test_later_line_of_a_file_wins(spark):
     root = new_folder(spark, "topics")
     table = KeyedTable(spark, new_folder(spark, "table")).create()
