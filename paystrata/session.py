@@ -63,5 +63,7 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def partitions_for(spark: SparkSession, size_bytes: int, partition_bytes: int = 128 * MIB) -> int:
-    """Write tasks for ``size_bytes``: at least one per core."""
-    return max(spark.sparkContext.defaultParallelism, math.ceil(size_bytes / partition_bytes))
+    """Write tasks for ``size_bytes``: one per core, more for large and fewer for tiny inputs."""
+    worthwhile = math.ceil(size_bytes / (MIB // 4))
+    per_core = min(spark.sparkContext.defaultParallelism, worthwhile)
+    return max(1, per_core, math.ceil(size_bytes / partition_bytes))

@@ -38,6 +38,12 @@ def test_shuffle_partitions_follow_the_input():
     assert int(large["spark.sql.shuffle.partitions"]) > 700_000
 
 
+def test_write_tasks_follow_the_input(spark):
+    cores = spark.sparkContext.defaultParallelism
+    found = [session.partitions_for(spark, n * session.MIB) for n in (0, 0.5, 100, 128_000)]
+    assert found == [1, 2, cores, 1000]
+
+
 def test_fixture_shape(spark, folder, payments):
     assert payments.schema == PAYMENT_SCHEMA
     assert payments.count() == spark.read.parquet(f"{folder}/lineitem.parquet").count()

@@ -39,11 +39,13 @@ def skewed(tmp_path_factory):
 
 
 @pytest.fixture(scope="module", autouse=True)
-def no_broadcast(spark):
+def shuffled_joins_and_eight_files(spark):
     key = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(key)
     spark.conf.set(key, "-1")
-    yield
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(testdata, "partitions_for", lambda _spark, _size: 8)
+        yield
     spark.conf.set(key, before)
 
 
