@@ -79,3 +79,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_html_extraction": op10_html_extraction,
 }
+
+ORACLES: dict[str, str] = {}
