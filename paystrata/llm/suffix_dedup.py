@@ -47,8 +47,9 @@ Q = 100
 REACH = WIDTH - Q  # bytes that a string may have before its anchor
 AROUND = REACH + WIDTH  # bytes of an anchor's surroundings
 EDGE = 0xFF  # no byte of UTF-8: stands for what is beyond a text
-HOT = 4096
+HOT = 50_000  # at most so many different surroundings of a bucket go to one task
 ROWS_PER_TASK = 20_000
+STEP = 4096  # rows that are refined at a time, unless one bucket has more
 
 
 def sliding(values: np.ndarray, width: int, take: np.ufunc) -> np.ndarray:
@@ -134,10 +135,35 @@ def _surrounding_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         )
 
 
-def block_hashes(sums: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of bytes start..end of rows of a table of surroundings, from its prefix sums."""
-    raw = (sums[row, end] - sums[row, start]) * powers(INVERSE, sums.shape[1])[start]
-    return mix(raw + (end - start).astype(np.uint64) * SHINGLE_CODES[63])
+class Blocks:
+    """Hashes of blocks of a table of surroundings; prefix sums of ``STEP`` rows at a time."""
+
+    def __init__(self, table: np.ndarray) -> None:
+        self.table = table
+        self.sums = prefix_sums(table) if len(table) <= STEP else None
+
+    def hashes(self, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        if self.sums is not None:
+            raw = self.sums[row, end] - self.sums[row, start]
+        else:
+            raw = np.empty(len(row), dtype=np.uint64)
+            for first in range(0, len(self.table), STEP):
+                here = np.flatnonzero((row >= first) & (row < first + STEP))
+                sums = prefix_sums(self.table[first : first + STEP])
+                own = row[here] - first
+                raw[here] = sums[own, end[here]] - sums[own, start[here]]
+        raw = raw * powers(INVERSE, self.table.shape[1] + 1)[start]
+        return mix(raw + (end - start).astype(np.uint64) * SHINGLE_CODES[63])
+
+    def cores(self, bucket: np.ndarray, row: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """What all strings of a range share, within the row's bucket."""
+        found = self.hashes(row, REACH - low, REACH - high + WIDTH)
+        return found ^ mix(bucket[row] + (low * 1000 + high).astype(np.uint64))
+
+    def wholes(self, bucket: np.ndarray, row: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """All that the strings of a range cover, within the row's bucket."""
+        found = self.hashes(row, REACH - high, REACH - low + WIDTH)
+        return found ^ mix(bucket[row] + (low * 1000 + high).astype(np.uint64))
 
 
 def _members(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,24 +181,18 @@ def refine(
     offsets before the anchor that is open, and ``settled`` marks rows that are
     known to be repeated and serve for comparison only.
     """
-    flat = prefix_sums(surround)
+    blocks = Blocks(surround)
     row = np.arange(len(bucket))
     known, out = settled.copy(), ([], [], [])
     while len(row):
-        core = (
-            block_hashes(flat, row, REACH - low, REACH - high + WIDTH)
-            ^ mix(bucket[row] + (low * 1000 + high).astype(np.uint64))
-        )
+        core = blocks.cores(bucket, row, low, high)
         number, size = _members(core)
         open_rows = np.bincount(number, ~known, minlength=len(size))
         going = (size[number] > 1) & (open_rows[number] > 0)
         row, low, high, known = (x[going] for x in (row, low, high, known))
         if not len(row):
             break
-        full = (
-            block_hashes(flat, row, REACH - high, REACH - low + WIDTH)
-            ^ mix(bucket[row] + (low * 1000 + high).astype(np.uint64))
-        )
+        full = blocks.wholes(bucket, row, low, high)
         _, first, number, size = np.unique(
             full, return_index=True, return_inverse=True, return_counts=True
         )
@@ -202,7 +222,7 @@ def _refine_table(key: tuple, table: pa.Table) -> pa.Table:
     edges = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
     out, begin = [], 0
     while begin < len(edges) - 1:
-        end = max(begin + 1, int(np.searchsorted(edges, edges[begin] + HOT, "right")) - 1)
+        end = max(begin + 1, int(np.searchsorted(edges, edges[begin] + STEP, "right")) - 1)
         a, b = int(edges[begin]), int(edges[end])
         part = table.slice(a, b - a)
         row, low, high = refine(
@@ -221,51 +241,63 @@ def _refine_table(key: tuple, table: pa.Table) -> pa.Table:
 
 
 def _split_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Both halves of each row's range, with the buckets of their cores."""
+    """Both halves of each row's range, with their new bucket and the hash of the whole."""
     for batch in batches:
-        surround = _table_bytes(batch.column("bytes"))
-        low = np.asarray(batch.column("low")).astype(np.int64)
-        high = np.asarray(batch.column("high")).astype(np.int64)
-        flat, row = prefix_sums(surround), np.arange(len(low))
-        middle = (low + high) // 2
-        parent = np.asarray(batch.column("gram")).view(np.uint64)
-        for half_low, half_high in ((low, middle), (middle + 1, high)):
-            core = block_hashes(flat, row, REACH - half_low, REACH - half_high + WIDTH)
-            core ^= mix(parent + (half_low * 1000 + half_high).astype(np.uint64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(core.view(np.int64)), batch.column("doc_id"), batch.column("text_key"),
-                 batch.column("place"), batch.column("gram"), batch.column("many"),
-                 pa.array(half_low.astype(np.int32)), pa.array(half_high.astype(np.int32)),
-                 batch.column("bytes")],
-                batch.schema.names,
-            )
-
-
-def _split_hot(rows: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
-    """(rows whose buckets fit a task, settled ranges): hot buckets halved until they fit.
-
-    A bucket of single strings holds equal strings only, which its size settles.
+        for at in range(0, len(batch), STEP):
+            part = batch.slice(at, STEP)
+            blocks = Blocks(_table_bytes(part.column("bytes")))
+            row = np.arange(len(part))
+            low, high = (np.asarray(part.column(c)).astype(np.int64) for c in ("low", "high"))
+            parent = np.asarray(part.column("bucket")).view(np.uint64)
+            middle = (low + high) // 2
+            for half in ((low, middle), (middle + 1, high)):
+                fresh = {
+                    "bucket": blocks.cores(parent, row, *half).view(np.int64),
+                    "low": half[0].astype(np.int32), "high": half[1].astype(np.int32),
+                    "whole": blocks.wholes(parent, row, *half).view(np.int64),
+                }
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(fresh[c]) if c in fresh else part.column(c) for c in ROW_COLUMNS],
+                    list(ROW_COLUMNS),
+                )
+
+
+ROW_COLUMNS = ("bucket", "doc_id", "text_key", "place", "many", "low", "high", "bytes", "whole")
+ROW_KEY = ("doc_id", "text_key", "place", "low", "high")
+
+
+def _refined_once(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that stay open, settled ranges) after one look at cores and whole blocks.
+
+    As in ``refine``: a core without an equal, or with settled ones only, ends; equal
+    whole blocks are settled, and one of them goes on for comparison.
     """
-    ready, settled = [], []
+    open_cores = rows.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.sum((~F.col("many")).cast("long")).alias("open")
+    ).where("n > 1 and open > 0").select("bucket")
+    equal = rows.groupBy("bucket", "whole").agg(
+        F.count(F.lit(1)).alias("equals"), F.min(F.struct(*ROW_KEY)).alias("first")
+    )
+    seen = rows.join(open_cores, "bucket").join(equal, ["bucket", "whole"])
+    settled = seen.where("equals > 1 and not many").select(*ROW_KEY)
+    going = seen.where((F.struct(*ROW_KEY) == F.col("first")) & (F.col("low") < F.col("high")))
+    return going.withColumn("many", F.col("many") | (F.col("equals") > 1)).select(*ROW_COLUMNS), settled
+
+
+def _split_hot(rows: DataFrame, schema: str) -> tuple[DataFrame, DataFrame | None]:
+    """(rows whose buckets fit a task, settled ranges): hot buckets halved until they fit."""
+    ready, settled = None, None
     while True:
         sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
         hot = cut(sizes.where(F.col("size") > HOT).select("bucket"), "hot-buckets")
         if hot.isEmpty():
-            ready.append(rows)
-            break
-        ready.append(rows.join(hot, "bucket", "left_anti"))
-        rows = rows.join(hot, "bucket")
-        single = F.col("low") == F.col("high")
-        settled.append(rows.where(single & ~F.col("many")).select(
-            "doc_id", "text_key", "place", "low", "high"))
-        rows = cut(map_arrow(rows.where(~single), _split_rows, schema), "halves")
-    whole = ready[0]
-    for part in ready[1:]:
-        whole = whole.unionByName(part)
-    done = None
-    for part in settled:
-        done = part if done is None else done.unionByName(part)
-    return whole, done
+            return rows if ready is None else ready.unionByName(rows), settled
+        fits = rows.join(hot, "bucket", "left_anti")
+        ready = fits if ready is None else ready.unionByName(fits)
+        halves = cut(map_arrow(rows.join(hot, "bucket").select(*ROW_COLUMNS), _split_rows, schema), "halves")
+        going, done = _refined_once(halves)
+        rows = cut(going, "refined-halves")
+        settled = done if settled is None else settled.unionByName(done)
 
 
 def repeated_ranges(documents: DataFrame) -> DataFrame:
@@ -298,22 +330,23 @@ def repeated_ranges(documents: DataFrame) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
     # a text on several rows is read once
     texts = keyed.join(wanted.hint("shuffle_hash"), same).select("doc_id", "text_key", "text", "anchors")
-    schema = (
-        f"bucket bigint, {row_type}, gram bigint, many boolean, low int, high int, bytes binary"
-    )
     rows = map_arrow(
         texts, _surrounding_rows, f"{row_type}, gram bigint, many boolean, bytes binary"
     ).select(
-        F.col("gram").alias("bucket"), "doc_id", "text_key", "place", "gram", "many",
-        F.lit(0).alias("low"), F.lit(REACH).alias("high"), "bytes",
+        F.col("gram").alias("bucket"), "doc_id", "text_key", "place", "many",
+        F.lit(0).alias("low"), F.lit(REACH).alias("high"), "bytes", F.lit(0).cast("long").alias("whole"),
     )
-    rows = cut(rows, "open-anchors")
-    count = rows.count()
-    fitting, settled = _split_hot(rows, schema)
-    tasks = max(8, count // ROWS_PER_TASK + 1)
+    settled = None
+    largest = mixed.groupBy("gram").count().agg(F.max("count")).first()[0] or 0
+    if largest > HOT:
+        schema = (
+            f"bucket bigint, {row_type}, many boolean, low int, high int, bytes binary, whole bigint"
+        )
+        rows, settled = _split_hot(cut(rows, "open-anchors"), schema)
+    tasks = max(8, mixed.count() // ROWS_PER_TASK + 1)
     tell_workers(documents)
     refined = (
-        fitting.withColumn("task", F.pmod(F.xxhash64("bucket"), F.lit(tasks)))
+        rows.drop("whole").withColumn("task", F.pmod(F.xxhash64("bucket"), F.lit(tasks)))
         .repartition(tasks, "task").groupBy("task")
         .applyInArrow(_refine_table, f"{row_type}, low int, high int")
     )
