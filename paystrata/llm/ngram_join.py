@@ -4,19 +4,20 @@ The documents' sets of five-word shingles are the rows of a sparse matrix, the
 shingles its columns. Texts with equal sets are one row, a class.
 
 1. Columns are dealt into blocks by their hash, and each block is multiplied with
-   its own transpose only as far as the diagonal needs: for each class it adds up
-   how many of its shingles another class has too. A partner at 75 % shares at
-   least three quarters of a class's shingles, so a class with more than a quarter
-   unshared can have no partner and is discarded. Half of the columns, chosen by
-   hash alike for all classes, carry this bound; leaving columns out only weakens it.
+   its own transpose only as far as the diagonal needs: for each class it counts the
+   shingles that no other class has. A partner at 75 % shares at least three quarters
+   of a class's shingles, so a class with more than a quarter unshared can have no
+   partner and is discarded. First half of the columns, chosen by hash alike for all
+   classes, carry this bound (leaving columns out only weakens it), then, over the
+   remaining classes, all of them. The counts also bound every overlap below.
 2. The remaining classes meet in the columns of their prefix: the first quarter of
    their shingles by hash, plus one. Two classes at 75 % meet in one of these.
-3. In each column the least class is the pivot, and the pivot's products with all
-   others are verified exactly. This is linear in a column and joins near copies
-   into components, also where thousands share a column; it is repeated with what
-   was left apart.
+3. In each column the class with the least share unshared, which near copies have
+   most in common with, is the pivot, and its products with all others are verified
+   exactly. This is linear in a column and joins near copies into components, also
+   where thousands share a column.
 4. Only classes that meet in a column and are still in different components remain.
-   Their pairs are bounded by size and place and verified exactly.
+   Their pairs are bounded by size, unshared shingles and place, and verified exactly.
 
 Pairs inside a component need no product, because it cannot change the groups; no
 link between different components is left out, so the groups are exact.
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paystrata.llm.common import cut, map_arrow
@@ -44,7 +45,6 @@ from paystrata.llm.texthash import chunks, mix, shingles, word_hashes
 SIZE = 5
 PERCENT = 75
 ENTRIES_PER_BLOCK = 2_000_000
-PIVOT_ROUNDS = 2
 HALF = np.uint64(1 << 63)
 
 
@@ -111,40 +111,51 @@ def classes(documents: DataFrame) -> DataFrame:
     )
 
 
-def _incidence(blocks: int):
-    """Rows (block, nodes, sizes, owners, hashes): one batch's entries in one block of columns."""
+def _entries(blocks: int, nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+    """Rows (block, nodes, owners, columns): one batch's entries in each block of columns."""
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(v) for v in sets])
+    column = np.concatenate([*sets, np.empty(0, np.uint64)])
+    # blocks by other bits than those that choose the half
+    block = (column & np.uint64(0xFFFFFFFF)) * np.uint64(blocks) >> np.uint64(32)
+    order = np.argsort(block, kind="stable")
+    cuts = np.searchsorted(block[order], np.arange(blocks + 1))
+    node_array = np.array(nodes, dtype=np.int64)
+    rows = []
+    for b in range(blocks):
+        part = order[cuts[b] : cuts[b + 1]]
+        if len(part):
+            own, local = np.unique(owner[part], return_inverse=True)
+            rows.append((b, node_array[own].tobytes(), local.astype(np.int32).tobytes(),
+                         column[part].tobytes()))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int32())]
+        + [pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)],
+        ["block", "nodes", "owners", "columns"],
+    )
+
+
+ENTRY_TYPE = "block int, nodes binary, owners binary, columns binary"
+
+
+def _half_entries(blocks: int):
+    """Entries of the texts in the lower half of the columns."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sizes, owners, columns, seen = [], [], [], [], set()
+            found = {}  # a copy within the batch adds nothing to its class
             for values in _sets(_texts(batch)):
-                node = _node(values) if len(values) else None
-                if node is None or node in seen:
-                    continue  # a copy within the batch adds nothing to its class
-                seen.add(node)
-                half = values[values < HALF]
-                owners.append(np.full(len(half), len(nodes), dtype=np.int32))
-                columns.append(half)
-                nodes.append(node)
-                sizes.append(len(values))
-            if not nodes:
-                continue
-            owner, column = np.concatenate(owners), np.concatenate(columns)
-            block = (column >> np.uint64(31)) * np.uint64(blocks) >> np.uint64(32)
-            order = np.argsort(block, kind="stable")
-            cuts = np.searchsorted(block[order], np.arange(blocks + 1))
-            node_array = np.array(nodes, dtype=np.int64)
-            rows = []
-            for b in range(blocks):
-                part = order[cuts[b] : cuts[b + 1]]
-                if len(part):
-                    own, local = np.unique(owner[part], return_inverse=True)
-                    rows.append((b, node_array[own].tobytes(), local.astype(np.int32).tobytes(),
-                                 column[part].tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32())]
-                + [pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)],
-                ["block", "nodes", "owners", "columns"],
-            )
+                if len(values):
+                    found.setdefault(_node(values), values[values < HALF])
+            yield _entries(blocks, list(found), list(found.values()))
+
+    return run
+
+
+def _all_entries(blocks: int):
+    """Entries of stored sets in all columns."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.asarray(v.values).view(np.uint64) for v in batch.column("shingles")]
+            yield _entries(blocks, batch.column("node").to_pylist(), sets)
 
     return run
 
@@ -167,85 +178,127 @@ def _unshared(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({"node": pa.array(lonely, pa.int64()), "unshared": pa.array(count, pa.int64())})
 
 
-def hopeful(documents: DataFrame, rows: DataFrame) -> DataFrame:
-    """(node, n): classes of which at most a quarter of the shingles are theirs alone."""
-    total = rows.agg(F.sum("n_shingles")).first()[0] or 0
-    blocks = max(8, int(total // 2 // ENTRIES_PER_BLOCK) + 1)
-    entries = map_arrow(
-        documents.select("text"), _incidence(blocks),
-        "block int, nodes binary, owners binary, columns binary"
-    )
+def _with_unshared(nodes: DataFrame, entries: DataFrame, blocks: int) -> DataFrame:
+    """(node, n, unshared) of the nodes of which at most a quarter is unshared."""
     lonely = (
         entries.repartition(blocks, "block").groupBy("block")
         .applyInArrow(_unshared, "node bigint, unshared bigint")
-        .groupBy("node").agg(F.sum("unshared").alias("unshared"))
+        .groupBy("node").agg(F.sum("unshared").cast("int").alias("unshared"))
+    )
+    counted = nodes.join(lonely, "node", "left").withColumn(
+        "unshared", F.coalesce("unshared", F.lit(0))
     )
+    return counted.where(100 * F.col("unshared") <= (100 - PERCENT) * F.col("n"))
+
+
+def _blocks_for(entries: int) -> int:
+    return max(8, entries // ENTRIES_PER_BLOCK + 1)
+
+
+def hopeful(documents: DataFrame, rows: DataFrame) -> DataFrame:
+    """(node, n): classes that half of the columns do not rule out."""
+    blocks = _blocks_for((rows.agg(F.sum("n_shingles")).first()[0] or 0) // 2)
     nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(
         F.first("n_shingles").cast("int").alias("n")
     )
-    return nodes.join(lonely, "node", "left").where(
-        100 * F.coalesce("unshared", F.lit(0)) <= (100 - PERCENT) * F.col("n")
-    ).select("node", "n")
+    entries = map_arrow(documents.select("text"), _half_entries(blocks), ENTRY_TYPE)
+    return _with_unshared(nodes, entries, blocks).select("node", "n")
+
+
+def partnered(sets: DataFrame) -> DataFrame:
+    """(node, n, unshared): classes that no column rules out."""
+    blocks = _blocks_for(sets.agg(F.sum("n")).first()[0] or 0)
+    entries = map_arrow(sets.select("node", "shingles"), _all_entries(blocks), ENTRY_TYPE)
+    return _with_unshared(sets.select("node", "n"), entries, blocks)
 
 
 def _sizes_fit(a: Column, b: Column) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that link."""
+def products(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes with their overlap and whether they link."""
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
+    linked = 100 * F.col("overlap") >= PERCENT * (F.size("sa") + F.size("sb") - F.col("overlap"))
     return (
-        pairs.select("a", "b").join(one, "a").join(two, "b")
-        .where(100 * both >= PERCENT * (F.size("sa") + F.size("sb") - both)).select("a", "b")
+        pairs.select("a", "b").join(two, "b").join(one, "a").withColumn("overlap", both)
+        .select("a", "b", "overlap", linked.alias("linked"))
     )
 
 
-def _labelled(entries: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """Prefix entries with the component of their class."""
-    if groups is None:
-        return entries.withColumn("component", F.col("node"))
-    return entries.join(groups, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
+def _pivots(entries: DataFrame) -> DataFrame:
+    """(column, pivot, pivot_n): of each column the class with the least share unshared."""
+    order = F.struct((F.col("unshared") / F.col("n")).alias("share"), "node", "n")
+    return entries.groupBy("column").agg(F.min(order).alias("p")).select(
+        "column", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n")
     )
 
 
-def _open_columns(entries: DataFrame) -> DataFrame:
-    """(column, pivot) of the columns where more than one component meets."""
-    return entries.groupBy("column").agg(
-        F.min("node").alias("pivot"), F.min("component").alias("low"), F.max("component").alias("high"),
-    ).where(F.col("low") != F.col("high"))
-
-
-def _pivot_pairs(entries: DataFrame) -> DataFrame:
-    """The least class of each component of a column against the column's least class."""
-    open_columns = _open_columns(entries)
-    sizes = entries.select(F.col("node").alias("pivot"), F.col("n").alias("pivot_n")).distinct()
-    met = entries.join(open_columns.select("column", "pivot"), "column").where(
-        F.col("node") != F.col("pivot")
-    )
+def _pivot_pairs(entries: DataFrame, pivots: DataFrame) -> DataFrame:
+    """The classes of each column against its pivot."""
     return (
-        met.select("pivot", "node", "n").distinct().join(sizes, "pivot")
+        entries.join(pivots, "column").where(F.col("node") != F.col("pivot"))
         .where(_sizes_fit(F.col("n"), F.col("pivot_n")))
         .select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     )
 
 
-def _cross_pairs(entries: DataFrame) -> DataFrame:
-    """All pairs of a column between different components, bounded by size and place."""
-    some = entries.join(_open_columns(entries).select("column"), "column")
-    a = some.select("column", *[F.col(c).alias(f"a_{c}") for c in ("node", "n", "place", "component")])
-    b = some.select("column", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "place", "component")])
-    # in their first common column, what is left of both must still reach the bound
-    reach = 1 + F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place")) - 1
-    enough = (100 + PERCENT) * reach >= PERCENT * (F.col("a_n") + F.col("b_n"))
+def _cross_pairs(
+    entries: DataFrame, pivots: DataFrame, known: DataFrame, groups: DataFrame
+) -> DataFrame:
+    """All other pairs of a column between different components that can still link.
+
+    Three bounds on a pair's overlap leave few of them. ``place`` counts a class's
+    entries before the column, without those that meet no other: in a pair's first
+    common column these are not common to the pair, and neither are its unshared
+    shingles. And what two classes have in common lies inside their column's pivot,
+    at most the smaller of their overlaps with it, or outside, at most the smaller of
+    their shared shingles there. Classes of the pivot's own component meet only those
+    of others, so near copies of one text do not meet each other.
+    """
+    tested = known.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "overlap")
+    own = groups.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_component"))
+    whole = (
+        entries.join(groups, "node", "left").join(pivots.select("column", "pivot"), "column")
+        .where(F.col("node") != F.col("pivot"))
+        .join(own, "pivot", "left").join(tested, ["pivot", "node"], "left")
+    )
+    shared = F.col("n") - F.col("unshared")
+    whole = whole.select(
+        "column", "node", "n",
+        F.coalesce("component", "node").alias("component"),
+        F.coalesce("pivot_component", "pivot").alias("pivot_component"),
+        F.coalesce("overlap", shared).alias("inside"),
+        # what the pivot was not compared with may lie outside it altogether
+        F.when(F.col("overlap").isNull(), shared)
+        .otherwise(F.greatest(shared - F.col("overlap"), F.lit(0))).alias("outside"),
+        (
+            F.floor((shared - F.col("place")) * (100 + PERCENT) / PERCENT).cast("int")
+            - F.col("n")
+        ).alias("largest"),
+    )
+    fitting = whole.join(
+        whole.groupBy("column").agg(F.min("n").alias("least")), "column"
+    ).where(F.col("largest") >= F.col("least")).drop("least")
+    met = fitting.groupBy("column").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    ).where(F.col("low") != F.col("high")).select("column")
+    some = cut(fitting.join(met, "column"), "cross-entries")
+    names = ("node", "n", "largest", "component", "inside", "outside")
+    a = some.where(F.col("component") != F.col("pivot_component")).select(
+        "column", *[F.col(c).alias(f"a_{c}") for c in names]
+    )
+    b = some.select("column", *[F.col(c).alias(f"b_{c}") for c in names])
+    bound = F.least("a_inside", "b_inside") + F.least("a_outside", "b_outside")
+    reaches = (100 + PERCENT) * bound >= PERCENT * (F.col("a_n") + F.col("b_n"))
     return (
-        a.join(b, "column")
-        .where((F.col("a_component") != F.col("b_component")) & (F.col("a_node") < F.col("b_node")))
-        .where(_sizes_fit(F.col("a_n"), F.col("b_n")) & enough)
-        .select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+        a.join(b, "column").where(F.col("a_component") != F.col("b_component"))
+        .where((F.col("a_n") <= F.col("b_largest")) & (F.col("b_n") <= F.col("a_largest")))
+        .where(reaches & _sizes_fit(F.col("a_n"), F.col("b_n")))
+        .select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
+        .distinct()
     )
 
 
@@ -265,19 +318,22 @@ def class_groups(documents: DataFrame, rows: DataFrame) -> DataFrame:
         .dropDuplicates(["node"]),
         "shingle-sets",
     )
+    left = cut(partnered(sets), "partnered")
+    sets = sets.join(left.select("node", "unshared"), "node")
     # by sign the numbers below 2^63 come after the rest; any one order serves
-    prefix = F.slice(F.array_sort("shingles"), F.lit(1), F.col("n") - F.ceil(F.col("n") * PERCENT / 100).cast("int") + 1)
-    entries = sets.select("node", "n", F.posexplode(prefix).alias("place", "column"))
+    reach = F.col("n") - F.ceil(F.col("n") * PERCENT / 100).cast("int") + 1
+    prefix = F.slice(F.array_sort("shingles"), F.lit(1), reach)
+    entries = sets.select("node", "n", "unshared", F.posexplode(prefix).alias("place", "column"))
     met = entries.groupBy("column").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("column")
-    entries = cut(entries.join(met, "column"), "prefix-entries")
-
-    links, groups = None, None
-    for _ in range(PIVOT_ROUNDS):
-        found = verified(_pivot_pairs(_labelled(entries, groups)), sets)
-        links = cut(found if links is None else links.union(found), "links")
-        groups = cut(components(links), "class-groups")
-    found = verified(_cross_pairs(_labelled(entries, groups)), sets)
-    return components(links.union(found))
+    in_order = Window.partitionBy("node").orderBy("place")
+    entries = entries.join(met, "column").withColumn("place", F.row_number().over(in_order) - 1)
+    entries = cut(entries, "prefix-entries")
+    pivots = cut(_pivots(entries), "pivots")
+    known = cut(products(_pivot_pairs(entries, pivots), sets), "products")
+    links = known.where("linked").select("a", "b")
+    groups = cut(components(links), "class-groups")
+    found = products(_cross_pairs(entries, pivots, known, groups), sets)
+    return components(links.union(found.where("linked").select("a", "b")))
 
 
 def judge(documents: DataFrame) -> DataFrame:
