@@ -45,6 +45,7 @@ from paystrata.llm.texthash import chunks, mix, shingles, word_hashes
 SIZE = 5
 PERCENT = 75
 ENTRIES_PER_BLOCK = 2_000_000
+MIN_BLOCKS = 32
 HALF = np.uint64(1 << 63)
 
 
@@ -192,7 +193,7 @@ def _with_unshared(nodes: DataFrame, entries: DataFrame, blocks: int) -> DataFra
 
 
 def _blocks_for(entries: int) -> int:
-    return max(8, entries // ENTRIES_PER_BLOCK + 1)
+    return max(MIN_BLOCKS, entries // ENTRIES_PER_BLOCK + 1)
 
 
 def hopeful(documents: DataFrame, rows: DataFrame) -> DataFrame:
@@ -287,14 +288,14 @@ def _cross_pairs(
     ).where(F.col("low") != F.col("high")).select("column")
     some = cut(fitting.join(met, "column"), "cross-entries")
     names = ("node", "n", "largest", "component", "inside", "outside")
-    a = some.where(F.col("component") != F.col("pivot_component")).select(
-        "column", *[F.col(c).alias(f"a_{c}") for c in names]
-    )
-    b = some.select("column", *[F.col(c).alias(f"b_{c}") for c in names])
+    apart = F.col("component") != F.col("pivot_component")
+    a = some.where(apart).select("column", *[F.col(c).alias(f"a_{c}") for c in names])
+    b = some.select("column", apart.alias("b_apart"), *[F.col(c).alias(f"b_{c}") for c in names])
     bound = F.least("a_inside", "b_inside") + F.least("a_outside", "b_outside")
     reaches = (100 + PERCENT) * bound >= PERCENT * (F.col("a_n") + F.col("b_n"))
     return (
         a.join(b, "column").where(F.col("a_component") != F.col("b_component"))
+        .where(~F.col("b_apart") | (F.col("a_node") < F.col("b_node")))
         .where((F.col("a_n") <= F.col("b_largest")) & (F.col("b_n") <= F.col("a_largest")))
         .where(reaches & _sizes_fit(F.col("a_n"), F.col("b_n")))
         .select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
