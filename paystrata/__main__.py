@@ -10,6 +10,7 @@ import argparse
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paystrata.functions.patterns import FEBRUARY_EXACT
 from paystrata.operators import etl, queries as q, report
@@ -21,6 +22,7 @@ from paystrata.sinks.keyed_table import KeyedTable
 from paystrata.sinks.layouts import write_by_payer
 from paystrata.sinks.messages import publish_to_folder, publish_to_kafka
 from paystrata.sources import files, topics
+from paystrata.sources.topics import SEQUENCE
 from paystrata.streaming import jobs
 
 FILE, ROOT, TOPIC, TABLE = "./data/payments.csv", "./data/topics", "payments", "./data/tables/payments"
@@ -33,8 +35,10 @@ def _show(title: str, frame: DataFrame, rows: int = 20, truncate: bool = True) -
 
 def _messages(spark: SparkSession, args) -> DataFrame:
     if args.brokers:
-        return topics.kafka_stream(spark, args.topics, args.brokers)
-    return topics.folder_stream(spark, args.root, args.topics)
+        return topics.kafka_stream(
+            spark, args.topics, args.brokers, max_offsets_per_trigger=args.backlog
+        )
+    return topics.folder_stream(spark, args.root, args.topics, args.backlog)
 
 
 def create(spark: SparkSession, args) -> None:
@@ -51,10 +55,10 @@ def produce(spark: SparkSession, args) -> None:
 
 
 def consume(spark: SparkSession, args) -> None:
-    """Print messages, and count them per micro-batch and in all."""
+    """Print messages, or write them to ``--to``, and count them per micro-batch and in all."""
     path = f"{args.checkpoint}/counts"
     jobs.count_messages(
-        _messages(spark, args), path, f"{args.checkpoint}/offsets", args.once, show=args.limit
+        _messages(spark, args), path, f"{args.checkpoint}/offsets", args.once, show=args.limit, to=args.to
     ).awaitTermination()
     _show("messages read", jobs.message_counts(spark, path).orderBy("batch_id"))
 
@@ -63,29 +67,26 @@ def peek(spark: SparkSession, args) -> None:
     """Parsed records of each micro-batch on the console."""
     records = etl.parse_lines(_messages(spark, args))
     jobs.print_batches(
-        records, args.checkpoint, args.limit, available_now=args.once
+        records, args.checkpoint, args.limit or 10, available_now=args.once
     ).awaitTermination()
 
 
 def stream(spark: SparkSession, args) -> None:
     """Topics to keyed table, until stopped."""
     jobs.upsert_parsed(
-        _messages(spark, args), KeyedTable(spark, args.table), args.run, args.checkpoint, args.once
+        _messages(spark, args), KeyedTable(spark, args.table), args.run, args.checkpoint, args.once,
+        rejects=args.rejects or f"{args.table.rstrip('/')}-rejects",
     ).awaitTermination()
 
 
 def load(spark: SparkSession, args) -> None:
-    """File to keyed table, with a first look at the data."""
-    records = etl.csv_to_payments(files.read_csv(spark, args.file))
-    q.count_cached(records)
-    _show("payments", records)
-    _show("specialties", q.total_by(records, q.SPECIALTY, with_count=True))
-    _show("above 1000", q.amount_above(records, 1000))
-    _show("natures", q.count_by(records))
+    """File to keyed table; of rows with one key the last in the file stays."""
+    source = files.in_file_order(files.read_csv(spark, args.file))
     table = KeyedTable(spark, args.table)
-    table.upsert(records, args.run)
-    records.unpersist()
-    _show("keys", table.current().select("_id", "physician_id"))
+    table.upsert(etl.csv_to_payments(source, carry=[SEQUENCE]), args.run)
+    written = table.current()
+    _show("payments", written)
+    _show("specialties", q.total_by(written, q.SPECIALTY, with_count=True))
 
 
 def query(spark: SparkSession, args) -> None:
@@ -119,11 +120,19 @@ SQL_QUESTIONS = {
 
 
 def find_documents(spark: SparkSession, args) -> None:
-    """The first documents as JSON text, the number found and the time taken."""
+    """All documents found as JSON text, their number and the time taken.
+
+    ``--to`` writes them in parallel; otherwise they are printed one partition at a
+    time. ``--limit`` asks for the first ones only.
+    """
     start = time.perf_counter()
     table = KeyedTable(spark, args.table).current()
-    for document in find(table, args.where, args.fields, args.limit).toJSON().collect():
-        print(document)
+    found = find(table, args.where, args.fields, args.limit)
+    if args.to:
+        found.select(F.to_json(F.struct("*")).alias("value")).write.text(args.to)
+    else:
+        for document in found.toJSON().toLocalIterator():
+            print(document)
     total = find_count(table, args.where).first()["n_found"]
     print(f"{total} found in {round((time.perf_counter() - start) * 1000)} ms")
 
@@ -173,12 +182,14 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--table", default=TABLE)
     out.add_argument("--to", help="path of the copy to write")
     out.add_argument("--checkpoint", default="./data/checkpoint")
+    out.add_argument("--rejects", help="folder of unparsed lines; beside the table if not given")
+    out.add_argument("--backlog", type=int, help="offsets, or files, of one micro-batch at most")
     out.add_argument("--run", default=time.strftime("%Y%m%dT%H%M%S"), help="later runs win")
     out.add_argument("--once", action="store_true", help="stop when everything is read")
     out.add_argument("--physician", default="98485")
     out.add_argument("--where", help="JSON condition, or one of: " + ", ".join(WHERE))
     out.add_argument("--fields")
-    out.add_argument("--limit", type=int, default=20, help="documents or messages to print")
+    out.add_argument("--limit", type=int, help="documents or messages to print, if not all")
     return out
 
 

@@ -20,8 +20,11 @@ def attribute(column: Column) -> Column:
 
 
 def whole_dollars(amount: Column) -> Column:
-    """Truncated to an integer, after cents that floating sums miss are restored."""
-    return F.round(amount, 2).cast("bigint")
+    """Truncated to an integer, after cents that floating sums miss are restored.
+
+    NULL for what is no whole number of dollars: NaN, an infinity, or more than fits.
+    """
+    return F.round(amount, 2).try_cast("bigint")
 
 
 def clamp(measure: Column, low: int = 1, high: int = 40000) -> Column:

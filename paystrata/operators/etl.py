@@ -94,10 +94,15 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
 
 
 def parse_standard_csv(lines: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Records by the CSV standard: the amount is unquoted like any other field."""
+    """Records by the CSV standard: the amount is unquoted like any other field.
+
+    Short lines are left out, as in ``parse_lines``; ``rejected_lines`` has them.
+    """
     options = {"escape": '"', "mode": "PERMISSIVE"}
     row = F.from_csv("value", CSV_SCHEMA.simpleString()[len("struct<"):-1].replace(":", " "), options)
-    rows = lines.select(row.alias("row"), *carry)
+    # a line that ends before the last needed field has NULL in the column after its end
+    long_enough = F.size(f.split_fields(F.col("value"))) >= MIN_FIELDS
+    rows = lines.filter(long_enough).select(row.alias("row"), *carry)
     typed = rows.select(
         *[
             (f.lenient_amount(F.col(f"row.{source}")) if name == "amount" else F.col(f"row.{source}"))
@@ -114,19 +119,22 @@ def with_amount(source: DataFrame) -> DataFrame:
     return source.withColumn("amount", f.strict_amount(F.col(SOURCE_NAMES["amount"])))
 
 
-def project_payment(source: DataFrame) -> DataFrame:
+def project_payment(source: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Source column names to record names; ``amount`` is already typed."""
     return source.select(
         *[
             F.col("amount") if name == "amount" else F.col(column).alias(name)
             for name, column in SOURCE_NAMES.items()
-        ]
+        ],
+        *carry,
     )
 
 
-def csv_to_payments(source: DataFrame, raw_blanks: bool = False) -> DataFrame:
+def csv_to_payments(
+    source: DataFrame, raw_blanks: bool = False, carry: Sequence[str] = ()
+) -> DataFrame:
     """Whole batch path: strict amount, renamed columns, key."""
-    records = add_key(project_payment(with_amount(source)))
+    records = add_key(project_payment(with_amount(source), carry), carry)
     return records if raw_blanks else normalize_blanks(records)
 
 

@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
+# More shuffle partitions than this cost more in blocks and bookkeeping than they save.
+MOST_PARTITIONS = 20_000
 _local_folders: dict[str, str] = {}
 
 
@@ -16,9 +18,10 @@ def scale_conf(input_bytes: int, cores: int, partition_bytes: int = 128 * MIB) -
     """Settings that keep a shuffle partition near ``partition_bytes``.
 
     Adaptive execution can merge partitions but cannot make more of them than
-    the plan starts with, so the starting number follows the input size.
+    the plan starts with, so the starting number follows the input size, up to
+    ``MOST_PARTITIONS``; beyond that the partitions grow.
     """
-    partitions = max(cores, math.ceil(input_bytes / partition_bytes))
+    partitions = max(cores, min(MOST_PARTITIONS, math.ceil(input_bytes / partition_bytes)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -66,4 +69,4 @@ def partitions_for(spark: SparkSession, size_bytes: int, partition_bytes: int =
     """Write tasks for ``size_bytes``: one per core, more for large and fewer for tiny inputs."""
     worthwhile = math.ceil(size_bytes / (MIB // 4))
     per_core = min(spark.sparkContext.defaultParallelism, worthwhile)
-    return max(1, per_core, math.ceil(size_bytes / partition_bytes))
+    return max(1, per_core, min(MOST_PARTITIONS, math.ceil(size_bytes / partition_bytes)))

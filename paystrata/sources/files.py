@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paystrata.schema import CSV_COLUMNS, CSV_SCHEMA, PAYMENT_SCHEMA
+from paystrata.sources.topics import sequence
 
 
 def read_csv(
@@ -29,6 +30,19 @@ def read_csv(
     return reader.csv(path)
 
 
+def in_file_order(source: DataFrame) -> DataFrame:
+    """``source``, just read from files, with each row's place, so that later rows win.
+
+    Files are ordered by path and their blocks by offset; the keyed write numbers the
+    rows of a block. Modification times are left out: parallel writers do not finish
+    in the order of their parts.
+    """
+    place = sequence(
+        F.lit(None), F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.lit(None)
+    )
+    return source.select("*", place)
+
+
 def read_lines(
     spark: SparkSession, path: str, header: Sequence[str] | None = tuple(CSV_COLUMNS)
 ) -> DataFrame:
@@ -43,7 +57,11 @@ def read_lines(
 def read_payments(
     spark: SparkSession, path: str, schema: T.StructType = PAYMENT_SCHEMA
 ) -> DataFrame:
-    """Stored records under an enforced schema; columns outside it are ignored."""
+    """Stored records under an enforced schema; columns outside it are ignored.
+
+    A column that the files do not have at all is an error, not NULL.
+    """
+    bind(spark.read.parquet(path), schema)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -72,5 +90,8 @@ def parse_documents(
 
 
 def path_sql(path: str) -> str:
-    """How SQL text names a Parquet folder."""
+    """How SQL text names a Parquet folder.
+
+    A keyed table holds superseded rows; ask its ``current()`` instead.
+    """
     return f"parquet.`{path}`"

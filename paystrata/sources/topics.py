@@ -49,7 +49,7 @@ def kafka_options(
     return options
 
 
-def _sequence(at: Column, source: Column, block: Column, position: Column) -> Column:
+def sequence(at: Column, source: Column, block: Column, position: Column) -> Column:
     return F.struct(
         at.cast("timestamp").alias("at"),
         source.cast("string").alias("source"),
@@ -59,12 +59,16 @@ def _sequence(at: Column, source: Column, block: Column, position: Column) -> Co
 
 
 def kafka_messages(records: DataFrame) -> DataFrame:
-    """Text, topic and order of Kafka records; the offset orders a partition."""
+    """Text, topic and order of Kafka records.
+
+    The offset alone orders a partition, whatever its producers' clocks say. Messages
+    of one key belong in one partition; across partitions the name decides.
+    """
     source = F.concat_ws("-", "topic", F.col("partition").cast("string"))
     return records.select(
         F.col("value").cast("string").alias("value"),
         "topic",
-        _sequence(F.col("timestamp"), source, F.lit(0), F.col("offset")),
+        sequence(F.lit(None), source, F.lit(0), F.col("offset")),
     )
 
 
@@ -88,7 +92,7 @@ def folder_stream(
             F.lit(topic).alias("topic"),
             # Splits of a file may run in any order. The place within a split is
             # not known to a stream; the keyed write numbers it.
-            _sequence(
+            sequence(
                 F.col("_metadata.file_modification_time"),
                 F.col("_metadata.file_path"),
                 F.col("_metadata.file_block_start"),

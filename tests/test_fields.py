@@ -14,12 +14,12 @@ from paystrata.operators import etl
 from paystrata.schema import CSV_COLUMNS, MIN_FIELDS, PAYMENT_COLUMNS, SOURCE_POSITIONS
 
 SAMPLE = (
-    'NEW,Covered Recipient Physician,,,,"132655","GREGG","D","ALZATE",,"8745 AERO DRIVE","STE 200",'
-    '"SAN DIEGO","CA","92123","United States",,,"Medical Doctor",'
-    '"Allopathic & Osteopathic Physicians|Radiology|Diagnostic Radiology","CA",,,,,"DFINE, Inc",'
-    '"100000000326","DFINE, Inc","CA","United States",90.87,"02/12/2016","1",'
+    'NEW,Covered Recipient Physician,,,,"204417","MARLO","D","TESTERSON",,"12 SAMPLE STREET","FLOOR 3",'
+    '"EXAMPLETON","CA","00999","United States",,,"Medical Doctor",'
+    '"Invented Group|Sample Field|Sample Branch","CA",,,,,"Acme Devices, Inc",'
+    '"100000009999","Acme Devices, Inc","CA","United States",41.25,"02/17/2016","1",'
     '"In-kind items and services","Food and Beverage",,,,"No","No Third Party Payment",,,,,"No",'
-    '"346039438","No","Yes"' + "," * 26 + '"2016","06/30/2017"'
+    '"700000001","No","Yes"' + "," * 26 + '"2016","06/30/2017"'
 )
 
 
@@ -62,9 +62,9 @@ def test_positions():
 
 def test_sample_row(spark):
     row = parse_one(spark, SAMPLE)
-    assert row._id == "132655_02/12/2016_346039438"
-    assert (row.amount, row.payer, row.recipient_zip) == (90.87, "DFINE, Inc", "92123")
-    assert row.physician_specialty.startswith("Allopathic & Osteopathic Physicians|Radiology")
+    assert row._id == "204417_02/17/2016_700000001"
+    assert (row.amount, row.payer, row.recipient_zip) == (41.25, "Acme Devices, Inc", "00999")
+    assert row.physician_specialty.startswith("Invented Group|Sample Field")
     assert list(row.asDict()) == PAYMENT_COLUMNS
 
 
@@ -86,10 +86,10 @@ def test_thousands_separator_is_not_a_number(spark):
 
 
 def test_blanks(spark):
-    text = line(date_payment="02/12/2016", record_id="7", amount="1")
+    text = line(date_payment="02/17/2016", record_id="7", amount="1")
     assert parse_one(spark, text).physician_specialty is None
     raw = parse_one(spark, text, raw_blanks=True)
-    assert raw.physician_specialty == "" and raw._id == "_02/12/2016_7"
+    assert raw.physician_specialty == "" and raw._id == "_02/17/2016_7"
 
 
 def test_short_lines_are_rejected_not_failed(spark):
@@ -133,16 +133,16 @@ def test_strict_amount(spark):
 
 
 def test_key_with_missing_part(spark):
-    frame = spark.createDataFrame([(None, "02/12/2016", "1")], "p string, d string, r string")
+    frame = spark.createDataFrame([(None, "02/17/2016", "1")], "p string, d string, r string")
     key = f.payment_key(F.col("p"), F.col("d"), F.col("r"))
-    assert frame.select(key).first()[0] == "_02/12/2016_1"
+    assert frame.select(key).first()[0] == "_02/17/2016_1"
 
 
 def test_standard_mode_unquotes_the_amount(spark):
-    text = line(physician_id="5", date_payment="02/12/2016", record_id="9", amount='"12.5"',
+    text = line(physician_id="5", date_payment="02/17/2016", record_id="9", amount='"12.5"',
                 payer='"x ""q"" y"')
     row = etl.parse_standard_csv(lines(spark, text)).collect()[0]
-    assert (row._id, row.amount, row.payer) == ("5_02/12/2016_9", 12.5, 'x "q" y')
+    assert (row._id, row.amount, row.payer) == ("5_02/17/2016_9", 12.5, 'x "q" y')
 
 
 ODD_LINES = [
