@@ -10,14 +10,17 @@ shingles its columns. Texts with equal sets are one row, a class.
    partner and is discarded. First half of the columns, chosen by hash alike for all
    classes, carry this bound (leaving columns out only weakens it), then, over the
    remaining classes, all of them. The counts also bound every overlap below.
-2. The remaining classes meet in the columns of their prefix: the first quarter of
-   their shingles by hash, plus one. Two classes at 75 % meet in one of these.
+2. The second pass also gives the number of classes that hold each column. A class's
+   shared columns are put in order, rarest first; its prefix is so many of them that
+   what follows is less than three quarters of the class. Two classes at 75 % meet in
+   a column of both prefixes, and columns that many texts have in common come last, so
+   that few classes still have them in the prefix.
 3. In each column the class with the least share unshared, which near copies have
    most in common with, is the pivot, and its products with all others are verified
    exactly. This is linear in a column and joins near copies into components, also
    where thousands share a column.
 4. Only classes that meet in a column and are still in different components remain.
-   Their pairs are bounded by size, unshared shingles and place, and verified exactly.
+   Their pairs are bounded by size and by place in the order, and verified exactly.
 
 Pairs inside a component need no product, because it cannot change the groups; no
 link between different components is left out, so the groups are exact.
@@ -35,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paystrata.llm.common import cut, map_arrow
@@ -161,8 +164,11 @@ def _all_entries(blocks: int):
     return run
 
 
-def _unshared(key: tuple, table: pa.Table) -> pa.Table:
-    """(node, unshared) of one block: its entries in columns that no other class has."""
+def _distinct_entries(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(node, column, holders) of one block's entries by column, copies counted once.
+
+    ``holders`` is the number of classes that have the entry's column.
+    """
     nodes, columns = [], []
     for own, local, column in zip(*(table.column(c).to_pylist() for c in ("nodes", "owners", "columns"))):
         nodes.append(np.frombuffer(own, np.int64)[np.frombuffer(local, np.int32)])
@@ -171,25 +177,46 @@ def _unshared(key: tuple, table: pa.Table) -> pa.Table:
     order = np.lexsort((node, column))
     node, column = node[order], column[order]
     fresh_column = np.concatenate(([True], column[1:] != column[:-1]))
-    fresh = fresh_column | np.concatenate(([True], node[1:] != node[:-1]))  # copies count once
+    fresh = fresh_column | np.concatenate(([True], node[1:] != node[:-1]))
     node, column = node[fresh], column[fresh]
-    edge = np.concatenate(([True], column[1:] != column[:-1], [True]))
-    alone = edge[:-1] & edge[1:]
-    lonely, count = np.unique(node[alone], return_counts=True)
+    edges = np.flatnonzero(np.concatenate(([True], column[1:] != column[:-1], [True])))
+    holders = np.diff(edges)
+    return node, column, np.repeat(holders, holders)
+
+
+def _unshared(key: tuple, table: pa.Table) -> pa.Table:
+    """(node, unshared) of one block: its entries in columns that no other class has."""
+    node, _, holders = _distinct_entries(table)
+    lonely, count = np.unique(node[holders == 1], return_counts=True)
     return pa.table({"node": pa.array(lonely, pa.int64()), "unshared": pa.array(count, pa.int64())})
 
 
-def _with_unshared(nodes: DataFrame, entries: DataFrame, blocks: int) -> DataFrame:
-    """(node, n, unshared) of the nodes of which at most a quarter is unshared."""
-    lonely = (
-        entries.repartition(blocks, "block").groupBy("block")
-        .applyInArrow(_unshared, "node bigint, unshared bigint")
-        .groupBy("node").agg(F.sum("unshared").cast("int").alias("unshared"))
+def _weighed(key: tuple, table: pa.Table) -> pa.Table:
+    """(node, unshared, shared) of one block, the shared columns with their holders."""
+    node, column, holders = _distinct_entries(table)
+    order = np.argsort(node, kind="stable")
+    node, column, holders = node[order], column[order], holders[order]
+    begins = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
+    shared = holders > 1
+    sizes = np.add.reduceat(shared.astype(np.int32), begins)
+    entries = np.diff(np.append(begins, len(node)))
+    columns = pa.StructArray.from_arrays(
+        [pa.array(holders[shared], pa.int32()), pa.array(column[shared].view(np.int64))],
+        ["holders", "column"],
     )
-    counted = nodes.join(lonely, "node", "left").withColumn(
-        "unshared", F.coalesce("unshared", F.lit(0))
-    )
-    return counted.where(100 * F.col("unshared") <= (100 - PERCENT) * F.col("n"))
+    offsets = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+    return pa.table({
+        "node": pa.array(node[begins], pa.int64()),
+        "unshared": pa.array(entries - sizes, pa.int32()),
+        "shared": pa.ListArray.from_arrays(offsets, columns),
+    })
+
+
+WEIGHED_TYPE = "node bigint, unshared int, shared array<struct<holders: int, column: bigint>>"
+
+
+def _may_link(unshared: Column, n: Column) -> Column:
+    return 100 * unshared <= (100 - PERCENT) * n
 
 
 def _blocks_for(entries: int) -> int:
@@ -203,14 +230,37 @@ def hopeful(documents: DataFrame, rows: DataFrame) -> DataFrame:
         F.first("n_shingles").cast("int").alias("n")
     )
     entries = map_arrow(documents.select("text"), _half_entries(blocks), ENTRY_TYPE)
-    return _with_unshared(nodes, entries, blocks).select("node", "n")
+    lonely = (
+        entries.repartition(blocks, "block").groupBy("block")
+        .applyInArrow(_unshared, "node bigint, unshared bigint")
+        .groupBy("node").agg(F.sum("unshared").alias("unshared"))
+    )
+    unshared = F.coalesce("unshared", F.lit(0))
+    return nodes.join(lonely, "node", "left").where(_may_link(unshared, F.col("n"))).select("node", "n")
+
 
+def prefixes(sets: DataFrame) -> DataFrame:
+    """(node, n, unshared, left, column): the prefix of each class that no column rules out.
 
-def partnered(sets: DataFrame) -> DataFrame:
-    """(node, n, unshared): classes that no column rules out."""
+    ``left`` is the number of the class's shared columns from this one on, and so the
+    most that it can have in common with a class that it meets here first.
+    """
     blocks = _blocks_for(sets.agg(F.sum("n")).first()[0] or 0)
     entries = map_arrow(sets.select("node", "shingles"), _all_entries(blocks), ENTRY_TYPE)
-    return _with_unshared(sets.select("node", "n"), entries, blocks)
+    whole = (
+        entries.repartition(blocks, "block").groupBy("block").applyInArrow(_weighed, WEIGHED_TYPE)
+        .groupBy("node").agg(
+            F.sum("unshared").cast("int").alias("unshared"),
+            F.array_sort(F.flatten(F.collect_list("shared"))).alias("shared"),
+        )
+        .withColumn("n", F.col("unshared") + F.size("shared"))
+        .where(_may_link(F.col("unshared"), F.col("n")))
+    )
+    least = F.ceil(F.col("n") * PERCENT / 100).cast("int")
+    return whole.select(
+        "node", "n", "unshared", F.size("shared").alias("size"),
+        F.posexplode(F.slice("shared", F.lit(1), F.size("shared") - least + 1)).alias("place", "entry"),
+    ).select("node", "n", "unshared", (F.col("size") - F.col("place")).alias("left"), "entry.column")
 
 
 def _sizes_fit(a: Column, b: Column) -> Column:
@@ -230,10 +280,12 @@ def products(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _pivots(entries: DataFrame) -> DataFrame:
-    """(column, pivot, pivot_n): of each column the class with the least share unshared."""
+    """(column, pivot, pivot_n): the class with the least share unshared, where classes meet."""
     order = F.struct((F.col("unshared") / F.col("n")).alias("share"), "node", "n")
-    return entries.groupBy("column").agg(F.min(order).alias("p")).select(
-        "column", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n")
+    return (
+        entries.groupBy("column").agg(F.min(order).alias("p"), F.count(F.lit(1)).alias("classes"))
+        .where("classes > 1")
+        .select("column", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"))
     )
 
 
@@ -246,57 +298,34 @@ def _pivot_pairs(entries: DataFrame, pivots: DataFrame) -> DataFrame:
     )
 
 
-def _cross_pairs(
-    entries: DataFrame, pivots: DataFrame, known: DataFrame, groups: DataFrame
-) -> DataFrame:
+def _cross_pairs(entries: DataFrame, pivots: DataFrame, groups: DataFrame) -> DataFrame:
     """All other pairs of a column between different components that can still link.
 
-    Three bounds on a pair's overlap leave few of them. ``place`` counts a class's
-    entries before the column, without those that meet no other: in a pair's first
-    common column these are not common to the pair, and neither are its unshared
-    shingles. And what two classes have in common lies inside their column's pivot,
-    at most the smaller of their overlaps with it, or outside, at most the smaller of
-    their shared shingles there. Classes of the pivot's own component meet only those
-    of others, so near copies of one text do not meet each other.
+    In the first column that two classes share, neither can have more in common with
+    the other than it has ``left``. Classes of the pivot's own component meet only
+    those of others, so near copies of one text do not meet each other.
     """
-    tested = known.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "overlap")
     own = groups.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_component"))
     whole = (
         entries.join(groups, "node", "left").join(pivots.select("column", "pivot"), "column")
-        .where(F.col("node") != F.col("pivot"))
-        .join(own, "pivot", "left").join(tested, ["pivot", "node"], "left")
-    )
-    shared = F.col("n") - F.col("unshared")
-    whole = whole.select(
-        "column", "node", "n",
-        F.coalesce("component", "node").alias("component"),
-        F.coalesce("pivot_component", "pivot").alias("pivot_component"),
-        F.coalesce("overlap", shared).alias("inside"),
-        # what the pivot was not compared with may lie outside it altogether
-        F.when(F.col("overlap").isNull(), shared)
-        .otherwise(F.greatest(shared - F.col("overlap"), F.lit(0))).alias("outside"),
-        (
-            F.floor((shared - F.col("place")) * (100 + PERCENT) / PERCENT).cast("int")
-            - F.col("n")
-        ).alias("largest"),
+        .where(F.col("node") != F.col("pivot")).join(own, "pivot", "left")
+        .select(
+            "column", "node", "n", "left", F.coalesce("component", "node").alias("component"),
+            F.coalesce("pivot_component", "pivot").alias("pivot_component"),
+        )
     )
-    fitting = whole.join(
-        whole.groupBy("column").agg(F.min("n").alias("least")), "column"
-    ).where(F.col("largest") >= F.col("least")).drop("least")
-    met = fitting.groupBy("column").agg(
+    met = whole.groupBy("column").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     ).where(F.col("low") != F.col("high")).select("column")
-    some = cut(fitting.join(met, "column"), "cross-entries")
-    names = ("node", "n", "largest", "component", "inside", "outside")
+    some = cut(whole.join(met, "column"), "cross-entries")
+    names = ("node", "n", "left", "component")
     apart = F.col("component") != F.col("pivot_component")
     a = some.where(apart).select("column", *[F.col(c).alias(f"a_{c}") for c in names])
     b = some.select("column", apart.alias("b_apart"), *[F.col(c).alias(f"b_{c}") for c in names])
-    bound = F.least("a_inside", "b_inside") + F.least("a_outside", "b_outside")
-    reaches = (100 + PERCENT) * bound >= PERCENT * (F.col("a_n") + F.col("b_n"))
+    reaches = (100 + PERCENT) * F.least("a_left", "b_left") >= PERCENT * (F.col("a_n") + F.col("b_n"))
     return (
         a.join(b, "column").where(F.col("a_component") != F.col("b_component"))
         .where(~F.col("b_apart") | (F.col("a_node") < F.col("b_node")))
-        .where((F.col("a_n") <= F.col("b_largest")) & (F.col("b_n") <= F.col("a_largest")))
         .where(reaches & _sizes_fit(F.col("a_n"), F.col("b_n")))
         .select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
         .distinct()
@@ -319,21 +348,12 @@ def class_groups(documents: DataFrame, rows: DataFrame) -> DataFrame:
         .dropDuplicates(["node"]),
         "shingle-sets",
     )
-    left = cut(partnered(sets), "partnered")
-    sets = sets.join(left.select("node", "unshared"), "node")
-    # by sign the numbers below 2^63 come after the rest; any one order serves
-    reach = F.col("n") - F.ceil(F.col("n") * PERCENT / 100).cast("int") + 1
-    prefix = F.slice(F.array_sort("shingles"), F.lit(1), reach)
-    entries = sets.select("node", "n", "unshared", F.posexplode(prefix).alias("place", "column"))
-    met = entries.groupBy("column").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("column")
-    in_order = Window.partitionBy("node").orderBy("place")
-    entries = entries.join(met, "column").withColumn("place", F.row_number().over(in_order) - 1)
-    entries = cut(entries, "prefix-entries")
+    entries = cut(prefixes(sets), "prefix-entries")
     pivots = cut(_pivots(entries), "pivots")
     known = cut(products(_pivot_pairs(entries, pivots), sets), "products")
     links = known.where("linked").select("a", "b")
     groups = cut(components(links), "class-groups")
-    found = products(_cross_pairs(entries, pivots, known, groups), sets)
+    found = products(_cross_pairs(entries, pivots, groups), sets)
     return components(links.union(found.where("linked").select("a", "b")))
 
 
