@@ -43,6 +43,7 @@ _ALL = ", ".join(PAYMENT_COLUMNS)
 _DIMS = ", ".join(REPORT_DIMENSIONS)
 _FEBRUARY = "_id LIKE '%#_02/%' ESCAPE '#'"
 _LOW_PAYER = "right(payer, 1) < '5'"
+_LATER = f"CASE WHEN {_LOW_PAYER} THEN 0 ELSE 1 END"
 
 _REPORT = f""", report AS (
   SELECT {_DIMS}, sum(amount) AS us_dollars FROM payments GROUP BY {_DIMS}
@@ -152,8 +153,8 @@ ORACLES: dict[str, str] = {
     "batch_etl": _latest("0"),
     # Sinks
     "publish_lines": _select("_id, payer, amount"),
-    "upsert_batch": _latest(f"CASE WHEN {_LOW_PAYER} THEN 0 ELSE 1 END"),
-    "compact_table": _latest(f"CASE WHEN {_LOW_PAYER} THEN 0 ELSE 1 END"),
+    "upsert_batch": _latest(_LATER),
+    "compact_table": _latest(_LATER),
     "result_as_json": f"""{_PAYMENTS}, top AS (
   SELECT physician_specialty, CAST(round(sum(amount), 2) AS DECIMAL(38, 2)) AS total
   FROM payments GROUP BY physician_specialty
@@ -221,6 +222,16 @@ FROM payments p WHERE NOT EXISTS (
         f"{_DIMS}, round(sum(amount), 2) AS us_dollars", f"GROUP BY {_DIMS}"
     ),
     "aca_open_payments_all": _select(_ALL),
+    "keyed_physicians_by_revenue": _latest(
+        _LATER, "physician_id, round(sum(amount), 2) AS revenue", "GROUP BY physician_id"
+    ),
+    "keyed_physicians_by_specialty_revenue": _latest(
+        _LATER, f"physician_specialty, {_CENTS_TOTAL}", "GROUP BY physician_specialty"
+    ),
+    "keyed_open_payments": _latest(
+        _LATER, f"{_DIMS}, round(sum(amount), 2) AS us_dollars", f"GROUP BY {_DIMS}"
+    ),
+    "keyed_open_payments_all": _latest(_LATER),
     # Report
     "map_by_payer": f"{_PAYMENTS}{_MARKS} SELECT * FROM marks",
     "map_by_nature": f"{_PAYMENTS}{_MARKS} SELECT nature_of_payment AS series, payer, "
@@ -246,10 +257,10 @@ FROM payments p WHERE NOT EXISTS (
         "CAST(0 AS BIGINT) AS batch_id, count(*) AS batch_messages, "
         "CAST(count(*) AS BIGINT) AS total_messages"
     ),
-    "stream_upsert": _latest(f"CASE WHEN {_LOW_PAYER} THEN 0 ELSE 1 END"),
-    "stream_replay_idempotent": _latest(f"CASE WHEN {_LOW_PAYER} THEN 0 ELSE 1 END"),
+    "stream_upsert": _latest(_LATER),
+    "stream_replay_idempotent": _latest(_LATER),
     "stream_report_keyed": _latest(
-        f"CASE WHEN {_LOW_PAYER} THEN 0 ELSE 1 END",
+        _LATER,
         f"{_DIMS}, round(sum(amount), 2) AS us_dollars", f"GROUP BY {_DIMS}",
     ),
     "stream_report": _select(

@@ -77,7 +77,7 @@ def scan_json_tolerant(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sql_on_path(spark: SparkSession, folder: str) -> DataFrame:
-    table = files.path_sql(testdata.payments_path(spark, folder))
+    table = files.path_sql(spark, testdata.payments_path(spark, folder))
     return spark.sql(
         "SELECT physician_specialty, round(sum(amount), 2) AS total "
         f"FROM {table} GROUP BY physician_specialty"
@@ -148,6 +148,16 @@ def upsert_batch(spark: SparkSession, folder: str) -> DataFrame:
     return _upserted(spark, folder).current()
 
 
+def _keyed_view(name: str, *money: str) -> Query:
+    """A stored view over a keyed table that holds superseded rows."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        views.create_stored_views(spark, _upserted(spark, folder).path)
+        return _cents(spark.table(f"default.{name}"), *money)
+
+    return run
+
+
 def compact_table(spark: SparkSession, folder: str) -> DataFrame:
     return _upserted(spark, folder).compact(new_folder(spark, "compacted")).current()
 
@@ -372,6 +382,10 @@ QUERIES: dict[str, Query] = {
     "physicians_by_specialty_revenue": _stored_view("physicians_by_specialty_revenue", "total"),
     "aca_open_payments": _stored_view("aca_open_payments", "us_dollars"),
     "aca_open_payments_all": _stored_view("aca_open_payments_all"),
+    "keyed_physicians_by_revenue": _keyed_view("physicians_by_revenue", "revenue"),
+    "keyed_physicians_by_specialty_revenue": _keyed_view("physicians_by_specialty_revenue", "total"),
+    "keyed_open_payments": _keyed_view("aca_open_payments", "us_dollars"),
+    "keyed_open_payments_all": _keyed_view("aca_open_payments_all"),
     # Report
     "map_by_payer": _on_payments(lambda p: report.map_by_payer(report.open_payments(p))),
     "map_by_nature": _on_payments(lambda p: report.map_by_nature(report.open_payments(p))),

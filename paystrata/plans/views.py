@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from paystrata.schema import REPORT_DIMENSIONS
+from paystrata.sinks.keyed_table import KeyedTable
 from paystrata.sources.files import path_sql
 
 _DIMENSIONS = ", ".join(REPORT_DIMENSIONS)
@@ -37,10 +38,13 @@ def create_session_views(spark: SparkSession, payments: DataFrame) -> list[str]:
 def create_stored_views(
     spark: SparkSession, table_path: str, namespace: str = "default"
 ) -> list[str]:
-    """The four views over a stored table, kept in the session's catalog."""
+    """The four views over a stored or a keyed table, kept in the session's catalog.
+
+    Over a keyed table they give its current rows, also those written later.
+    """
+    keyed = KeyedTable(spark, table_path)
+    table = keyed.sql() if keyed.exists() else path_sql(spark, table_path)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}")
     for name, text in VIEWS.items():
-        spark.sql(
-            f"CREATE OR REPLACE VIEW {namespace}.{name} AS {text.format(table=path_sql(table_path))}"
-        )
+        spark.sql(f"CREATE OR REPLACE VIEW {namespace}.{name} AS {text.format(table=table)}")
     return [f"{namespace}.{name}" for name in VIEWS]

@@ -63,13 +63,13 @@ class KeyedTable:
                 raise
             return None
 
-    def require(self) -> None:
-        """Writing never makes a table: a missing one is an error.
+    def exists(self) -> bool:
+        """Whether the folder that ``create`` made is there; the whole log is not listed."""
+        return self._read(self._batch_path("none", 0), self.schema) is not None
 
-        This looks for the folder that ``create`` made and not at the whole log,
-        since every batch calls it.
-        """
-        if self._read(self._batch_path("none", 0), self.schema) is None:
+    def require(self) -> None:
+        """Writing never makes a table: a missing one is an error."""
+        if not self.exists():
             raise FileNotFoundError(f"no keyed table at {self.path}")
 
     def _base(self) -> DataFrame | None:
@@ -122,6 +122,33 @@ class KeyedTable:
         same_key = [F.col(f"base.{k}").eqNullSafe(F.col(f"log.{k}")) for k in self.keys]
         return left.join(right, same_key, "left_anti").unionByName(newest)
 
+    def sql(self) -> str:
+        """``current()`` as a SQL subquery on paths, for views that outlive the session.
+
+        Batches written later are seen; ``compact`` makes another table and so another
+        text.
+        """
+        self.require()
+        rest = [f"`{f.name}`" for f in self.schema if f.name not in self.keys]
+        keys = [f"`{key}`" for key in self.keys]
+        names = [f"`{field.name}`" for field in self.schema]
+        log, base = f"parquet.`{self.path}/log`", f"parquet.`{self.path}/base`"
+        picked = [name if name in keys else f"newest.{name}" for name in names]
+        # the batch folders' values need their types said: a schema by path is inferred
+        order = f"string({_RUN}), bigint({_BATCH}), {SEQUENCE}"
+        text = (
+            f"SELECT {', '.join(picked)} FROM (SELECT {', '.join(keys)}, "
+            f"max(struct({', '.join([order, *rest])})) AS newest "
+            f"FROM {log} GROUP BY {', '.join(keys)})"
+        )
+        if self._base() is not None:
+            same_key = " AND ".join(f"base.{key} <=> log.{key}" for key in keys)
+            text = (
+                f"SELECT {', '.join(names)} FROM {base} AS base "
+                f"LEFT ANTI JOIN {log} AS log ON {same_key} UNION ALL {text}"
+            )
+        return f"({text})"
+
     def compact(self, path: str, partitions: int | None = None) -> KeyedTable:
         """The current rows as the sorted base of a new table at ``path``.
 

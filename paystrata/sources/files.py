@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paystrata.schema import CSV_COLUMNS, CSV_SCHEMA, PAYMENT_SCHEMA
+from paystrata.sinks.keyed_table import KeyedTable
 from paystrata.sources.topics import sequence
 
 
@@ -89,9 +90,12 @@ def parse_documents(
     return lines.select(F.from_json(column, schema).alias("document")).select("document.*")
 
 
-def path_sql(path: str) -> str:
+def path_sql(spark: SparkSession, path: str) -> str:
     """How SQL text names a Parquet folder.
 
-    A keyed table holds superseded rows; ask its ``current()`` instead.
+    A keyed table is an error, because its folder also holds superseded rows: use
+    its ``sql()``.
     """
+    if KeyedTable(spark, path).exists():
+        raise ValueError(f"{path} is a keyed table: its sql() gives the current rows")
     return f"parquet.`{path}`"

@@ -7,8 +7,11 @@ from paystrata.functions.measures import attribute, clamp, rounded_total, whole_
 from paystrata.operators import report
 from paystrata.plans import views
 from paystrata.plans.registry import QUERIES
-from paystrata.schema import REPORT_DIMENSIONS
+from paystrata.schema import PAYMENT_SCHEMA, REPORT_DIMENSIONS
+from paystrata.session import new_folder
+from paystrata.sinks.keyed_table import KeyedTable
 from paystrata.sources import testdata
+from paystrata.sources.files import path_sql
 
 
 def test_attribute(spark):
@@ -61,6 +64,33 @@ def test_stored_views(spark, folder, payments):
     assert spark.table("default.aca_open_payments").columns == [*REPORT_DIMENSIONS, "us_dollars"]
 
 
+def test_stored_views_of_a_keyed_table(spark):
+    table = KeyedTable(spark, new_folder(spark, "viewed")).create()
+    row = ("a", *[None] * 3, 1.0, *[None] * 10)
+
+    def write(amount, run_id, batch_id, into):
+        data = [(*row[:4], amount, *row[5:])]
+        into.upsert(spark.createDataFrame(data, PAYMENT_SCHEMA), run_id, batch_id)
+
+    def seen():
+        return [r.amount for r in spark.table("default.aca_open_payments_all").collect()]
+
+    write(1.0, "7", 9, table)
+    write(2.0, "7", 10, table)
+    views.create_stored_views(spark, table.path)
+    assert seen() == [2.0]
+    write(3.0, "7", 11, table)
+    assert seen() == [3.0]
+    compacted = table.compact(new_folder(spark, "viewed-compact"))
+    views.create_stored_views(spark, compacted.path)
+    assert seen() == [3.0]
+    write(4.0, "8", 0, compacted)
+    assert seen() == [4.0]
+    assert spark.table("default.physicians_by_revenue").first().revenue == 4.0
+    with pytest.raises(ValueError, match="keyed table"):
+        path_sql(spark, table.path)
+
+
 def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
