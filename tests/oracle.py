@@ -6,7 +6,9 @@ import math
 
 import duckdb
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "pages",
+)
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
@@ -36,7 +38,7 @@ def spark_rows(frame) -> list[tuple]:
 
 
 _TYPES = {
-    "VARCHAR": "string", "DOUBLE": "double", "BIGINT": "bigint", "INTEGER": "int",
+    "VARCHAR": "string", "DOUBLE": "double", "BIGINT": "bigint", "INTEGER": "int", "BOOLEAN": "boolean",
 }
 
 
