@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from paystrata.functions.patterns import FEBRUARY_EXACT
 from paystrata.operators import etl, queries as q, report
 from paystrata.operators.find import AMOUNT_AT_LEAST_10000, find, find_count
-from paystrata.plans.views import create_session_views, session_view
+from paystrata.plans.views import create_session_views, create_stored_views, session_view
 from paystrata.schema import PAYMENT_SCHEMA
-from paystrata.session import build_session
+from paystrata.session import apply_scale, build_session, bytes_at, new_folder, partitions_for
 from paystrata.sinks.keyed_table import KeyedTable
 from paystrata.sinks.layouts import write_by_payer
 from paystrata.sinks.messages import publish_to_folder, publish_to_kafka
@@ -41,6 +41,13 @@ def _messages(spark: SparkSession, args) -> DataFrame:
     return topics.folder_stream(spark, args.root, args.topics, args.backlog)
 
 
+def _current(spark: SparkSession, args) -> DataFrame:
+    """The current rows, written once, for jobs that ask more than one question."""
+    path = new_folder(spark, "current")
+    KeyedTable(spark, args.table).current().write.parquet(path)
+    return files.read_payments(spark, path)
+
+
 def create(spark: SparkSession, args) -> None:
     KeyedTable(spark, args.table).create()
 
@@ -51,7 +58,8 @@ def produce(spark: SparkSession, args) -> None:
     if args.brokers:
         publish_to_kafka(lines, args.topics, args.brokers)
     else:
-        publish_to_folder(lines, f"{args.root}/{args.topics}")
+        for path in topics.paths(args.root, args.topics):
+            publish_to_folder(lines, path)
 
 
 def consume(spark: SparkSession, args) -> None:
@@ -84,14 +92,14 @@ def load(spark: SparkSession, args) -> None:
     source = files.in_file_order(files.read_csv(spark, args.file))
     table = KeyedTable(spark, args.table)
     table.upsert(etl.csv_to_payments(source, carry=[SEQUENCE]), args.run)
-    written = table.current()
+    written = _current(spark, args)
     _show("payments", written)
     _show("specialties", q.total_by(written, q.SPECIALTY, with_count=True))
 
 
 def query(spark: SparkSession, args) -> None:
     """The standing questions, by DataFrame and by SQL."""
-    table = KeyedTable(spark, args.table).current()
+    table = _current(spark, args)
     _show("payments above 2000", q.amount_above(table, 2000))
     _show("physician and amount", table.select("_id", "physician_id", "amount"))
     _show("top 5 natures by count", q.count_by(table, limit=5))
@@ -126,7 +134,7 @@ def find_documents(spark: SparkSession, args) -> None:
     time. ``--limit`` asks for the first ones only.
     """
     start = time.perf_counter()
-    table = KeyedTable(spark, args.table).current()
+    table = _current(spark, args)
     found = find(table, args.where, args.fields, args.limit)
     if args.to:
         found.select(F.to_json(F.struct("*")).alias("value")).write.text(args.to)
@@ -138,7 +146,12 @@ def find_documents(spark: SparkSession, args) -> None:
 
 
 def views(spark: SparkSession, args) -> None:
-    for name in create_session_views(spark, KeyedTable(spark, args.table).current()):
+    """The four views: of this session, or with ``--namespace`` kept in the catalog."""
+    if args.namespace:
+        names = create_stored_views(spark, args.table, args.namespace)
+    else:
+        names = create_session_views(spark, _current(spark, args))
+    for name in names:
         _show(name, spark.table(name))
 
 
@@ -152,20 +165,36 @@ def map_report(spark: SparkSession, args) -> None:
     _show("by payer and zip", report.with_mark_size(report.map_by_payer(totals)))
 
 
+def live_report(spark: SparkSession, args) -> None:
+    """Totals over topics, kept current in a keyed table of their own."""
+    table = jobs.report_table(spark, args.to or f"{args.table.rstrip('/')}-report")
+    if not table.exists():
+        table.create()
+    jobs.refresh_report(
+        _messages(spark, args), table, args.run, args.checkpoint, args.once
+    ).awaitTermination()
+    _show("totals", table.current())
+
+
+def _files(spark: SparkSession, args) -> int:
+    return partitions_for(spark, bytes_at(spark, args.table))
+
+
 def index(spark: SparkSession, args) -> None:
-    write_by_payer(KeyedTable(spark, args.table).current(), args.to)
+    write_by_payer(KeyedTable(spark, args.table).current(), args.to, _files(spark, args))
 
 
 def compact(spark: SparkSession, args) -> None:
-    KeyedTable(spark, args.table, PAYMENT_SCHEMA).compact(args.to)
+    KeyedTable(spark, args.table, PAYMENT_SCHEMA).compact(args.to, _files(spark, args))
 
 
 JOBS = {
     "create": create, "produce": produce, "consume": consume, "peek": peek, "stream": stream,
     "load": load,
     "query": query, "find": find_documents, "views": views, "top": top_specialties,
-    "report": map_report, "index": index, "compact": compact,
+    "report": map_report, "live-report": live_report, "index": index, "compact": compact,
 }
+STREAMS = ("consume", "peek", "stream", "live-report")
 WHERE = {
     "large": AMOUNT_AT_LEAST_10000,
     "february": {"$like": {"_id": FEBRUARY_EXACT}},
@@ -182,6 +211,7 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--table", default=TABLE)
     out.add_argument("--to", help="path of the copy to write")
     out.add_argument("--checkpoint", default="./data/checkpoint")
+    out.add_argument("--namespace", help="catalog schema of the stored views")
     out.add_argument("--rejects", help="folder of unparsed lines; beside the table if not given")
     out.add_argument("--backlog", type=int, help="offsets, or files, of one micro-batch at most")
     out.add_argument("--run", default=time.strftime("%Y%m%dT%H%M%S"), help="later runs win")
@@ -196,7 +226,14 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     args.where = WHERE.get(args.where, args.where)
-    JOBS[args.job](spark or build_session(f"paystrata-{args.job}"), args)
+    if spark is None:
+        spark = build_session(f"paystrata-{args.job}")
+        inputs = {
+            "produce": [args.file], "load": [args.file, args.table],
+            **dict.fromkeys(STREAMS, [] if args.brokers else topics.paths(args.root, args.topics)),
+        }.get(args.job, [args.table])
+        apply_scale(spark, sum(bytes_at(spark, path) for path in inputs))
+    JOBS[args.job](spark, args)
 
 
 if __name__ == "__main__":

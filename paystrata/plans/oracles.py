@@ -10,6 +10,7 @@ from paystrata.schema import (
     SOURCE_NAMES,
     SOURCE_POSITIONS,
 )
+from paystrata.sources.testdata import FILE_ORDER
 
 _PAYMENTS = """WITH payments AS (
   SELECT concat(CAST(o_custkey AS VARCHAR), '_', strftime(o_orderdate, '%m/%d/%Y'), '_',
@@ -75,6 +76,16 @@ def _latest(batch: str, columns: str = _ALL, rest: str = "") -> str:
 ) SELECT {columns} FROM ranked WHERE place = 1 {rest}""".rstrip()
 
 
+def _last_in_file() -> str:
+    """The winning row per key of the delimited files: their last, by FILE_ORDER."""
+    order = ", ".join(
+        f"{name} {'ASC NULLS FIRST' if falls else 'DESC NULLS LAST'}" for name, falls in FILE_ORDER
+    )
+    return f"""{_PAYMENTS}, ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY _id ORDER BY {order}) AS place FROM payments
+) SELECT {_ALL} FROM ranked WHERE place = 1"""
+
+
 def _source_value(name: str) -> str:
     """A source column of the delimited form."""
     by_source = {source: field for field, source in SOURCE_NAMES.items()}
@@ -150,7 +161,7 @@ ORACLES: dict[str, str] = {
     "project_rename": _select(", ".join(SOURCE_POSITIONS)),
     "build_id": _select("_id, physician_id, date_payment"),
     "to_document": _select(f"_id, {_document()} AS document"),
-    "batch_etl": _latest("0"),
+    "batch_etl": _last_in_file(),
     # Sinks
     "publish_lines": _select("_id, payer, amount"),
     "upsert_batch": _latest(_LATER),
@@ -181,6 +192,10 @@ ORACLES: dict[str, str] = {
     "payments_by_payer": _select("_id, amount, payer", _BY_PAYER),
     "payments_payer_contains": _select("_id, amount, payer", f"WHERE payer LIKE '{PAYER_PATTERN}'"),
     "physician_exact": _select(_ALL, f"WHERE physician_id = '{PHYSICIAN}'"),
+    "first_row": _select(
+        "CAST(1 AS BIGINT) AS request, least(count(*), 1) AS n_rows, "
+        "least(count(*), 1) AS n_found"
+    ),
     "find_documents": _select("_id, payer, amount, nature_of_payment", _BY_PAYER),
     "find_documents_february": _select("_id, amount", "WHERE _id LIKE '%_02/%'"),
     "find_limit_5": _select(_ALL, "ORDER BY _id, payer, amount, nature_of_payment LIMIT 5"),
@@ -257,6 +272,11 @@ FROM payments p WHERE NOT EXISTS (
         "CAST(0 AS BIGINT) AS batch_id, count(*) AS batch_messages, "
         "CAST(count(*) AS BIGINT) AS total_messages"
     ),
+    "stream_peek": _select(
+        "CAST(0 AS BIGINT) AS batch_id, least(count(*), 10) AS n_rows, "
+        "least(count(*), 10) AS n_found"
+    ),
+    "stream_timed": _select(_ALL),
     "stream_upsert": _latest(_LATER),
     "stream_replay_idempotent": _latest(_LATER),
     "stream_report_keyed": _latest(

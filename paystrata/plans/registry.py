@@ -106,6 +106,23 @@ def project_rename(spark: SparkSession, folder: str) -> DataFrame:
     return etl.project_payment(etl.with_amount(rows))
 
 
+def _held(rows: DataFrame, table: DataFrame, group: list[str]) -> DataFrame:
+    """Per group the number of rows, and how many of them the table holds."""
+    names = table.columns
+    copies = rows.groupBy(*group, *names).agg(F.count("*").alias("n")).alias("copies")
+    same = [F.col(f"copies.{c}").eqNullSafe(F.col(f"held.{c}")) for c in names]
+    hits = table.alias("held").join(copies, same).select("copies.*").distinct()
+    counted = rows.groupBy(*group).agg(F.count("*").alias("n_rows"))
+    found = hits.groupBy(*group).agg(F.sum("n").alias("n_found"))
+    return counted.join(found, group, "left").fillna(0, ["n_found"])
+
+
+def first_row(payments: DataFrame) -> DataFrame:
+    """Some one row: which it is, is not defined, but the table must hold it."""
+    first = payments.limit(1).withColumn("request", F.lit(1).cast("bigint"))
+    return _held(first, payments, ["request"])
+
+
 def build_id(spark: SparkSession, folder: str) -> DataFrame:
     return etl.add_key(project_rename(spark, folder)).select("_id", "physician_id", "date_payment")
 
@@ -120,9 +137,10 @@ def reject_lines(lines: DataFrame) -> DataFrame:
 
 
 def batch_etl(spark: SparkSession, folder: str) -> DataFrame:
+    """The last row of a key in the files stays."""
     table = KeyedTable(spark, new_folder(spark, "batch-etl")).create()
-    source = files.read_csv(spark, testdata.csv_path(spark, folder))
-    table.upsert(etl.csv_to_payments(source), run_id="load")
+    source = files.in_file_order(files.read_csv(spark, testdata.csv_path(spark, folder)))
+    table.upsert(etl.csv_to_payments(source, carry=[topics.SEQUENCE]), run_id="load")
     return table.current()
 
 
@@ -230,11 +248,27 @@ def stream_message_count(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_peek(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows kept of each micro-batch, and how many of them the table holds."""
     path = new_folder(spark, "stream-peek")
     jobs.peek(
         _messages(spark, folder, BOTH_TOPICS), path, new_folder(spark, "checkpoint"),
         available_now=True,
     ).awaitTermination()
+    payments = testdata.payments(spark, folder)
+    batches = f"batch_id bigint, {payments.schema.toDDL()}"
+    return _held(spark.read.schema(batches).parquet(path), payments, ["batch_id"])
+
+
+def stream_timed(spark: SparkSession, folder: str) -> DataFrame:
+    """A run with the two-second trigger, stopped when it has read what is there."""
+    path = new_folder(spark, "stream-timed")
+    query = jobs.store_parsed(
+        _messages(spark, folder, BOTH_TOPICS), path, new_folder(spark, "checkpoint")
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
     return files.read_payments(spark, path)
 
 
@@ -310,7 +344,7 @@ QUERIES: dict[str, Query] = {
     "select_id_physician": _on_payments(lambda p: p.select("_id", "physician_id")),
     "select_id_physician_amount": _on_payments(lambda p: p.select("_id", "physician_id", "amount")),
     "amount_by_id_prefix": _on_payments(lambda p: q.by_id_prefix(p, ID_PREFIX).select("amount")),
-    "first_row": _on_payments(lambda p: p.limit(1)),
+    "first_row": _on_payments(first_row),
     # Filters
     "filter_amount_gt_2000": _on_payments(lambda p: q.amount_above(p, 2000)),
     "filter_amount_gt_1000": _on_payments(lambda p: q.amount_above(p, 1000)),
@@ -404,6 +438,7 @@ QUERIES: dict[str, Query] = {
     "stream_parse": stream_parse,
     "stream_message_count": stream_message_count,
     "stream_peek": stream_peek,
+    "stream_timed": stream_timed,
     "stream_upsert": stream_upsert,
     "stream_replay_idempotent": stream_replay_idempotent,
     "stream_report": stream_report,

@@ -42,6 +42,26 @@ def build_session(app_name: str, conf: dict[str, str] | None = None) -> SparkSes
     return builder.getOrCreate()
 
 
+def bytes_at(spark: SparkSession, path: str) -> int:
+    """Bytes stored below a path of any file system; 0 where there is none."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(context._jsc.hadoopConfiguration())
+    return system.getContentSummary(place).getLength() if system.exists(place) else 0
+
+
+def apply_scale(spark: SparkSession, input_bytes: int) -> None:
+    """``scale_conf`` on a running session; what the submitter has set stays.
+
+    With an input of unknown size (0) the session's own partition number stays too.
+    """
+    given = spark.sparkContext.getConf()
+    for key, value in scale_conf(input_bytes, spark.sparkContext.defaultParallelism).items():
+        unknown = key == "spark.sql.shuffle.partitions" and not input_bytes
+        if not given.contains(key) and not unknown:
+            spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach.
 

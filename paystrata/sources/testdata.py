@@ -21,6 +21,11 @@ from paystrata.sinks.messages import publish_to_folder
 from paystrata.sources.files import read_lines, read_payments
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+# Order of the rows of one key in the delimited copy: (column, falling).
+FILE_ORDER = (
+    ("amount", True), ("payer", False), ("physician_specialty", False),
+    ("nature_of_payment", False),
+)
 TOPICS = ("payments_low", "payments_high")
 
 _written: dict[tuple, str] = {}
@@ -157,10 +162,12 @@ def source_rows(records: DataFrame) -> DataFrame:
 
 
 def csv_path(spark: SparkSession, folder: str) -> str:
-    """The delimited source files, each with its header."""
+    """The delimited source files, each with its header, in key order and ``FILE_ORDER``."""
 
-    def write(path: str, _size: int) -> None:
-        rows = source_rows(payments(spark, folder))
+    def write(path: str, size: int) -> None:
+        order = [F.col("_id"), *[F.desc(c) if falls else F.asc(c) for c, falls in FILE_ORDER]]
+        ranged = payments(spark, folder).repartitionByRange(partitions_for(spark, size), *order)
+        rows = source_rows(ranged.sortWithinPartitions(*order))
         rows.write.option("header", True).option("escape", '"').csv(path)
 
     return _derived(spark, folder, "csv", write)

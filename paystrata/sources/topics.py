@@ -28,6 +28,11 @@ def topic_names(topics: str) -> list[str]:
     return list(dict.fromkeys(name for name in topics.split(",") if name))
 
 
+def paths(root: str, topics: str) -> list[str]:
+    """The folders that stand for the topics."""
+    return [f"{root}/{name}" for name in topic_names(topics)]
+
+
 def kafka_options(
     topics: str, brokers: str, group: str | None = None, poll_timeout_ms: int = 5000,
     max_offsets_per_trigger: int | None = None,

@@ -58,6 +58,13 @@ def test_kafka_offset_beats_the_clock(spark):
     assert "late" in last["value"]
 
 
+def test_produce_fills_every_topic(spark, tmp_path):
+    file = tmp_path / "payments.csv"
+    file.write_text("\n".join([",".join(CSV_COLUMNS), payment("p", "1")]) + "\n")
+    cli.main(["produce", "--file", str(file), "--root", str(tmp_path / "r"), "--topics", "a,b"], spark)
+    assert [spark.read.text(str(tmp_path / "r" / t)).count() for t in "ab"] == [1, 1]
+
+
 def test_every_document_found_is_written(spark, tmp_path):
     file, table = tmp_path / "payments.csv", str(tmp_path / "table")
     rows = [payment("p", "20000", str(i)) for i in range(50)]

@@ -38,6 +38,22 @@ def test_shuffle_partitions_follow_the_input():
     assert int(large["spark.sql.shuffle.partitions"]) == session.MOST_PARTITIONS
 
 
+def test_settings_of_a_running_session(spark, tmp_path):
+    spark.createDataFrame([(1,)], "x int").write.parquet(str(tmp_path / "t"))
+    assert session.bytes_at(spark, str(tmp_path / "t")) > 0
+    assert session.bytes_at(spark, str(tmp_path / "none")) == 0
+    key, given = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions"
+    store = "spark.sql.streaming.stateStore.providerClass"
+    before, kept = spark.conf.get(key), spark.conf.get(store)
+    try:
+        session.apply_scale(spark, 10**12)
+        assert spark.conf.get(key) == str(128 * session.MIB)
+        assert spark.conf.get(given) == "8"  # named when the session was made
+    finally:
+        spark.conf.set(key, before)
+        spark.conf.set(store, kept)
+
+
 def test_write_tasks_follow_the_input(spark):
     cores = spark.sparkContext.defaultParallelism
     found = [session.partitions_for(spark, n * session.MIB) for n in (0, 0.5, 100, 128_000)]
@@ -84,6 +100,10 @@ def test_command_line(spark, tmp_path, capsys):
     assert "aca_open_payments_all" in run("views")
     assert '"total": 41.25}' in run("top")
     assert "00999" in run("report")
+    run("views", "--namespace", "kept")
+    assert spark.table("kept.aca_open_payments_all").count() == 1
+    live = ["--once", "--checkpoint", str(tmp_path / "c3"), "--run", "r0"]
+    assert "41.25" in run("live-report", *common, *live)
     run("index", "--to", str(tmp_path / "by_payer"))
     run("compact", "--to", str(tmp_path / "compacted"))
     assert spark.read.parquet(str(tmp_path / "by_payer")).agg(F.sum("amount")).first()[0] == 41.25
