@@ -5,8 +5,8 @@ values of their own format, so a pseudonym is valid in the same format, equal
 values get equal pseudonyms in every document, and different values stay
 different. E-mail addresses, which are no numbers, get a keyed name.
 
-Kinds: payment cards (Luhn), IBANs (mod 97), social security numbers, North
-American phone numbers, IPv4 addresses, dates in ISO and in day or month first
+Kinds: payment cards (Luhn), IBANs (mod 97), social security numbers, phone numbers
+in the North American form with any digits, IPv4 addresses, dates in ISO and in day or month first
 form, and e-mail addresses. What has the shape but fails the check stays.
 
 A number is split as (a, b) over radices A and B, and each round adds a keyed
@@ -34,8 +34,8 @@ IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-
 CARD = r"(?<![0-9.-])[0-9]{4}(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,4}(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = (
-    r"(?<![0-9])(?:\+?1[\x20.-]?)?(?:\([2-9][0-9]{2}\)\x20?|[2-9][0-9]{2}[\x20.-])"
-    r"[2-9][0-9]{2}[\x20.-][0-9]{4}(?![0-9])"
+    r"(?<![0-9])(?:\+?1[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])"
+    r"[0-9]{3}[\x20.-][0-9]{4}(?![0-9])"
 )
 IPV4 = r"(?<![0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9]|\.[0-9])"
 ISO_DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
@@ -213,23 +213,31 @@ def ssn(found: Column, key: str) -> Column:
 
 
 def phone(found: Column, key: str) -> Column:
-    """The ten national digits permuted; area and exchange still begin with 2 to 9."""
+    """The ten national digits permuted; area and exchange each begin with 0 or 1, or with
+    2 to 9, as they did."""
     def new(digits: Column) -> Column:
         national = F.substring(digits, -10, 10)
-        area = number_of(F.substring(national, 1, 3)) - 200
-        exchange = number_of(F.substring(national, 4, 3)) - 200
+        area = number_of(F.substring(national, 1, 3))
+        exchange = number_of(F.substring(national, 4, 3))
         line = number_of(F.substring(national, 7, 4))
-        value = (area * 800 + exchange) * 10000 + line
+
+        def least(part: Column) -> Column:
+            return F.when(part < 200, 0).otherwise(200).cast("long")
+
+        def size(part: Column) -> Column:
+            return F.when(part < 200, 200).otherwise(800).cast("long")
+
+        value = ((area - least(area)) * size(exchange) + exchange - least(exchange)) * 10000 + line
 
         def written(v: Column) -> Column:
-            high = F.floor(v / 10000).cast("long")
+            high = F.call_function("div", v, F.lit(10000))
             fresh = F.concat(
-                padded(F.floor(high / 800).cast("long") + 200, 3),
-                padded(high % 800 + 200, 3), padded(v % 10000, 4),
+                padded(F.call_function("div", high, size(exchange)) + least(area), 3),
+                padded(high % size(exchange) + least(exchange), 3), padded(v % 10000, 4),
             )
             return refill(found, F.concat(F.substr(digits, F.lit(1), F.length(digits) - 10), fresh))
 
-        return let(feistel(value, 80000, 80000, key, "phone"), written)
+        return let(feistel(value, size(area) * 100, size(exchange) * 100, key, "phone"), written)
 
     return let(digits_of(found), new)
 

@@ -168,6 +168,34 @@ def test_pii_formats(spark):
     assert int("".join(str(int(c, 36)) for c in moved)) % 97 == 1 and len(iban) == 27
 
 
+def test_pii_phones_with_any_digits(spark):
+    generator = random.Random(4)
+    forms = ("+1 ({}) {}-{}", "({}) {}-{}", "1-{}-{}-{}", "{}.{}.{}")
+    parts = [(a, e) for a in ("000", "055", "199", "200", "974") for e in ("012", "155", "555", "999")]
+    phones = [
+        form.format(a, e, f"{generator.randint(0, 9999):04d}") for form in forms for a, e in parts
+    ]
+    out = replaced(spark, phones)
+    assert len(set(out)) == len(set(phones))
+    for old, new in zip(phones, out):
+        assert old != new and re.sub("[0-9]", "0", old) == re.sub("[0-9]", "0", new)
+        assert [x[0] < "2" for x in re.findall(r"\d{3}", old)[:2]] == [
+            x[0] < "2" for x in re.findall(r"\d{3}", new)[:2]]
+
+
+def test_pii_leaves_no_planted_phone(spark, documents):
+    phone = re.compile(r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}")
+    planted = {r["doc_id"]: phone.findall(r["text"] or "") for r in documents.collect()}
+    result = {r["doc_id"]: r["text"] for r in pii.digest(documents).collect()}
+    pairs = {}
+    for d, old in planted.items():
+        new = phone.findall(result[d] or "")
+        assert len(new) == len(old)
+        for x, y in zip(old, new):
+            assert x != y and pairs.setdefault(x, y) == y
+    assert pairs and len(set(pairs.values())) == len(pairs)
+
+
 def test_pii_permutation_is_exact(spark):
     frame = spark.range(0, 271 * 271).select(
         pii.feistel(F.col("id"), 271, 271, "k", "t").alias("p")
