@@ -5,7 +5,10 @@ each with its text length and its number of tags. The ratios are smoothed with a
 Gaussian along the page, and lines above the threshold between the two clusters
 of ratios (two means on one axis) vote for the region they stand in. Elements
 that never hold main text weigh nothing, and an ``article`` or ``main`` weighs
-more than the page around it. A region that wins gives all of its lines, short
+more than the page around it, also where a form or a block named for its layout
+(``with-sidebar``) holds it. Where no article is left and such wrappers hold the most
+text, they are taken for the page. Inside an article only divs and lists are judged by
+name, and by whole names (``share-links``, not ``related-work``). A region that wins gives all of its lines, short
 ones included, so a one-word paragraph of the article stays.
 
 Defined results: a null, empty or text-free page gives an empty text; repeated
@@ -19,6 +22,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -46,13 +50,35 @@ ROLES_OUTSIDE = frozenset(
     "navigation banner contentinfo complementary search form alert alertdialog dialog menu "
     "menubar toolbar".split()
 )
-NAMES_OUTSIDE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|promo\w*|sponsor\w*|banner|nav|navbar|navigation|menu|"
+WORDS_OUTSIDE = (
+    r"ads?|advert\w*|adsense|promo\w*|sponsor\w*|banner|nav|navbar|navigation|menu|"
     r"breadcrumbs?|sidebar|side|widget|footer|header|masthead|cookies?|consent|notices?|gdpr|alert|"
     r"popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommend\w*|"
-    r"comments?|commentlist|disqus|replies|respond|pagination|pager|toolbar|skip)(?:$|[\s_-])",
-    re.IGNORECASE,
+    r"comments?|commentlist|disqus|replies|respond|pagination|pager|toolbar|skip"
 )
+NAMES_OUTSIDE = re.compile(rf"(?:^|[\s_-])(?:{WORDS_OUTSIDE})(?:$|[\s_-])", re.IGNORECASE)
+# a name of such words and of words that say nothing, and of comments alone
+_NEUTRAL = (
+    r"\d[a-z0-9]*|area|articles?|bar|block|body|bottom|box|btns?|buttons?|cells?|col|column|container|"
+    r"content|feed|form|global|group|holder|icons?|inline|inner|items?|left|links?|lists?|main|"
+    r"module|page|panel|placeholder|posts?|primary|region|right|row|secondary|section|site|slot|"
+    r"stor(?:y|ies)|text|top|unit|wrap|wrapper|zone"
+)
+
+
+def _whole_names(words: str) -> re.Pattern:
+    part = rf"(?:{_NEUTRAL})[_-]+"
+    return re.compile(
+        rf"(?:^|\s)(?:{part})*(?:{words})(?:[_-]+(?:{words}|{_NEUTRAL}))*(?=$|\s)", re.IGNORECASE
+    )
+
+
+WHOLE_OUTSIDE = _whole_names(WORDS_OUTSIDE.replace(r"\w", "[a-z]"))
+WHOLE_COMMENTS = _whole_names("comments?|commentlist|disqus|replies|respond")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PROSE = HEADINGS | frozenset("p li dd dt td th pre blockquote caption figcaption".split())
+# Why an element weighs nothing: it may be a wrapper, its whole name, its tag or role.
+WRAPPER, NAME, KIND = 1, 2, 3
 # Elements whose end tag may be missing, and the start tags that end them.
 CLOSED_BY = {
     "p": BLOCKS - {"body", "html", "option"},
@@ -67,27 +93,40 @@ CLOSED_BY = {
 WHITE = re.compile(r"\s+")
 SIGMA = 1.0
 MAIN_WEIGHT = 4.0
+PROSE_WORDS = 10
+
+
+class State(NamedTuple):
+    """What holds inside an open element."""
+
+    weight: float = 1.0
+    spare: float = 1.0  # the weight if wrappers are taken for the page
+    region: int = 0
+    hidden: int = 0  # NAME if an inline element's name hides it, else KIND
+    cause: int = 0  # why the weight is zero
+    within: str = ""  # main or article
+    prose: bool = False
 
 
 class LineReader(HTMLParser):
-    """Collects a page's lines: (text, tags, weight, region)."""
+    """Collects a page's lines: (text, tags, weight, region, spare weight)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, float, int]] = []
-        self.open: list[tuple[str, float, int, bool]] = []  # name, weight, region, hidden
+        self.lines: list[tuple[str, int, float, int, float]] = []
+        self.open: list[tuple[str, State]] = []
         self.pieces: list[str] = []
         self.tags = 0
         self.regions = 0
 
-    def _state(self) -> tuple[float, int, bool]:
-        return self.open[-1][1:] if self.open else (1.0, 0, False)
+    def _state(self) -> State:
+        return self.open[-1][1] if self.open else State()
 
     def flush(self) -> None:
         text = WHITE.sub(" ", "".join(self.pieces)).strip()
-        weight, region, _ = self._state()
+        state = self._state()
         if text:
-            self.lines.append((text, self.tags, weight, region))
+            self.lines.append((text, self.tags, state.weight, state.region, state.spare))
             self.tags = 0
         self.pieces = []
 
@@ -103,29 +142,68 @@ class LineReader(HTMLParser):
             self.open.pop()
         if tag in BLOCKS:
             self._close_inline_paragraph(tag)
-        weight, region, hidden = self._state()
+        parent = self._state()
+        weight, spare, region, hidden, cause, within, prose = parent
         named = dict(attrs)
         if tag in HIDDEN or "hidden" in named:
-            hidden = True
-        if self._outside(tag, named):
+            hidden = KIND
+        why = self._outside(tag, named, parent)
+        if why:
             weight = 0.0
-            hidden = hidden or tag not in BLOCKS
-        elif tag in MAIN or named.get("role") in ("main", "article"):
-            weight *= MAIN_WEIGHT
-        if tag in REGIONS and weight:
+            spare = spare if why == WRAPPER else 0.0
+            cause = max(cause, why)
+            if tag not in BLOCKS:
+                hidden = max(hidden, NAME)
+        elif kind := self._main(tag, named):
+            if cause:
+                if cause == KIND or (kind == "article" and self._names(tag, named, WHOLE_OUTSIDE)):
+                    pass
+                elif cause == WRAPPER or kind == "main":
+                    weight, spare, cause = MAIN_WEIGHT, MAIN_WEIGHT, 0
+                    hidden = 0 if hidden == NAME else hidden
+                elif not within:
+                    spare = MAIN_WEIGHT
+            else:
+                weight, spare = weight * MAIN_WEIGHT, spare * MAIN_WEIGHT
+            within = "article" if "article" in (kind, within) else kind
+        if tag in REGIONS and spare:
             self.regions += 1
             # parts of an article belong to it
-            region = region if weight > 1 and region and self.open[-1][1] > 1 else self.regions
-        self.open.append((tag, weight, region, hidden))
+            joined = spare > 1 and region and parent.spare > 1
+            region = region if joined else self.regions
+        prose = prose or tag in PROSE
+        self.open.append((tag, State(weight, spare, region, hidden, cause, within, prose)))
+
+    @staticmethod
+    def _main(tag: str, named: dict[str, str | None]) -> str:
+        role = named.get("role")
+        return tag if tag in MAIN else role if role in MAIN else ""
 
-    def _outside(self, tag: str, named: dict[str, str | None]) -> bool:
+    @staticmethod
+    def _names(tag: str, named: dict[str, str | None], pattern: re.Pattern) -> bool:
+        """Whether a class or id fits; a heading's id is an anchor, not a name."""
+        keys = ("class",) if tag in HEADINGS else ("class", "id")
+        return any(pattern.search(named.get(k) or "") for k in keys)
+
+    def _outside(self, tag: str, named: dict[str, str | None], parent: State) -> int:
+        if tag == "form" or named.get("role") == "form":
+            return WRAPPER
         if tag in OUTSIDE or named.get("role") in ROLES_OUTSIDE:
-            return True
+            return KIND
         if tag == "header":
-            return not any(name in MAIN for name, *_ in self.open)
-        if tag in ("body", "html", *MAIN):
-            return False
-        return any(NAMES_OUTSIDE.search(named.get(k) or "") for k in ("class", "id"))
+            return 0 if any(name in MAIN for name, _ in self.open) else KIND
+        if tag in ("body", "html") or self._main(tag, named):
+            return 0
+        if not self._names(tag, named, NAMES_OUTSIDE):
+            return 0
+        if parent.within:
+            if tag in ("div", "ul", "ol"):
+                return NAME if self._names(tag, named, WHOLE_OUTSIDE) else 0
+            comments = tag == "section" and parent.within == "main"
+            return NAME if comments and self._names(tag, named, WHOLE_COMMENTS) else 0
+        if tag not in BLOCKS and parent.prose:
+            return 0
+        return NAME if self._names(tag, named, WHOLE_OUTSIDE) else WRAPPER
 
     def _close_inline_paragraph(self, tag: str) -> None:
         """A block inside unclosed inline elements of a paragraph ends the paragraph."""
@@ -148,7 +226,7 @@ class LineReader(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        if not self._state()[2]:
+        if not self._state().hidden:
             self.pieces.append(data)
 
 
@@ -175,7 +253,7 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def page_lines(html: str) -> list[tuple[str, int, float, int]]:
+def page_lines(html: str) -> list[tuple[str, int, float, int, float]]:
     reader = LineReader()
     reader.feed(html)
     reader.close()
@@ -183,10 +261,22 @@ def page_lines(html: str) -> list[tuple[str, int, float, int]]:
     return reader.lines
 
 
+def line_weights(lines: list[tuple[str, int, float, int, float]]) -> np.ndarray:
+    """The lines' weights; with those of wrappers where they hold most of an unmarked page."""
+    weights = np.array([line[2] for line in lines])
+    if (weights > 1).any():
+        return weights
+    wrapped = [line[0] for line in lines if not line[2] and line[4]]
+    usable = sum(len(line[0]) for line in lines if line[2])
+    if sum(map(len, wrapped)) > usable and any(len(t.split()) >= PROSE_WORDS for t in wrapped):
+        return np.array([line[4] for line in lines])
+    return weights
+
+
 def main_text(html: str | None) -> str:
     """The page's main text, empty if it has none."""
     lines = page_lines(html) if html else []
-    weights = np.array([line[2] for line in lines])
+    weights = line_weights(lines)
     if not (weights > 0).any():
         return ""
     regions = np.array([line[3] for line in lines])

@@ -148,6 +148,33 @@ def test_main_text(body, text):
     assert html_text.main_text(PAGE % body) == text
 
 
+TALE = "A long paragraph of prose with more than ten words in it. " * 5
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<div class='layout with-sidebar'><div class='sidebar'><article>Other tale</article></div>"
+     "<article><p>One</p></article></div>", "One"),
+    ("<form id='aspnetForm'><nav>Menu</nav><article><p>One</p><form>Mail</form></article></form>", "One"),
+    ("<div id='header'><main><p>One</p></main></div>", "One"),
+    ("<div id='header'><nav>Menu</nav><article><p>" + TALE + "</p></article></div>", TALE.strip()),
+    ("<page-frame class='has-banner'><article><p>One</p></article></page-frame>", "One"),
+    ("<form><nav>Menu</nav><div id='content'><p>" + TALE + "</p></div><footer>2020</footer></form>", TALE.strip()),
+    ("<div class='with-sidebar'><p>" + TALE + "</p><div class='sidebar'>Side</div></div>", TALE.strip()),
+    ("<article><h2 id='related-work'>Related work</h2><section id='navigation'><h3 class='header-files'>Files</h3>"
+     "<p>One <span class='side'>side</span> and <a class='widget' href='#'>two</a>.</p></section>"
+     "<section id='sharing'><p>S</p></section><div id='widget-api'><p>W</p></div>"
+     "<div class='share-links'>Share</div><ul class='social'><li>Like</ul></article>",
+     "Related work\nFiles\nOne side and two.\nS\nW"),
+    ("<article><p>One</p><div id='comments'><article class='comment-body'><p>First</p></article></div></article>", "One"),
+    ("<article><p>One</p></article><div id='comments'><article><p>First</p></article></div>", "One"),
+    ("<main><p>One</p><section id='comments'><p>First</p></section></main>", "One"),
+    ("<div id='content'><p>" + TALE + "<b class='side'>end</b></p></div>", TALE + "end"),
+    ("<form><label>Mail</label><input></form>", ""),
+])
+def test_main_text_in_wrappers(html, text):
+    assert html_text.main_text(f"<html><body>{html}</body></html>") == text
+
+
 def test_pages(spark, folder):
     pages = spark.read.parquet(f"{folder}/pages.parquet")
     result = {r["page_id"]: r for r in html_text.extract(pages).collect()}
