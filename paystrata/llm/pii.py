@@ -7,7 +7,9 @@ different. E-mail addresses, which are no numbers, get a keyed name.
 
 Kinds: payment cards (Luhn), IBANs (mod 97), social security numbers, phone numbers
 in the North American form with any digits, IPv4 addresses, dates in ISO and in day or month first
-form, and e-mail addresses. What has the shape but fails the check stays.
+form, and e-mail addresses. What has the shape but fails the check is tried again in
+its shorter forms, as the other kinds, and from each later start within it; what fails
+all of that stays. The leftmost valid match wins, then the order of the kinds.
 
 A number is split as (a, b) over radices A and B, and each round adds a keyed
 hash of one half to the other modulo its radix. That is a permutation of all
@@ -20,10 +22,12 @@ columns pass through, and ``n_chars`` is brought up to date where it exists.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paystrata.llm.common import let, matches
+from paystrata.llm.common import let
 
 ROUNDS = 8
 DEFAULT_KEY = "paystrata"
@@ -31,7 +35,12 @@ DEFAULT_KEY = "paystrata"
 # One pattern per kind, tried in this order where several fit.
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-CARD = r"(?<![0-9.-])[0-9]{4}(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,4}(?![0-9])"
+CARD_FORMS = (
+    r"[0-9]{4}(?:[\x20-]?[0-9]{4}){3}[\x20-]?[0-9]{1,3}",
+    r"[0-9]{4}(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,4}",
+    r"[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{4,5}",
+)
+CARDS = tuple(rf"(?<![0-9])(?<![0-9]\.){form}(?![0-9])" for form in CARD_FORMS)
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = (
     r"(?<![0-9])(?:\+?1[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])"
@@ -41,10 +50,33 @@ IPV4 = r"(?<![0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9]|\.[0-
 ISO_DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
 SLASH_DATE = r"(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9/])"
 DOT_DATE = r"(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9]|\.[0-9])"
-KINDS = (EMAIL, IBAN, CARD, SSN, PHONE, IPV4, ISO_DATE, SLASH_DATE, DOT_DATE)
-ANY = "|".join(KINDS)
-# Days are counted from here, over 271 * 271 of them, to 2101-01-26.
-FIRST_DAY, DAY_RADIX = "1900-01-01", 271
+# An address may start where its run of characters does, or after another match.
+EMAIL_START = (
+    r"(?:(?<![A-Za-z0-9._%+-])|(?<=[A-Za-z])(?![A-Za-z])|(?<=[0-9])(?![0-9]))" + EMAIL
+)
+ANY = "|".join(
+    (EMAIL_START, IBAN, *CARDS, SSN, PHONE, IPV4, ISO_DATE, SLASH_DATE, DOT_DATE)
+)
+# Characters seen before a start and from it on; only an address is longer.
+BEFORE, AHEAD = 2, 64
+# Days are counted from here. Per era, its first day and two radices whose
+# product is its days: from 0001-01-01, from 1900-01-01, and 2101-01-27 to 9999-12-31.
+FIRST_DAY = "1900-01-01"
+ERAS = ((-693595, 745, 931), (0, 271, 271), (73441, 937, 3079))
+# The length of an IBAN by country, as registered.
+IBAN_LENGTHS = {
+    country: int(length)
+    for length, countries in (
+        pair.split(":") for pair in (
+            "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV "
+            "22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL "
+            "24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR "
+            "27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA "
+            "30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU"
+        ).split()
+    )
+    for country in countries.split(",")
+}
 
 
 def keyed(key: str, *parts: Column) -> Column:
@@ -152,6 +184,33 @@ def mod97(text: Column) -> Column:
     return F.aggregate(F.split(moved, ""), F.lit(0), step)
 
 
+def valid_card(found: Column) -> Column:
+    return let(
+        digits_of(found),
+        lambda digits: F.length(digits).between(13, 19) & (luhn_sum(digits) % 10 == 0),
+    )
+
+
+def valid_iban(found: Column) -> Column:
+    """The country's length, 15 to 34 where none is registered, and the remainder."""
+    lengths = F.create_map(*[F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair])
+    length = F.length(F.replace(found, F.lit(" "), F.lit("")))
+    registered = F.try_element_at(lengths, F.substring(found, 1, 2))
+    fits = F.coalesce(length == registered, length.between(15, 34))
+    return F.when(fits, mod97(found) == 1).otherwise(False)
+
+
+def leading_words(found: Column) -> Column:
+    """A candidate, then without its last word, and so on."""
+    return let(
+        F.split(found, r"\x20"),
+        lambda parts: F.transform(
+            F.sequence(F.size(parts), F.lit(1), F.lit(-1)),
+            lambda n: F.array_join(F.slice(parts, 1, n), " "),
+        ),
+    )
+
+
 def card(found: Column, key: str) -> Column:
     """First digit kept, the rest permuted, the check digit computed anew."""
     def new(digits: Column) -> Column:
@@ -162,8 +221,7 @@ def card(found: Column, key: str) -> Column:
                 t, ((10 - luhn_sum(F.concat(t, F.lit("0"))) % 10) % 10).cast("string")
             ),
         )
-        valid = F.length(digits).between(13, 16) & (luhn_sum(digits) % 10 == 0)
-        return F.when(valid, refill(found, full)).otherwise(found)
+        return refill(found, full)
 
     return let(digits_of(found), new)
 
@@ -186,8 +244,7 @@ def iban(found: Column, key: str) -> Column:
 
         return let(let(digits_of(tail), body), checked)
 
-    valid = F.length(F.replace(found, F.lit(" "), F.lit(""))).between(15, 34) & (mod97(found) == 1)
-    return F.when(valid, let(F.substr(found, F.lit(5)), new)).otherwise(found)
+    return let(F.substr(found, F.lit(5)), new)
 
 
 def ssn(found: Column, key: str) -> Column:
@@ -207,7 +264,7 @@ def ssn(found: Column, key: str) -> Column:
                 "-", padded(area_out, 3), padded(high % 99 + 1, 2), padded(v % 9999 + 1, 4)
             )
 
-        return F.when(valid, let(feistel(value, 898 * 99, 9999, key, "ssn"), written)).otherwise(found)
+        return F.when(valid, let(feistel(value, 898 * 99, 9999, key, "ssn"), written))
 
     return let(digits_of(found), new)
 
@@ -255,22 +312,34 @@ def ipv4(found: Column, key: str) -> Column:
             shown = [(F.shiftright(v, 8 * i) % 256).cast("string") for i in (3, 2, 1, 0)]
             return F.concat_ws(".", *shown)
 
-        return F.when(valid, let(feistel(value, 65536, 65536, key, "ipv4"), written)).otherwise(found)
+        return F.when(valid, let(feistel(value, 65536, 65536, key, "ipv4"), written))
 
     return let(F.split(found, r"\."), new)
 
 
 def date(found: Column, key: str, forms: tuple[str, ...]) -> Column:
-    """The day permuted among the days of two centuries, in the first form that reads it."""
-    result = found
-    for form in reversed(forms):
+    """The day permuted among the days of its era, in the first form that reads it."""
+    first_day = F.lit(FIRST_DAY).cast("date")
+
+    def written(form: str) -> Column:
+        def new(offset: Column) -> Column:
+            def era(place: int) -> Column:
+                value = F.lit(None)
+                for values in ERAS:
+                    value = F.when(offset >= values[0], values[place]).otherwise(value)
+                return value.cast("long")
+
+            def shown(e: Column) -> Column:
+                fresh = feistel(offset - e["f"], e["a"], e["b"], key, "date") + e["f"]
+                return F.date_format(F.date_add(first_day, fresh.cast("int")), form)
+
+            parts = F.struct(era(0).alias("f"), era(1).alias("a"), era(2).alias("b"))
+            return F.when(offset >= ERAS[0][0], let(parts, shown))
+
         day = F.try_to_timestamp(found, F.lit(form)).cast("date")
-        offset = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
-        inside = offset.between(0, DAY_RADIX * DAY_RADIX - 1)
-        fresh = feistel(offset.cast("long"), DAY_RADIX, DAY_RADIX, key, "date")
-        shown = F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), fresh.cast("int")), form)
-        result = F.when(inside, shown).otherwise(result)
-    return result
+        return let(F.datediff(day, first_day).cast("long"), new)
+
+    return F.coalesce(*[written(form) for form in forms])
 
 
 def email(found: Column, key: str) -> Column:
@@ -278,45 +347,89 @@ def email(found: Column, key: str) -> Column:
     return F.concat(F.lit("u"), name, F.lit("@example.invalid"))
 
 
-def pseudonym(found: Column, key: str) -> Column:
-    """The replacement of one match."""
-    def whole(pattern: str) -> Column:
-        return found.rlike(f"^(?:{pattern})$")
-
-    return (
-        F.when(whole(EMAIL), email(found, key))
-        .when(whole(IBAN), iban(found, key))
-        .when(whole(CARD), card(found, key))
-        .when(whole(SSN), ssn(found, key))
-        .when(whole(PHONE), phone(found, key))
-        .when(whole(IPV4), ipv4(found, key))
-        .when(whole(ISO_DATE), date(found, key, ("yyyy-MM-dd",)))
-        .when(whole(SLASH_DATE), date(found, key, ("MM/dd/yyyy", "dd/MM/yyyy")))
-        .when(whole(DOT_DATE), date(found, key, ("dd.MM.yyyy",)))
-        .otherwise(found)
+def pseudonym(window: Column, key: str) -> Column:
+    """``found`` and ``fresh`` of the match that starts ``BEFORE`` characters into
+    ``window``, null where none is valid."""
+    def taken(pattern: str) -> Column:
+        return F.regexp_extract(window, f"(?s)^.{{{BEFORE}}}({pattern})", 1)
+
+    def kind(found: Column, new: Callable[[Column], Column]) -> Column:
+        def both(f: Column) -> Column:
+            return let(
+                F.when(f != "", new(f)),
+                lambda fresh: F.when(
+                    fresh.isNotNull(), F.struct(f.alias("found"), fresh.alias("fresh"))
+                ),
+            )
+
+        return let(found, both)
+
+    ibans = F.filter(leading_words(taken(IBAN)), valid_iban)
+    cards = F.filter(F.array(*[taken(form) for form in CARDS]), valid_card)
+    return F.coalesce(
+        kind(taken(EMAIL), lambda f: email(f, key)),
+        kind(F.get(ibans, 0), lambda f: iban(f, key)),
+        kind(F.get(cards, 0), lambda f: card(f, key)),
+        kind(taken(SSN), lambda f: ssn(f, key)),
+        kind(taken(PHONE), lambda f: phone(f, key)),
+        kind(taken(IPV4), lambda f: ipv4(f, key)),
+        kind(taken(ISO_DATE), lambda f: date(f, key, ("yyyy-MM-dd",))),
+        kind(taken(SLASH_DATE), lambda f: date(f, key, ("MM/dd/yyyy", "dd/MM/yyyy"))),
+        kind(taken(DOT_DATE), lambda f: date(f, key, ("dd.MM.yyyy",))),
     )
 
 
 def pseudonymised(text: Column, key: str = DEFAULT_KEY) -> Column:
     """A struct of ``text`` after replacement and ``n``, the matches that changed.
 
-    The text is joined from the pieces between matches and their pseudonyms.
+    The text is split where a match may start, also within another candidate. From left
+    to right, a start that a match before it covers is passed over.
     """
-    def replaced(found: Column) -> Column:
-        def joined(fresh: Column) -> Column:
-            parts = F.zip_with(
-                F.split(text, ANY, -1), fresh,
-                lambda piece, m: F.concat(piece, F.coalesce(m, F.lit(""))),
+    def window(at: Column) -> Column:
+        def seen(length: Column) -> Column:
+            return F.concat(
+                F.repeat(F.lit(" "), F.greatest(BEFORE - at, F.lit(0))),
+                F.substr(text, F.greatest(at - BEFORE + 1, F.lit(1)), length),
             )
-            changed = F.filter(F.zip_with(found, fresh, lambda x, y: x != y), lambda c: c)
-            return F.struct(F.array_join(parts, "").alias("text"), F.size(changed).alias("n"))
 
-        return let(F.transform(found, lambda m: pseudonym(m, key)), joined)
+        return let(
+            seen(F.lit(BEFORE + AHEAD)),
+            lambda near: F.when(
+                near.rlike(rf"(?s)^.{{{BEFORE}}}[A-Za-z0-9._%+@-]{{{AHEAD - BEFORE},}}$"),
+                seen(F.length(text)),
+            ).otherwise(near),
+        )
 
-    same = F.struct(text.alias("text"), F.lit(0).alias("n"))
-    return let(
-        matches(text, ANY), lambda found: F.when(F.size(found) > 0, replaced(found)).otherwise(same)
-    )
+    def state(out: Column, at: Column, skip: Column, n: Column) -> Column:
+        return F.struct(out.alias("text"), at.alias("at"), skip.alias("skip"), n.alias("n"))
+
+    def step(acc: Column, piece: Column) -> Column:
+        size = F.length(piece)
+        end = acc["at"] + size
+
+        def after(covered: Column, fresh: Column, n: Column) -> Column:
+            rest = F.substr(piece, covered + 1)
+            left = F.greatest(covered - size, F.lit(0))
+            return state(F.concat(acc["text"], fresh, rest), end, left, acc["n"] + n)
+
+        def matched(m: Column) -> Column:
+            changed = (m["found"] != m["fresh"]).cast("int")
+            return F.when(m.isNull(), after(F.lit(0), F.lit(""), F.lit(0))).otherwise(
+                after(F.length(m["found"]), m["fresh"], changed)
+            )
+
+        return F.when(acc["skip"] > 0, after(acc["skip"], F.lit(""), F.lit(0))).otherwise(
+            let(let(window(acc["at"]), lambda w: pseudonym(w, key)), matched)
+        )
+
+    start = state(F.lit(""), F.lit(0), F.lit(0), F.lit(0))
+    return F.when(
+        text.isNotNull(),
+        F.aggregate(
+            F.split(text, f"(?={ANY})", -1), start, step,
+            lambda acc: F.struct(acc["text"].alias("text"), acc["n"].alias("n")),
+        ),
+    ).otherwise(F.struct(text.alias("text"), F.lit(0).alias("n")))
 
 
 def pseudonymise(documents: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:

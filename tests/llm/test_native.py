@@ -196,6 +196,49 @@ def test_pii_leaves_no_planted_phone(spark, documents):
     assert pairs and len(set(pairs.values())) == len(pairs)
 
 
+HIDDEN_WITHIN = [  # (text, what must go); the rest must stay
+    ("ID12 4111 1111 1111 1111 x", "4111 1111 1111 1111"),
+    ("1234 4111 1111 1111 1111 1", "4111 1111 1111 1111"),
+    ("ES9121000418450200051332 BIC", "ES9121000418450200051332"),
+    ("ES91 2100 0418 4502 0005 1332 ON 5", "ES91 2100 0418 4502 0005 1332"),
+    ("GB82 WEST 1234 5698 7654 32 IBAN CODE", "GB82 WEST 1234 5698 7654 32"),
+    ("amex 3782 822463 10005, é", "3782 822463 10005"),
+    ("3782-822463-10005", "3782-822463-10005"),
+    ("card-4111111111111111", "4111111111111111"),
+    ("no.4111-1111-1111-1111.", "4111-1111-1111-1111"),
+    ("4111 1111 1111 1111 122", "4111 1111 1111 1111"),
+    ("🙂🙂 1789-07-14.", "1789-07-14"), ("x 24/12/1899 y", "24/12/1899"), ("27.01.2101", "27.01.2101"),
+    ("0001-01-01", "0001-01-01"), ("9999-12-31", "9999-12-31"),
+    ("(829) 555-4386.bob@x.com", "(829) 555-4386"), ("a" * 90 + "@x.com 4", "a" * 90 + "@x.com"),
+]
+LEFT = [
+    "0.4111111111111111", "4111 1111 1111 1112", "0000-01-01 2021-02-30 31.02.2020", "DE8937040044053201300",
+    "ID12 4111 1111 1111 1112", "000-12-3456",
+]
+
+
+def test_pii_within_failed_candidates(spark):
+    assert replaced(spark, LEFT) == LEFT
+    out = replaced(spark, [t for t, _ in HIDDEN_WITHIN])
+    for (text, value), new in zip(HIDDEN_WITHIN, out):
+        before, after = text.split(value)
+        assert new.startswith(before) and value not in new, (text, new)
+        assert "bob@" not in new and (new.endswith(after) or "bob@" in after), (text, new)
+    alone = replaced(spark, [v for _, v in HIDDEN_WITHIN])
+    assert all(a in new for a, new in zip(alone, out))
+
+
+def test_pii_long_cards_and_far_days(spark):
+    generator = random.Random(5)
+    cards = [with_check_digit("6" + "".join(generator.choices("0123456789", k=k))) for k in (15, 16, 17) * 50]
+    out = replaced(spark, cards)
+    assert all(luhn(x) and x[0] == "6" and len(x) == len(c) and x != c for x, c in zip(out, cards))
+    days = [date.fromordinal(generator.randint(*r)).isoformat() for r in ((1, 693595), (767037, 3652059)) for _ in range(150)]
+    out = replaced(spark, days)
+    assert len(set(out)) == len(set(days))
+    assert all(date.fromisoformat(x) and x[:4] and (x < "1900") == (d < "1900") for x, d in zip(out, days))
+
+
 def test_pii_permutation_is_exact(spark):
     frame = spark.range(0, 271 * 271).select(
         pii.feistel(F.col("id"), 271, 271, "k", "t").alias("p")
