@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paystrata.session import new_folder
@@ -63,3 +63,31 @@ def tell_workers(frame: DataFrame) -> None:
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [root])
+
+
+def numbered(frame: DataFrame, within: list[str], order: list[Column], purpose: str) -> DataFrame:
+    """``frame`` with each row's place (``pos``, from 0) among the rows that agree in
+    ``within``, and their number (``n``).
+
+    Rows are dealt by range of all the given values, so a value of ``within`` that holds
+    most rows fills many tasks; only the row numbers of each (task, value) run are summed
+    up. ``within`` must not hold nulls. Rows that agree in ``order`` too come in any order.
+    """
+    keys = [F.col(name) for name in within]
+    ranged = frame.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    rows = cut(ranged.withColumn("_at", F.monotonically_increasing_id()), purpose)
+    rows = rows.withColumn("_part", F.shiftright("_at", 33))
+    runs = rows.groupBy("_part", *within).agg(
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows")
+    )
+    of_value = Window.partitionBy(*within)
+    before = of_value.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(
+        "_part", *within, "_first",
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
+        F.sum("_rows").over(of_value).alias("n"),
+    )
+    placed = rows.join(runs, ["_part", *within])
+    return placed.withColumn("pos", F.col("_before") + F.col("_at") - F.col("_first")).select(
+        *frame.columns, "pos", "n"
+    )

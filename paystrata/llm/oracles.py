@@ -270,10 +270,154 @@ NGRAM_JOIN = f"""WITH RECURSIVE {_TEXTS}, split AS MATERIALIZED (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id
 FROM split LEFT JOIN members USING (r) LEFT JOIN named USING (component)"""
 
+def _hashed_field(name: str, value: str | None = None) -> str:
+    text = value or f"CAST({name} AS VARCHAR)"
+    return (
+        f"CASE WHEN {name} IS NULL THEN '-' "
+        f"ELSE CAST(octet_length(encode({text})) AS VARCHAR) || ':' || {text} END"
+    )
+
+
+def _leaf(n_chars: str) -> str:
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    parts = [_hashed_field(f, n_chars if f == "n_chars" else None) for f in fields]
+    return f"sha256({' || '.join(parts)})"
+
+
+# CRC-32 of a decimal id: each byte is put in, then eight bits are shifted out.
+_CRC = """xor(list_reduce(
+    flatten([[4294967295]] || list_transform(
+      range(1, length(id) + 1),
+      lambda i: [256 + ascii(substr(id, CAST(i AS INTEGER), 1)), 0, 0, 0, 0, 0, 0, 0, 0]
+    )),
+    lambda c, step: CASE WHEN step >= 256 THEN xor(c, step - 256)
+      ELSE xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END) END
+  ), 4294967295)"""
+
+MERKLE = f"""WITH RECURSIVE ids AS (
+  SELECT row_number() OVER () AS r, *, CAST(doc_id AS VARCHAR) AS id FROM documents
+), leaves AS MATERIALIZED (
+  SELECT r, doc_id, lang, {_leaf("CAST(n_chars AS VARCHAR)")} AS leaf,
+         CASE WHEN {_CRC} % 7 = 0 THEN {_leaf("CAST(n_chars + 1 AS VARCHAR)")}
+              ELSE {_leaf("CAST(n_chars AS VARCHAR)")} END AS claimed
+  FROM ids
+), placed AS MATERIALIZED (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n
+  FROM leaves
+), nodes AS (
+  SELECT tree, 0 AS level, pos, n, leaf AS node FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY tree, level, n, pos // 2
+), subroots AS MATERIALIZED (
+  SELECT tree, node AS subroot FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, tree AS pos, (SELECT count(*) FROM subroots) AS n, subroot AS node FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY pos))
+  FROM tops WHERE n > 1 GROUP BY level, n, pos // 2
+), steps AS MATERIALIZED (
+  SELECT p.r, l.level AS step, (p.pos >> l.level) % 2 = 1 AS is_right, s.node AS sibling
+  FROM placed p JOIN (SELECT DISTINCT tree, level FROM nodes WHERE n > 1) l USING (tree)
+  LEFT JOIN nodes s ON s.tree = p.tree AND s.level = l.level AND s.pos = xor(p.pos >> l.level, 1)
+  UNION ALL
+  SELECT p.r, coalesce(h.levels, 0) + l.level, (p.tree >> l.level) % 2 = 1, s.node
+  FROM placed p LEFT JOIN (
+    SELECT tree, max(level) + 1 AS levels FROM nodes WHERE n > 1 GROUP BY tree
+  ) h USING (tree)
+  CROSS JOIN (SELECT DISTINCT level FROM tops WHERE n > 1) l
+  LEFT JOIN tops s ON s.level = l.level AND s.pos = xor(p.tree >> l.level, 1)
+), folds AS (
+  SELECT r, 0 AS step, claimed AS node FROM placed
+  UNION ALL
+  SELECT f.r, f.step + 1, sha256(CASE WHEN s.is_right THEN coalesce(s.sibling, '') || f.node
+                                      ELSE f.node || coalesce(s.sibling, '') END)
+  FROM folds f JOIN steps s ON s.r = f.r AND s.step = f.step
+), folded AS (
+  SELECT r, arg_max(node, step) AS folded_root FROM folds GROUP BY r
+), proofs AS (
+  SELECT r, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256
+  FROM placed LEFT JOIN steps USING (r) GROUP BY r
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN subroots USING (tree) JOIN folded USING (r) JOIN proofs USING (r)
+CROSS JOIN (SELECT node AS root FROM tops WHERE n = 1)"""
+
+COVER_DEDUP = f"""WITH {_TEXTS}, split AS MATERIALIZED (
+  SELECT r, doc_id, regexp_extract_all(t, '{WORD}') AS words FROM texts
+), starts AS MATERIALIZED (
+  SELECT r, doc_id, i, md5_number(array_to_string(words[i + 1 : i + 50], ' ')) AS passage
+  FROM (SELECT *, unnest(range(0, greatest(len(words) - 49, 0))) AS i FROM split)
+), least AS (
+  SELECT passage, min(doc_id) AS first FROM starts GROUP BY passage
+), repeated AS (
+  SELECT DISTINCT r, unnest(range(i, i + 50)) AS place
+  FROM starts JOIN least USING (passage) WHERE first < doc_id
+), kept AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS words
+  FROM (SELECT r, unnest(words) AS word, unnest(range(0, len(words))) AS place FROM split)
+  ANTI JOIN repeated USING (r, place) GROUP BY r
+)
+SELECT doc_id, len(s.words) AS n_words, len(s.words) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(k.words, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k USING (r)"""
+
+DIVERGENCE = f"""WITH read AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS found
+  FROM documents
+), per_doc AS MATERIALIZED (
+  SELECT lang, source, r, term, count(*) AS n
+  FROM (SELECT lang, source, r, unnest(found) AS term FROM read) GROUP BY ALL
+), kept AS MATERIALIZED (
+  SELECT lang, term, CAST(sum(n) AS HUGEINT) AS in_lang FROM per_doc
+  GROUP BY lang, term HAVING count(*) >= 3
+), langs AS (
+  SELECT lang, count(*) AS v, CAST(sum(in_lang) AS HUGEINT) AS total FROM kept GROUP BY lang
+), groups AS (
+  SELECT DISTINCT lang, source FROM read
+), counts AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, k.in_lang, CAST(coalesce(sum(p.n), 0) AS HUGEINT) AS n
+  FROM groups g JOIN kept k USING (lang)
+  LEFT JOIN per_doc p ON p.lang = g.lang AND p.source = g.source AND p.term = k.term
+  GROUP BY ALL
+), weights AS MATERIALIZED (
+  SELECT lang, source, term, n,
+         1 + (1000000000 * (n + 1)) // (sum(n) OVER (PARTITION BY lang, source) + v) AS p,
+         1 + (1000000000 * (in_lang + 1)) // (total + v) AS q
+  FROM counts JOIN langs USING (lang)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM weights a JOIN weights b
+    ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+         CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(((p - q) * (p - q)) // q AS BIGINT)
+  FROM weights WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (
+    PARTITION BY lang, source, part ORDER BY value DESC, item
+  ) AS INTEGER) AS rank FROM parts
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
+
 ORACLES: dict[str, str] = {
     "op1_suffix_dedup": SUFFIX_DEDUP,
     "op2_url_filter": URL_FILTER,
     "op4_quality_rules": QUALITY,
     "op6_secret_scan": SECRET_SCAN,
     "op9_ngram_join": NGRAM_JOIN,
+    "op11_merkle_manifest": MERKLE,
+    "op12_substring_dedup": COVER_DEDUP,
+    "op13_source_divergence": DIVERGENCE,
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from paystrata.llm import (
-    bpe, decontaminate, html_text, ngram_join, pii, quality, secret_scan, suffix_dedup,
-    toxicity, url_filter,
+    bpe, cover_dedup, decontaminate, divergence, html_text, merkle, ngram_join, pii, quality,
+    secret_scan, suffix_dedup, toxicity, url_filter,
 )
 from paystrata.llm.oracles import ORACLES  # noqa: F401  (part of the contract)
 
@@ -68,6 +68,18 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(_table(spark, folder, "pages"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.audit(_table(spark, folder, "documents"))
+
+
+def op12_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return cover_dedup.digest(_table(spark, folder, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_url_filter": op2_url_filter,
@@ -79,4 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_ngram_join": op9_ngram_join,
     "op10_html_extraction": op10_html_extraction,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_source_divergence": op13_source_divergence,
 }

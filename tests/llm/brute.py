@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -125,3 +126,98 @@ def leaks(text: str | None, items: list[tuple], size: int = 5, least: float = 0.
                 found.append(item)
                 break
     return sorted(found)
+
+
+def manifest(rows: list[tuple]) -> list[tuple]:
+    """(doc_id, leaf, subroot, root, proof hash, folded root, verified) of (doc_id, source, lang,
+    n_chars, text) rows, some of them tampered with."""
+
+    def field(value):
+        return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+    def leaf(row, more=0):
+        doc_id, source, lang, n_chars, text = row
+        n_chars = None if n_chars is None else n_chars + more
+        return sha("".join(field(v) for v in (doc_id, source, lang, n_chars, text)))
+
+    def levels(nodes):
+        out = [nodes]
+        while len(out[-1]) > 1:
+            out.append([sha("".join(out[-1][i : i + 2])) for i in range(0, len(out[-1]), 2)])
+        return out
+
+    def siblings(tree, i):
+        for level in tree[:-1]:
+            yield (i ^ 1) < i, "".join(level[i ^ 1 : (i ^ 1) + 1])
+            i >>= 1
+
+    langs = sorted({r[2] for r in rows}, key=lambda x: (x is not None, (x or "").encode()))
+    members = {
+        lang: sorted((r for r in rows if r[2] == lang), key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+        for lang in langs
+    }
+    trees = {lang: levels([leaf(r) for r in members[lang]]) for lang in langs}
+    top = levels([trees[lang][-1][0] for lang in langs])
+    out = []
+    for place, lang in enumerate(langs):
+        for i, row in enumerate(members[lang]):
+            way = [*siblings(trees[lang], i), *siblings(top, place)]
+            chosen = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 7 == 0
+            node = leaf(row, int(chosen))
+            for before, other in way:
+                node = sha(other + node if before else node + other)
+            proof = sha("".join(other for _, other in way))
+            out.append((row[0], leaf(row), trees[lang][-1][0], top[-1][0], proof, node, node == top[-1][0]))
+    return out
+
+
+def passages(texts: list[tuple], width: int = 50) -> list[tuple]:
+    """(doc_id, words, removed, sha of the kept words) of (doc_id, text) rows."""
+    split = [(d, WORD.findall(t or "")) for d, t in texts]
+    least: dict = {}
+    for d, words in split:
+        for i in range(len(words) - width + 1):
+            if d is not None:
+                passage = tuple(words[i : i + width])
+                least[passage] = min(least.get(passage, d), d)
+    out = []
+    for d, words in split:
+        gone = bytearray(len(words))
+        for i in range(len(words) - width + 1):
+            if d is not None and least[tuple(words[i : i + width])] < d:
+                gone[i : i + width] = b"\1" * width
+        out.append((d, len(words), sum(gone), sha(" ".join(w for w, g in zip(words, gone) if not g))))
+    return out
+
+
+def divergences(rows: list[tuple], scale: int = 10**9) -> list[tuple]:
+    """(lang, source, part, item, value, rank) of (lang, source, text) rows."""
+    term = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+    counts: dict = {}
+    documents: dict = {}
+    for lang, source, text in rows:
+        found = term.findall((text or "").translate(LOWER))
+        counts.setdefault(lang or "", {}).setdefault(source or "", Counter()).update(found)
+        documents.setdefault(lang or "", Counter()).update(set(found))
+    out = []
+    for lang, groups in counts.items():
+        kept = [t for t, n in documents[lang].items() if n >= 3]
+
+        def weights(count):
+            total = sum(count[t] for t in kept)
+            return {t: 1 + scale * (count[t] + 1) // (total + len(kept)) for t in kept}
+
+        p = {source: weights(count) for source, count in groups.items()}
+        q = weights(sum(groups.values(), Counter()))
+        for source, count in groups.items():
+            pairs = [
+                (-sum((p[source][t] - p[o][t]) ** 2 // p[o][t] for t in kept), o.encode())
+                for o in groups if o != source
+            ]
+            more = [
+                (-((p[source][t] - q[t]) ** 2 // q[t]), t.encode())
+                for t in kept if count[t] and p[source][t] > q[t]
+            ]
+            for part, found in (("pair", sorted(pairs)), ("term", sorted(more)[:200])):
+                out += [(lang, source, part, o.decode(), -v, i + 1) for i, (v, o) in enumerate(found)]
+    return out
