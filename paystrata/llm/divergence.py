@@ -5,17 +5,18 @@ A term is a run of letters, only A-Z lowered. A language keeps the terms of at l
 the weight ``p = 1 + SCALE * (count + 1) // (N + V)`` for its N kept occurrences and the
 V kept terms, and the divergence at a term is ``(p - q) ** 2 // q``. Everything is exact.
 
-1. Tasks count terms per group over some megabytes of text, so that a frequent term or a
-   hot source sends one row per batch of texts.
-2. The nonzero counts of a language are cells of a matrix of groups by terms, both
-   ordered by size, so that most of its area is empty. It is cut into tiles of ``ROWS``
-   groups by ``COLUMNS`` terms, and two tiles of the same terms meet in a task.
+1. Tasks count terms per group, up to ``ENTRIES`` different ones at a time, so that a
+   frequent term or a hot source sends one row for many texts.
+2. The nonzero counts of a language are cells of a matrix of groups by terms. It is cut
+   into tiles of ``ROWS`` groups, in order of their size, by about ``COLUMNS`` terms, which
+   a hash deals and the task orders by the number of their cells, so that most of a tile's
+   area is empty squares. Two tiles of the same terms meet in a task.
 3. There each tile is a K-squared quadtree: a square that holds a cell is cut into
    ``K * K`` squares, level by level, down to cells. The trees of two tiles are traversed
    together: where the quadrants of both row blocks are empty, all their pairs get the
    divergence of the two weights of count zero once per term, by number; the others go
    on, and cells are compared one by one in both directions.
-4. Tiles that hold no cell are priced by number as well, at the end.
+4. Terms that no group of either tile has are priced by number as well, at the end.
 
 No task holds more than the cells of two tiles; a language with a third of all texts is
 many tiles. The result has one row per ordered pair of a language's sources, so it is
@@ -38,7 +39,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paystrata.llm.common import cut, map_arrow, numbered, tell_workers
-from paystrata.llm.texthash import chunks
 
 LEAST_DOCUMENTS = 3
 SCALE = 1_000_000_000
@@ -46,7 +46,8 @@ TERM_RANKS = 200
 K = 4
 ROWS, COLUMNS = 32, 1024
 FRONTIER = 1 << 20  # squares that are opened at a time
-CHUNK = 8 << 20
+ENTRIES = 400_000  # counts that a task holds before it passes them on
+FEW_GROUPS = 50_000
 
 # Bytes of terms, A-Z lowered; all others become a space.
 _TERM_BYTES = bytes(
@@ -60,26 +61,34 @@ def terms(text: bytes) -> list[bytes]:
 
 
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, term, occurrences, documents) of some texts at a time."""
+    """(lang, source, term, occurrences, documents) of many texts at a time."""
+    counts: dict[tuple, tuple[Counter, Counter]] = {}
+    size = 0
     for batch in batches:
-        texts = batch.column("text").cast(pa.binary()).to_pylist()
         langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
-        for begin, end in chunks(texts, CHUNK):
-            counts: dict[tuple, tuple[Counter, Counter]] = {}
-            for i in range(begin, end):
-                total, documents = counts.setdefault((langs[i], sources[i]), (Counter(), Counter()))
-                found = terms(texts[i])
-                total.update(found)
-                documents.update(set(found))
-            for (lang, source), (total, documents) in counts.items():
-                size = len(total)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * size, pa.string()), pa.array([source] * size, pa.string()),
-                     pa.array(list(total), pa.binary()).cast(pa.string()),
-                     pa.array(list(total.values()), pa.int64()),
-                     pa.array([documents[term] for term in total], pa.int64())],
-                    ["lang", "source", "term", "count", "docs"],
-                )
+        for lang, source, text in zip(langs, sources, batch.column("text").cast(pa.binary())):
+            total, documents = counts.setdefault((lang, source), (Counter(), Counter()))
+            size -= len(total)
+            found = terms(text.as_py())
+            total.update(found)
+            documents.update(set(found))
+            size += len(total)
+            if size > ENTRIES:
+                yield from _counted(counts)
+                counts, size = {}, 0
+    yield from _counted(counts)
+
+
+def _counted(counts: dict[tuple, tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
+    for (lang, source), (total, documents) in counts.items():
+        size = len(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * size, pa.string()), pa.array([source] * size, pa.string()),
+             pa.array(list(total), pa.binary()).cast(pa.string()),
+             pa.array(list(total.values()), pa.int64()),
+             pa.array([documents[term] for term in total], pa.int64())],
+            ["lang", "source", "term", "count", "docs"],
+        )
 
 
 def _plain(documents: DataFrame) -> DataFrame:
@@ -89,22 +98,25 @@ def _plain(documents: DataFrame) -> DataFrame:
     )
 
 
-def kept_counts(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(lang, source, term, count) of the kept terms, and (lang, term, docs, in_lang)."""
+def kept_counts(documents: DataFrame) -> DataFrame:
+    """(lang, source, term, count, in_lang, leads): the nonzero counts of kept terms.
+
+    ``in_lang`` counts the whole language, and one row of each (lang, term) leads. The
+    tasks have summed most up already, so rows are dealt by term before the rest is.
+    """
     counts = map_arrow(
         _plain(documents), _count_rows,
         "lang string, source string, term string, count bigint, docs bigint",
     )
-    counts = cut(
-        counts.groupBy("lang", "source", "term").agg(
-            F.sum("count").alias("count"), F.sum("docs").alias("docs")
-        ), "term-counts",
+    counts = counts.repartition("lang", "term").groupBy("lang", "term", "source").agg(
+        F.sum("count").alias("count"), F.sum("docs").alias("docs")
     )
-    kept = counts.groupBy("lang", "term").agg(
-        F.sum("docs").alias("docs"), F.sum("count").alias("in_lang")
-    ).where(F.col("docs") >= LEAST_DOCUMENTS)
-    kept = cut(kept, "kept-terms")
-    return counts.drop("docs").join(kept.select("lang", "term"), ["lang", "term"], "left_semi"), kept
+    of_term = Window.partitionBy("lang", "term")
+    return counts.select(
+        "lang", "source", "term", "count", F.sum("count").over(of_term).alias("in_lang"),
+        F.sum("docs").over(of_term).alias("docs"),
+        (F.min("source").over(of_term) == F.col("source")).alias("leads"),
+    ).where(F.col("docs") >= LEAST_DOCUMENTS).drop("docs")
 
 
 def weight(count: Column, n: Column, v: Column) -> Column:
@@ -123,9 +135,11 @@ class Tree:
     A square's code is its row block times the level's column blocks plus its column block.
     """
 
-    def __init__(self, row: np.ndarray, column: np.ndarray, weight: np.ndarray) -> None:
+    def __init__(
+        self, row: np.ndarray, column: np.ndarray, weight: np.ndarray, width: int
+    ) -> None:
         self.depth, side = 0, 1
-        while side < max(ROWS, COLUMNS):
+        while side < max(ROWS, width):
             self.depth, side = self.depth + 1, side * K
         self.squares = []
         for level in range(self.depth + 1):
@@ -202,23 +216,28 @@ _PAIR = "lang string, a bigint, b bigint, forth bigint, back bigint, terms bigin
 
 def _price_table(key: tuple, table: pa.Table) -> pa.Table:
     """All pairs of groups of two tiles. Rows without a term give a group's weight of zero."""
-    lang, tile, i, j = (k.as_py() for k in key)
-    columns = {n: table.column(n).to_numpy() for n in ("g", "col", "p", "v")}
-    width = int(min(COLUMNS, columns["v"][0] - tile * COLUMNS))
-    head, trees, zeros, groups = columns["col"] < 0, [], [], []
-    for block in (i, j):
-        here = columns["g"] // ROWS == block
-        group = columns["g"][here & head]
-        order = np.argsort(group)
-        groups.append(group[order])
-        zeros.append(columns["p"][here & head][order])
-        cell = here & ~head
-        trees.append(Tree(
-            columns["g"][cell] - block * ROWS, columns["col"][cell] - tile * COLUMNS, columns["p"][cell]
-        ))
-        if i == j:
-            trees, zeros, groups = trees * 2, zeros * 2, groups * 2
-            break
+    lang, _, i, j = (k.as_py() for k in key)
+    group, weight = table.column("g").to_numpy(), table.column("p").to_numpy()
+    term = table.column("term").combine_chunks()
+    head = term.is_null().to_numpy(zero_copy_only=False)
+    coded = term.filter(pa.array(~head)).dictionary_encode()
+    code = coded.indices.to_numpy()
+    # terms that most groups have come first
+    order = np.argsort(-np.bincount(code, minlength=len(coded.dictionary)), kind="stable")
+    column = np.empty(len(order), dtype=np.int64)
+    column[order] = np.arange(len(order))
+    column, width = column[code], len(order)
+    cell_group, cell_weight = group[~head], weight[~head]
+    trees, zeros, groups = [], [], []
+    for block in (i,) if i == j else (i, j):
+        here = head & (group // ROWS == block)
+        by_group = np.argsort(group[here])
+        groups.append(group[here][by_group])
+        zeros.append(weight[here][by_group])
+        cell = cell_group // ROWS == block
+        trees.append(Tree(cell_group[cell] - block * ROWS, column[cell], cell_weight[cell], width))
+    if i == j:
+        trees, zeros, groups = trees * 2, zeros * 2, groups * 2
     forth, back = price_pairs(*trees, *zeros, width, i == j)
     a, b = np.repeat(groups[0], len(groups[1])), np.tile(groups[1], len(groups[0]))
     ascending = a < b
@@ -230,36 +249,46 @@ def _price_table(key: tuple, table: pa.Table) -> pa.Table:
     )
 
 
-def _groups(documents: DataFrame, counts: DataFrame, kept: DataFrame) -> DataFrame:
-    """(lang, source, g, size, n, v, p0): groups by size, with their weight of zero."""
+def _groups(documents: DataFrame, counts: DataFrame) -> DataFrame:
+    """A row per (lang, source): its place by size, its size, its language's size, terms and
+    groups, and its weight of zero."""
     sizes = counts.groupBy("lang", "source").agg(F.sum("count").alias("size"))
-    vocabulary = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
+    langs = counts.groupBy("lang").agg(
+        F.sum("count").alias("total"), F.sum(F.col("leads").cast("long")).alias("v")
+    )
     groups = (
         _plain(documents).select("lang", "source").distinct()
-        .join(sizes, ["lang", "source"], "left").join(vocabulary, "lang", "left")
-        .fillna(0, ["size", "v"])
+        .join(sizes, ["lang", "source"], "left").join(langs, "lang", "left")
+        .fillna(0, ["size", "total", "v"])
     )
     rows = numbered(groups, ["lang"], [F.desc("size"), F.col("source")], "term-groups")
     zero = F.when(F.col("v") > 0, weight(F.lit(0), F.col("size"), F.col("v")))
-    return rows.select("lang", "source", F.col("pos").alias("g"), "size", F.col("n").alias("groups"), "v", zero.alias("p0"))
+    return rows.select(
+        "lang", "source", F.col("pos").alias("g"), "size", "total", F.col("n").alias("groups"),
+        "v", zero.alias("p0"),
+    )
 
 
 def _tile_pairs(cells: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang, a, b, forth, back, terms) for a < b, a row per pair of tiles with a cell."""
     blocks = F.ceil(F.col("groups") / ROWS).cast("long")
+    tiles = F.ceil(F.col("v") / COLUMNS).cast("long")
     own, other = F.floor(F.col("g") / ROWS), F.col("other")
     placed = cells.select(
-        "lang", F.floor(F.col("col") / COLUMNS).alias("tile"), "g", "col", "p", "v",
+        "lang", F.pmod(F.xxhash64("term"), tiles).alias("tile"), "g", "term", "p",
         F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"),
     ).select(
         "lang", "tile", F.least(own, other).alias("i"), F.greatest(own, other).alias("j"),
-        "g", "col", "p", "v",
+        "g", "term", "p",
     )
-    met = placed.select("lang", "tile", "i", "j").distinct()
-    heads = groups.select("lang", "g", F.col("p0").alias("p"), "v", own.alias("own"))
-    sides = met.select("*", F.explode(F.array_distinct(F.array("i", "j"))).alias("own"))
-    heads = sides.join(heads, ["lang", "own"]).select(
-        "lang", "tile", "i", "j", "g", F.lit(-1).cast("long").alias("col"), "p", "v"
+    # every tile and pair of blocks gets the weights of zero of its groups
+    heads = groups.where("v > 0").select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)).alias("tile"),
+    ).select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"),
+    ).select(
+        "lang", "tile", F.least(own, other).alias("i"), F.greatest(own, other).alias("j"),
+        "g", F.lit(None).cast("string").alias("term"), F.col("p0").alias("p"),
     )
     tell_workers(cells)
     return placed.unionByName(heads).groupBy("lang", "tile", "i", "j").applyInArrow(
@@ -269,17 +298,16 @@ def _tile_pairs(cells: DataFrame, groups: DataFrame) -> DataFrame:
 
 def audit(documents: DataFrame) -> DataFrame:
     """(lang, source, part, item, value, rank): divergences between sources, and terms."""
-    counts, kept = kept_counts(documents)
-    groups = cut(_groups(documents, counts, kept), "sized-groups")
-    columns = numbered(kept, ["lang"], [F.desc("docs"), F.col("term")], "term-columns").select(
-        "lang", "term", "in_lang", F.col("pos").alias("col")
-    )
-    cells = counts.join(columns, ["lang", "term"]).join(groups, ["lang", "source"]).select(
-        "lang", "source", "g", "groups", "term", "col", "in_lang", "v",
+    counts = cut(kept_counts(documents), "term-counts")
+    groups = cut(_groups(documents, counts), "sized-groups")
+    # the groups go to all tasks only while they are known to be few
+    few = F.broadcast(groups) if groups.count() <= FEW_GROUPS else groups
+    cells = counts.join(few, ["lang", "source"]).select(
+        "lang", "source", "g", "groups", "v", "term",
         weight(F.col("count"), F.col("size"), F.col("v")).alias("p"),
+        weight(F.col("in_lang"), F.col("total"), F.col("v")).alias("q"),
     )
-    cells = cut(cells, "term-cells")
-    return _pair_rows(cells, groups).unionByName(_term_rows(cells, groups, kept))
+    return _pair_rows(cells, groups).unionByName(_term_rows(cells))
 
 
 def _ranked(rows: DataFrame, part: str, most: int | None = None) -> DataFrame:
@@ -300,30 +328,27 @@ def _pair_rows(cells: DataFrame, groups: DataFrame) -> DataFrame:
     pairs = one.join(two, "lang").where("g_a < g_b").join(
         priced.withColumnsRenamed({"a": "g_a", "b": "g_b"}), ["lang", "g_a", "g_b"], "left"
     ).fillna(0, ["forth", "back", "terms"])
-    # the terms of tiles in which neither has a cell
+    # the terms that neither has, beyond those of the tiles they met in
     rest = F.col("v") - F.col("terms")
 
-    def value(priced_name: str, p: str, q: str) -> Column:
+    def row(source: str, item: str, met: str, p: str, q: str) -> Column:
         blank = F.coalesce(divergence(F.col(p), F.col(q)), F.lit(0))
-        return (F.col(priced_name) + rest * blank).cast("long").alias("value")
-
-    rows = pairs.select(
-        "lang", F.col("source_a").alias("source"), F.col("source_b").alias("item"),
-        value("forth", "p0_a", "p0_b"),
-    ).unionByName(pairs.select(
-        "lang", F.col("source_b").alias("source"), F.col("source_a").alias("item"),
-        value("back", "p0_b", "p0_a"),
-    ))
-    return _ranked(rows, "pair")
+        value = (F.col(met) + rest * blank).cast("long")
+        return F.struct(
+            F.col(source).alias("source"), F.col(item).alias("item"), value.alias("value")
+        )
+
+    both = F.array(
+        row("source_a", "source_b", "forth", "p0_a", "p0_b"),
+        row("source_b", "source_a", "back", "p0_b", "p0_a"),
+    )
+    return _ranked(pairs.select("lang", F.inline(both)), "pair")
 
 
-def _term_rows(cells: DataFrame, groups: DataFrame, kept: DataFrame) -> DataFrame:
+def _term_rows(cells: DataFrame) -> DataFrame:
     """Terms that a group uses more than its language does."""
-    totals = kept.groupBy("lang").agg(F.sum("in_lang").alias("total"))
-    rows = cells.join(totals, "lang").select(
-        "lang", "source", F.col("term").alias("item"), "p",
-        weight(F.col("in_lang"), F.col("total"), F.col("v")).alias("q"),
-    ).where("p > q")
-    return _ranked(
-        rows.withColumn("value", divergence(F.col("p"), F.col("q"))), "term", TERM_RANKS
+    rows = cells.where("p > q").select(
+        "lang", "source", F.col("term").alias("item"),
+        divergence(F.col("p"), F.col("q")).alias("value"),
     )
+    return _ranked(rows, "term", TERM_RANKS)

@@ -229,7 +229,7 @@ def test_joint_traversal(filled, same):
         weights = np.repeat(zero[:, None], width, 1)
         row, column = np.nonzero(generator.random((size, width)) < filled)
         weights[row, column] = generator.integers(1, 10**9, len(row))
-        sides.append((divergence.Tree(row, column, weights[row, column]), zero, weights))
+        sides.append((divergence.Tree(row, column, weights[row, column], width), zero, weights))
     if same:
         sides[1] = sides[0]
     (left, zero_left, p), (right, zero_right, q) = sides
@@ -243,5 +243,5 @@ def test_joint_traversal(filled, same):
 
 def test_empty_quadrants_are_not_opened():
     """The squares of a level are those that hold a cell, not the tile's area."""
-    tree = divergence.Tree(np.array([0, 0, 31]), np.array([0, 1, 1023]), np.array([5, 6, 7]))
+    tree = divergence.Tree(np.array([0, 0, 31]), np.array([0, 1, 1023]), np.array([5, 6, 7]), 1024)
     assert [len(s) for s in tree.squares] == [1, 2, 2, 2, 2, 3]
