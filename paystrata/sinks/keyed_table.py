@@ -1,27 +1,54 @@
 """A Parquet table with one current row per key.
 
-A table is a folder ``log`` with every batch written, one folder per (run,
-batch), and after compaction a folder ``base`` with at most one row per key. A
-write touches only its own batch folder, so a repeated batch replaces itself.
-Reading puts the newest log row of each key in place of the base row.
+A table is a folder ``log`` with every batch written, one folder per (run, batch), and a
+folder ``base`` with at most one row per key. A write touches only its own batch folder,
+so a repeated batch replaces itself. Reading puts the newest log row of each key in place
+of the base row.
+
+The base is cut into slices by key range, its partitions, and into buckets by a hash of
+the key. Buckets let a read meet the log without shuffling the base, and slices let
+``fold`` take batches into the base by rewriting only the ranges that they touch.
 ``compact`` writes the current rows as the base of a new table.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paystrata.schema import PAYMENT_SCHEMA
-from paystrata.sinks.layouts import write_sorted
+from paystrata.session import MIB, bytes_at, partitions_for
 from paystrata.sources.topics import SEQUENCE, SEQUENCE_TYPE
 
 _RUN, _BATCH = "run_id", "batch_id"
+_SLOT, _SLICE = "_slot", "slice"
+SLICES = 16
+# Catalog schema of the bases: bucketed files can only be read as a table.
+CATALOG = "paystrata_bases"
+# Log bytes per bucket up to which a task may hold the log's side of the read in memory.
+HELD_BYTES = 32 * MIB
+
+
+class Batch(NamedTuple):
+    """A batch of the log; batches are ordered by run, then by number."""
+
+    run_id: str
+    batch_id: int
+
+
+class Layout(NamedTuple):
+    """How a base is cut: buckets, and the least key of each slice but the first."""
+
+    buckets: int
+    lows: list[tuple]
 
 
 class KeyedTable:
@@ -36,6 +63,8 @@ class KeyedTable:
         self.path = path.rstrip("/")
         self.schema = schema
         self.keys = list(keys)
+        self._names = [field.name for field in schema]
+        self._rest = [name for name in self._names if name not in self.keys]
         self._log_schema = T.StructType(
             [
                 *schema.fields,
@@ -48,11 +77,13 @@ class KeyedTable:
     def create(self) -> KeyedTable:
         """Make an empty table; the path must be free."""
         empty = self.spark.createDataFrame([], self._log_schema).drop(_RUN, _BATCH)
-        empty.write.mode("errorifexists").parquet(self._batch_path("none", 0))
+        empty.write.mode("errorifexists").parquet(self._batch_path(_NONE))
         return self
 
-    def _batch_path(self, run_id: str, batch_id: int) -> str:
-        return f"{self.path}/log/{_RUN}={run_id}/{_BATCH}={batch_id}"
+    # Files
+
+    def _batch_path(self, batch: Batch) -> str:
+        return f"{self.path}/log/{_RUN}={batch.run_id}/{_BATCH}={batch.batch_id}"
 
     def _read(self, path: str, schema: T.StructType) -> DataFrame | None:
         """The Parquet files below a path, or None where there is no such path."""
@@ -63,21 +94,29 @@ class KeyedTable:
                 raise
             return None
 
+    def _hadoop(self, path: str):
+        """A Hadoop path and the file system it is on."""
+        context = self.spark.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        return place, place.getFileSystem(context._jsc.hadoopConfiguration())
+
+    def _names_in(self, path: str) -> list[str]:
+        """Names in a folder, in order; none where there is no folder."""
+        place, system = self._hadoop(path)
+        if not system.exists(place):
+            return []
+        return sorted(status.getPath().getName() for status in system.listStatus(place))
+
     def exists(self) -> bool:
         """Whether the folder that ``create`` made is there; the whole log is not listed."""
-        return self._read(self._batch_path("none", 0), self.schema) is not None
+        return self._read(self._batch_path(_NONE), self.schema) is not None
 
     def require(self) -> None:
         """Writing never makes a table: a missing one is an error."""
         if not self.exists():
             raise FileNotFoundError(f"no keyed table at {self.path}")
 
-    def _base(self) -> DataFrame | None:
-        return self._read(f"{self.path}/base", self.schema)
-
-    def _log(self) -> DataFrame:
-        self.require()
-        return self._read(f"{self.path}/log", self._log_schema)
+    # Batches
 
     def upsert(
         self, rows: DataFrame, run_id: str, batch_id: int = 0, files: int | None = None
@@ -87,40 +126,215 @@ class KeyedTable:
         Inside a batch the row with the greater ``_seq`` wins, and without that
         the greater row by its columns in schema order. A ``_seq`` without a
         position gets the row's place in its task, which follows the split it read.
+        A ``_seq`` with a time counts before the batch: messages of one publication
+        keep their order however they fall into batches.
         ``files`` sets the number of files, at the price of a shuffle.
         """
         if not re.fullmatch(r"[\w.-]+", run_id):
             raise ValueError(f"run id {run_id!r} cannot name a folder")
         self.require()
-        names = [field.name for field in self.schema]
         if SEQUENCE in rows.columns:
             place = F.coalesce(F.col(f"{SEQUENCE}.position"), F.monotonically_increasing_id())
             sequence = F.col(SEQUENCE).withField("position", place).alias(SEQUENCE)
         else:
             sequence = F.lit(None).cast(SEQUENCE_TYPE).alias(SEQUENCE)
-        out = rows.select(*names, sequence)
+        out = rows.select(*self._names, sequence)
         if files:
             out = out.repartition(files)
-        out.write.mode("overwrite").parquet(self._batch_path(run_id, batch_id))
-
-    def _newest(self) -> DataFrame:
-        """The greatest row per key; each map task passes on one row per key at most."""
-        rest = [field.name for field in self.schema if field.name not in self.keys]
-        newest = F.max(F.struct(_RUN, _BATCH, SEQUENCE, *rest)).alias("newest")
-        return (
-            self._log().groupBy(*self.keys).agg(newest)
-            .select(*self.keys, *[F.col(f"newest.{name}").alias(name) for name in rest])
-            .select(*[field.name for field in self.schema])
+        out.write.mode("overwrite").parquet(self._batch_path(Batch(run_id, batch_id)))
+
+    def batches(self, before: Batch | None = None) -> list[Batch]:
+        """The batches in the log that the base does not hold, in order."""
+        self.require()
+        found = [
+            Batch(run[len(_RUN) + 1 :], int(batch[len(_BATCH) + 1 :]))
+            for run in self._names_in(f"{self.path}/log") if run.startswith(_RUN)
+            for batch in self._names_in(f"{self.path}/log/{run}") if batch.startswith(_BATCH)
+        ]
+        folded = self._folded()
+        return sorted(
+            b for b in found
+            if b != _NONE and (before is None or b < before)
+            and not (b in folded and folded[b] == self._stamp(b))
+        )
+
+    def _stamp(self, batch: Batch) -> str:
+        """Changes when the batch is written anew: file names carry their write's id."""
+        names = [n for n in self._names_in(self._batch_path(batch)) if n.startswith("part-")]
+        return hashlib.md5("".join(names).encode()).hexdigest()
+
+    def log(self, batches: list[Batch]) -> DataFrame:
+        paths = [self._batch_path(batch) for batch in batches or [_NONE]]
+        reader = self.spark.read.schema(self._log_schema)
+        return reader.option("basePath", f"{self.path}/log").parquet(*paths)
+
+    def newest(self, log: DataFrame) -> DataFrame:
+        """``newest``: the winning row per key; each map task passes on one row per key at most.
+
+        A message's time, where it has one, counts before its batch.
+        """
+        at, *place = [F.col(f"{SEQUENCE}.{name}") for name in SEQUENCE_TYPE.names]
+        untimed = F.when(at.isNull(), F.col(_BATCH)).alias("untimed")
+        order = [F.col(_RUN), at, untimed, *place, F.col(_BATCH)]
+        return log.groupBy(*self.keys).agg(
+            F.max(F.struct(*order, *[F.col(name) for name in self._rest])).alias("newest")
+        )
+
+    def _rows(self, newest: DataFrame) -> DataFrame:
+        return newest.select(
+            *[F.col(n if n in self.keys else f"newest.{n}").alias(n) for n in self._names]
         )
 
-    def current(self) -> DataFrame:
-        """One row per key. A base row stands unless the log knows its key."""
-        newest, base = self._newest(), self._base()
+    # Base
+
+    def _slot(self) -> Column:
+        return F.xxhash64(*[F.col(key) for key in self.keys])
+
+    def _slice(self, layout: Layout) -> Column:
+        """The number of slices that begin at or before the key, by halving."""
+        if not layout.lows:
+            return F.lit(0)
+        key = F.struct(*[F.col(k) for k in self.keys])
+        kinds = [self.schema[k].dataType for k in self.keys]
+        lows = F.array(*[
+            F.struct(*[F.lit(v).cast(t).alias(k) for k, v, t in zip(self.keys, low, kinds)])
+            for low in layout.lows
+        ])
+        steps = [1 << n for n in reversed(range(len(layout.lows).bit_length()))]
+        return F.transform(F.array(lows), lambda bounds: F.aggregate(
+            F.array(*[F.lit(step) for step in steps]), F.lit(0),
+            lambda found, step: F.when(
+                F.get(bounds, found + step - 1) <= key, found + step
+            ).otherwise(found),
+        ))[0]
+
+    def _layout(self) -> Layout | None:
+        rows = self._read(f"{self.path}/layout", T.StructType(
+            [T.StructField("buckets", T.IntegerType()), T.StructField("n", T.IntegerType()),
+             T.StructField("low", T.StructType([self.schema[k] for k in self.keys]))]
+        ))
+        if rows is None:
+            return None
+        found = sorted(rows.collect(), key=lambda row: row["n"])
+        return Layout(found[0]["buckets"], [tuple(row["low"]) for row in found if row["n"]])
+
+    def _lay_out(self, rows: DataFrame, buckets: int, slices: int) -> Layout:
+        """Slices of about equal size over ``rows``, from the least keys of many small ranges."""
+        ranges = max(4 * slices, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        least = (
+            rows.select(*self.keys).repartitionByRange(ranges, *self.keys)
+            .groupBy(F.spark_partition_id().alias("n"))
+            .agg(F.min(F.struct(*self.keys)).alias("low"))
+            .orderBy("n").collect()
+        )
+        step = max(1, -(-len(least) // slices))
+        layout = Layout(buckets, [tuple(row["low"]) for row in least[step::step]])
+        kind = self._key_ddl()
+        data = [(buckets, 0, None), *[(buckets, i + 1, low) for i, low in enumerate(layout.lows)]]
+        frame = self.spark.createDataFrame(data, f"buckets int, n int, low struct<{kind}>")
+        frame.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/layout")
+        return layout
+
+    def _key_ddl(self) -> str:
+        return ", ".join(f"`{k}`: {self.schema[k].dataType.simpleString()}" for k in self.keys)
+
+    def _table(self, layout: Layout) -> str:
+        """The base's name in the catalog, which knows its slices as they are now."""
+        place, system = self._hadoop(f"{self.path}/base")
+        system.mkdirs(place)
+        location = system.makeQualified(place).toString()
+        name = f"{CATALOG}.base_{hashlib.md5(location.encode()).hexdigest()}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
+        order = ", ".join(f"`{key}`" for key in self.keys)
+        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {CATALOG}")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {_SLOT} BIGINT, {_SLICE} INT) "
+            "USING parquet OPTIONS (partitionOverwriteMode 'dynamic') "
+            f"PARTITIONED BY ({_SLICE}) CLUSTERED BY ({_SLOT}) SORTED BY ({order}) "
+            f"INTO {layout.buckets} BUCKETS LOCATION '{location}'"
+        )
+        self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        return name
+
+    def _write_base(self, rows: DataFrame, layout: Layout) -> None:
+        """Replace the slices that ``rows`` has, a file per slice and bucket."""
+        placed = rows.select(*self._names, self._slot().alias(_SLOT), self._slice(layout).alias(_SLICE))
+        bucket = F.pmod(F.hash(_SLOT), F.lit(layout.buckets))
+        table = self._table(layout)
+        placed.repartition(_SLICE, bucket).write.mode("overwrite").insertInto(table)
+        self.spark.catalog.refreshTable(table)
+
+    def base(self) -> DataFrame | None:
+        """The base with its slices and slots, or None."""
+        layout = self._layout()
+        if layout is not None:
+            return self.spark.table(self._table(layout))
+        if not self._names_in(f"{self.path}/base"):
+            return None
+        return self._read(f"{self.path}/base", self.schema).withColumn(_SLOT, self._slot())
+
+    # Reading
+
+    def current(self, before: Batch | None = None, slices: list[int] | None = None) -> DataFrame:
+        """One row per key. A base row stands unless the log knows its key.
+
+        With ``before`` the state that the earlier batches give; the base must hold no
+        later ones. With ``slices`` the base is read in those only, for callers that ask
+        for keys within them.
+        """
+        batches, base = self.batches(before), self.base()
+        if base is not None and slices is not None:
+            base = base.where(F.col(_SLICE).isin(slices))
         if base is None:
-            return newest
-        left, right = base.alias("base"), self._log().select(*self.keys).distinct().alias("log")
-        same_key = [F.col(f"base.{k}").eqNullSafe(F.col(f"log.{k}")) for k in self.keys]
-        return left.join(right, same_key, "left_anti").unionByName(newest)
+            return self._rows(self.newest(self.log(batches)))
+        if not batches:
+            return base.select(*self._names)
+        newest = self.newest(self.log(batches))
+        return self._standing(base, newest, batches).select(*self._names).unionByName(self._rows(newest))
+
+    def _standing(self, base: DataFrame, newest: DataFrame, batches: list[Batch]) -> DataFrame:
+        """Base rows whose key the log does not know.
+
+        The join is on the slot, by which the base is stored, so only the log's side moves.
+        It asks for ``newest`` itself, so that both uses of the log are one and the same
+        aggregate, which Spark runs once.
+        """
+        layout = self._layout()
+        known = newest.where(F.col("newest").isNotNull()).select(
+            self._slot().alias("_known"), *[F.col(k).alias(f"_known_{k}") for k in self.keys]
+        )
+        if layout is not None:
+            size = sum(bytes_at(self.spark, self._batch_path(batch)) for batch in batches)
+            known = known.repartition(layout.buckets, "_known")
+            if size <= HELD_BYTES * layout.buckets:
+                known = known.hint("shuffle_hash")
+        same = F.col(_SLOT) == F.col("_known")
+        for k in self.keys:
+            mine, other = F.col(k), F.col(f"_known_{k}")
+            # not <=>, which would become part of the join's keys
+            same &= F.coalesce(mine == other, mine.isNull() & other.isNull())
+        return base.join(known, same, "left_anti")
+
+    def find_key(self, *values) -> DataFrame:
+        """The current row of a key; of the base only its bucket and slice are read."""
+        batches, base, layout = self.batches(), self.base(), self._layout()
+        same = F.lit(True)
+        for k, value in zip(self.keys, values):
+            same &= F.col(k).eqNullSafe(F.lit(value).cast(self.schema[k].dataType))
+        rows = self._rows(self.newest(self.log(batches).where(same)))
+        if base is None:
+            return rows
+        place = self.spark.createDataFrame([tuple(values)], T.StructType([self.schema[k] for k in self.keys]))
+        place = place.select(
+            self._slot().alias("slot"), (self._slice(layout) if layout else F.lit(0)).alias("slice")
+        ).first()
+        stored = base.where(same & (F.col(_SLOT) == place["slot"]))
+        if layout is not None:
+            stored = stored.where(F.col(_SLICE) == place["slice"])
+        # at most one row on either side
+        stored = stored.select(*self._names, F.lit(0).alias("_late"))
+        both = stored.unionByName(rows.withColumn("_late", F.lit(1)))
+        return both.orderBy(F.desc("_late")).limit(1).drop("_late")
 
     def sql(self) -> str:
         """``current()`` as a SQL subquery on paths, for views that outlive the session.
@@ -129,31 +343,119 @@ class KeyedTable:
         text.
         """
         self.require()
-        rest = [f"`{f.name}`" for f in self.schema if f.name not in self.keys]
+        rest = [f"`{name}`" for name in self._rest]
         keys = [f"`{key}`" for key in self.keys]
-        names = [f"`{field.name}`" for field in self.schema]
+        names = [f"`{name}`" for name in self._names]
         log, base = f"parquet.`{self.path}/log`", f"parquet.`{self.path}/base`"
         picked = [name if name in keys else f"newest.{name}" for name in names]
         # the batch folders' values need their types said: a schema by path is inferred
-        order = f"string({_RUN}), bigint({_BATCH}), {SEQUENCE}"
+        at, *place = [f"{SEQUENCE}.{name}" for name in SEQUENCE_TYPE.names]
+        batch = f"bigint({_BATCH})"
+        order = [f"string({_RUN})", at, f"if({at} IS NULL, {batch}, NULL)", *place, batch]
         text = (
-            f"SELECT {', '.join(picked)} FROM (SELECT {', '.join(keys)}, "
-            f"max(struct({', '.join([order, *rest])})) AS newest "
-            f"FROM {log} GROUP BY {', '.join(keys)})"
+            f"WITH newest_rows AS (SELECT {', '.join(keys)}, "
+            f"max(struct({', '.join([*order, *rest])})) AS newest "
+            f"FROM {log} GROUP BY {', '.join(keys)}) "
         )
-        if self._base() is not None:
+        if self._names_in(f"{self.path}/base"):
             same_key = " AND ".join(f"base.{key} <=> log.{key}" for key in keys)
-            text = (
-                f"SELECT {', '.join(names)} FROM {base} AS base "
-                f"LEFT ANTI JOIN {log} AS log ON {same_key} UNION ALL {text}"
+            text += (
+                f"SELECT {', '.join(f'base.{name}' for name in names)} FROM {base} AS base "
+                f"LEFT ANTI JOIN newest_rows AS log ON {same_key} UNION ALL "
             )
-        return f"({text})"
+        return f"({text}SELECT {', '.join(picked)} FROM newest_rows)"
+
+    # Compaction
 
-    def compact(self, path: str, partitions: int | None = None) -> KeyedTable:
-        """The current rows as the sorted base of a new table at ``path``.
+    def compact(
+        self, path: str, partitions: int | None = None, slices: int = SLICES
+    ) -> KeyedTable:
+        """The current rows as the base of a new table at ``path``.
 
-        The log comes last: until the base is complete there is no table.
+        The log comes last: until the base is complete there is no table. ``partitions``
+        is the number of buckets.
         """
         target = KeyedTable(self.spark, path, self.schema, self.keys)
-        write_sorted(self.current(), f"{target.path}/base", self.keys, partitions=partitions)
+        if target._names_in(target.path):
+            raise ValueError(f"{path} already exists")
+        buckets = partitions or partitions_for(self.spark, bytes_at(self.spark, self.path))
+        rows = self.current()
+        target._write_base(rows, target._lay_out(rows, buckets, slices))
         return target.create()
+
+    def fold(
+        self, before: Batch | None = None, buckets: int | None = None, slices: int = SLICES
+    ) -> list[Batch]:
+        """Take the log's batches into the base in place; gives those taken.
+
+        Only the slices that the batches touch are written. They are staged first, so a
+        fold that breaks off is finished by the next one; while the stage is moved,
+        readers may miss rows of those slices. The batches stay in the log, which readers
+        now skip, until ``vacuum``.
+        """
+        self._finish_folds()
+        batches = self.batches(before)
+        if not batches:
+            return []
+        layout = self._layout()
+        if layout is None:
+            rows = self.current(before)
+            size = bytes_at(self.spark, self.path)
+            layout = self._lay_out(rows, buckets or partitions_for(self.spark, size), slices)
+            if not self._names_in(f"{self.path}/base"):
+                touched = None
+            else:  # a base of whole files is laid out anew
+                touched = list(range(len(layout.lows) + 1))
+        else:
+            touched = self.slices_of(self.newest(self.log(batches)))
+            rows = self.current(before, touched)
+        mark = f"{len(self._names_in(f'{self.path}/folds')):06d}-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.path}/stage/{mark}")
+        taken = [(*batch, self._stamp(batch)) for batch in batches]
+        self.spark.createDataFrame(taken, _TAKEN).coalesce(1).write.parquet(f"{self.path}/folds/{mark}")
+        self._move(mark, layout)
+        return batches
+
+    def slices_of(self, rows: DataFrame) -> list[int] | None:
+        """The slices that hold the rows' keys; none said where the base has none."""
+        layout = self._layout()
+        if layout is None:
+            return None
+        return sorted(row[0] for row in rows.select(self._slice(layout)).distinct().collect())
+
+    def _move(self, mark: str, layout: Layout) -> None:
+        staged = self.spark.read.schema(self.schema).parquet(f"{self.path}/stage/{mark}")
+        self._write_base(staged, layout)
+        done = self.spark.createDataFrame([(mark,)], "fold string")
+        done.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/folds_done/{mark}")
+
+    def _finish_folds(self) -> None:
+        done = set(self._names_in(f"{self.path}/folds_done"))
+        for mark in self._names_in(f"{self.path}/folds"):
+            if mark not in done:
+                self._move(mark, self._layout())
+
+    def _folded(self) -> dict[Batch, str]:
+        """The batches that finished folds took, with their state then."""
+        found = {}
+        for mark in self._names_in(f"{self.path}/folds_done"):
+            for row in self.spark.read.schema(_TAKEN).parquet(f"{self.path}/folds/{mark}").collect():
+                found[Batch(row[_RUN], row[_BATCH])] = row["stamp"]
+        return found
+
+    def vacuum(self) -> list[Batch]:
+        """Delete the batches that the base holds, and old stages; gives those batches.
+
+        For times when nobody reads: a reader that has listed the log would miss them.
+        """
+        self._finish_folds()
+        gone = [b for b, stamp in self._folded().items() if self._stamp(b) == stamp]
+        paths = [self._batch_path(batch) for batch in gone]
+        for path in [*paths, f"{self.path}/stage"]:
+            place, system = self._hadoop(path)
+            system.delete(place, True)
+        return sorted(gone)
+
+
+_NONE = Batch("none", 0)
+_TAKEN = f"{_RUN} string, {_BATCH} bigint, stamp string"

@@ -3,20 +3,18 @@
 from __future__ import annotations
 
 import math
+import os
 
 import duckdb
 
-TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "pages",
-)
-
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    """A view for each table that the folder holds."""
     connection = duckdb.connect()
-    for table in TABLES:
-        connection.execute(
-            f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')"
-        )
+    for file in sorted(os.listdir(folder)):
+        name, kind = os.path.splitext(file)
+        if kind == ".parquet":
+            connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{file}')")
     return connection
 
 
