@@ -52,6 +52,17 @@ def pick_fields(line: Column, positions: Sequence[int]) -> Column:
     return F.when(line.contains(_MARK), one_by_one).otherwise(F.split(marked, _MARK))
 
 
+def has_fields(line: Column, count: int) -> Column:
+    """Whether a line has at least so many fields; none of them is made.
+
+    Every field but the first takes a comma. Where no quote comes into it, so many
+    commas settle the matter; only other lines are matched up to the last one needed.
+    """
+    pattern = rf"\A{_UNPAIRED_START}{_FIELD}(?:,{_FIELD}){{{count - 1}}}"
+    commas = rf"\A(?:[^\",]*+,){{{count - 1}}}"
+    return line.rlike(commas) | line.rlike(pattern)
+
+
 def strip_quotes(field: Column) -> Column:
     return F.replace(field, F.lit('"'), F.lit(""))
 

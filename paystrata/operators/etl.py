@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from paystrata.functions import fields as f
 from paystrata.schema import (
+    CORRUPT,
     CSV_SCHEMA,
     MIN_FIELDS,
     PAYMENT_COLUMNS,
@@ -47,9 +48,9 @@ def _split_once(fields: Column) -> Column:
     return F.explode(F.array(fields)).alias(_FIELDS)
 
 
-def split_lines(lines: DataFrame) -> DataFrame:
+def split_lines(lines: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """``value`` and the array of all its fields."""
-    return lines.select("value", _split_once(f.split_fields(F.col("value"))))
+    return lines.select("value", _split_once(f.split_fields(F.col("value"))), *carry)
 
 
 def raw_field(name: str) -> Column:
@@ -98,11 +99,12 @@ def parse_standard_csv(lines: DataFrame, carry: Sequence[str] = ()) -> DataFrame
 
     Short lines are left out, as in ``parse_lines``; ``rejected_lines`` has them.
     """
-    options = {"escape": '"', "mode": "PERMISSIVE"}
-    row = F.from_csv("value", CSV_SCHEMA.simpleString()[len("struct<"):-1].replace(":", " "), options)
-    # a line that ends before the last needed field has NULL in the column after its end
-    long_enough = F.size(f.split_fields(F.col("value"))) >= MIN_FIELDS
-    rows = lines.filter(long_enough).select(row.alias("row"), *carry)
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    columns = ", ".join(f"{name} string" for name in [*CSV_SCHEMA.names, CORRUPT])
+    parsed = F.explode(F.array(F.from_csv("value", columns, options))).alias("row")
+    # the parser itself tells lines of the full width; only others are counted
+    whole = F.col(f"row.{CORRUPT}").isNull() | f.has_fields(F.col("value"), MIN_FIELDS)
+    rows = lines.select(parsed, "value", *carry).filter(whole)
     typed = rows.select(
         *[
             (f.lenient_amount(F.col(f"row.{source}")) if name == "amount" else F.col(f"row.{source}"))

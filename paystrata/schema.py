@@ -69,6 +69,8 @@ CSV_COLUMNS: list[str] = (
     + ["Program_Year", "Payment_Publication_Date"]
 )
 CSV_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in CSV_COLUMNS])
+# Where a reader puts the text of a row that does not fit its columns.
+CORRUPT = "_corrupt_record"
 
 # Record field -> source column. The amount and the key are handled apart.
 SOURCE_NAMES: dict[str, str] = {

@@ -45,10 +45,15 @@ def in_file_order(source: DataFrame) -> DataFrame:
 
 
 def read_lines(
-    spark: SparkSession, path: str, header: Sequence[str] | None = tuple(CSV_COLUMNS)
+    spark: SparkSession, path: str, header: Sequence[str] | None = tuple(CSV_COLUMNS),
+    in_order: bool = False,
 ) -> DataFrame:
-    """Raw lines. The header is dropped by its text, quoted or not, from every file."""
-    lines = spark.read.text(path)
+    """Raw lines. The header is dropped by its text, quoted or not, from every file.
+
+    With ``in_order`` each line carries its file and block.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    lines = in_file_order(lines) if in_order else lines
     if header is None:
         return lines
     quoted = [f'"{name}"' for name in header]

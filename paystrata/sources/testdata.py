@@ -19,6 +19,7 @@ from paystrata.session import new_folder, partitions_for
 from paystrata.sinks.layouts import write_by_payer, write_sorted
 from paystrata.sinks.messages import publish_to_folder
 from paystrata.sources.files import read_lines, read_payments
+from paystrata.sources.topics import SEQUENCE
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 # Order of the rows of one key in the delimited copy: (column, falling).
@@ -174,13 +175,14 @@ def csv_path(spark: SparkSession, folder: str) -> str:
 
 
 def topics_root(spark: SparkSession, folder: str) -> str:
-    """Two published topics: payers ending in 0-4, and the others."""
+    """Two topics, published in file order: payers ending in 0-4, and the others."""
 
-    def write(path: str, _size: int) -> None:
-        lines = split_lines(read_lines(spark, csv_path(spark, folder)))
+    def write(path: str, size: int) -> None:
+        lines = split_lines(read_lines(spark, csv_path(spark, folder), in_order=True), [SEQUENCE])
         low = F.coalesce(F.right(strip_quotes(raw_field("payer")), F.lit(1)) < "5", F.lit(False))
-        publish_to_folder(lines.filter(low), f"{path}/{TOPICS[0]}")
-        publish_to_folder(lines.filter(~low), f"{path}/{TOPICS[1]}")
+        parts = partitions_for(spark, size)
+        publish_to_folder(lines.filter(low), f"{path}/{TOPICS[0]}", parts)
+        publish_to_folder(lines.filter(~low), f"{path}/{TOPICS[1]}", parts)
 
     return _derived(spark, folder, "topics", write)
 

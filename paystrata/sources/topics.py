@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SEQUENCE = "_seq"
+# Folder of one publication: this, the time in UTC to the microsecond, and more.
+PUBLICATION = "publication="
 SEQUENCE_TYPE = T.StructType(
     [
         T.StructField("at", T.TimestampType()),
@@ -83,6 +85,14 @@ def kafka_stream(spark: SparkSession, topics: str, brokers: str, **settings) ->
     return kafka_messages(spark.readStream.format("kafka").options(**options).load())
 
 
+def published_at() -> Column:
+    """When a message was published: the time in its folder's name, else its file's own."""
+    path = F.col("_metadata.file_path")
+    stamp = F.regexp_extract(path, rf"/{PUBLICATION}(\d{{8}}T\d{{12}})-[^/]*/[^/]*\z", 1)
+    named = F.to_timestamp(F.nullif(stamp, F.lit("")), "yyyyMMdd'T'HHmmssSSSSSS")
+    return F.coalesce(named, F.col("_metadata.file_modification_time"))
+
+
 def folder_stream(
     spark: SparkSession, root: str, topics: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
@@ -98,7 +108,7 @@ def folder_stream(
             # Splits of a file may run in any order. The place within a split is
             # not known to a stream; the keyed write numbers it.
             sequence(
-                F.col("_metadata.file_modification_time"),
+                published_at(),
                 F.col("_metadata.file_path"),
                 F.col("_metadata.file_block_start"),
                 F.lit(None),
