@@ -73,9 +73,9 @@ def consume(spark: SparkSession, args) -> None:
 
 def peek(spark: SparkSession, args) -> None:
     """Parsed records of each micro-batch on the console."""
-    records = etl.parse_lines(_messages(spark, args))
-    jobs.print_batches(
-        records, args.checkpoint, args.limit or 10, available_now=args.once
+    jobs.peek(
+        _messages(spark, args), None, args.checkpoint, args.limit or 10, available_now=args.once,
+        rejects=args.rejects,
     ).awaitTermination()
 
 

@@ -76,14 +76,15 @@ def _latest(batch: str, columns: str = _ALL, rest: str = "") -> str:
 ) SELECT {columns} FROM ranked WHERE place = 1 {rest}""".rstrip()
 
 
-def _last_in_file() -> str:
-    """The winning row per key of the delimited files: their last, by FILE_ORDER."""
+def _last_in_file(columns: str = _ALL, rest: str = "", batch: str = "0") -> str:
+    """The winning row per key of the delimited files: of the later batch, then by FILE_ORDER."""
     order = ", ".join(
         f"{name} {'ASC NULLS FIRST' if falls else 'DESC NULLS LAST'}" for name, falls in FILE_ORDER
     )
     return f"""{_PAYMENTS}, ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY _id ORDER BY {order}) AS place FROM payments
-) SELECT {_ALL} FROM ranked WHERE place = 1"""
+  SELECT *, row_number() OVER (PARTITION BY _id ORDER BY {batch} DESC, {order}) AS place
+  FROM payments
+) SELECT {columns} FROM ranked WHERE place = 1 {rest}""".rstrip()
 
 
 def _source_value(name: str) -> str:
@@ -134,6 +135,10 @@ _CENTS_TOTAL = "round(sum(amount), 2) AS total"
 _BY_PAYER = f"WHERE payer = '{PAYER}'"
 _BY_PREFIX = f"WHERE _id LIKE '{ID_PREFIX}%'"
 
+_CURRENT_REPORT = _last_in_file(
+    f"{_DIMS}, round(sum(amount), 2) AS us_dollars", f"GROUP BY {_DIMS}", _LATER
+)
+
 ORACLES: dict[str, str] = {
     # Sources
     "scan_csv": _select(
@@ -166,6 +171,8 @@ ORACLES: dict[str, str] = {
     "publish_lines": _select("_id, payer, amount"),
     "upsert_batch": _latest(_LATER),
     "compact_table": _latest(_LATER),
+    "fold_table": _latest(_LATER),
+    "key_lookup": _latest(_LATER, rest="AND _id = (SELECT min(_id) FROM payments)"),
     "result_as_json": f"""{_PAYMENTS}, top AS (
   SELECT physician_specialty, CAST(round(sum(amount), 2) AS DECIMAL(38, 2)) AS total
   FROM payments GROUP BY physician_specialty
@@ -277,11 +284,12 @@ FROM payments p WHERE NOT EXISTS (
         "least(count(*), 10) AS n_found"
     ),
     "stream_timed": _select(_ALL),
-    "stream_upsert": _latest(_LATER),
-    "stream_replay_idempotent": _latest(_LATER),
-    "stream_report_keyed": _latest(
-        _LATER,
-        f"{_DIMS}, round(sum(amount), 2) AS us_dollars", f"GROUP BY {_DIMS}",
+    "stream_upsert": _last_in_file(batch=_LATER),
+    "stream_replay_idempotent": _last_in_file(batch=_LATER),
+    "stream_report_keyed": _CURRENT_REPORT,
+    "live_report_current": _CURRENT_REPORT,
+    "live_report_rejects": _select(
+        "count(physician_specialty) AS n_records, count(*) - count(physician_specialty) AS n_rejects"
     ),
     "stream_report": _select(
         f"{_DIMS}, round(sum(amount), 2) AS us_dollars", f"GROUP BY {_DIMS}"

@@ -15,6 +15,7 @@ from paystrata.plans import views
 from paystrata.schema import NARROW_SCHEMA, SOURCE_NAMES
 from paystrata.session import new_folder
 from paystrata.sinks.keyed_table import KeyedTable
+from paystrata.sinks.ledger import Ledger
 from paystrata.sinks.messages import publish_to_folder
 from paystrata.sources import files, testdata, topics
 from paystrata.streaming import jobs
@@ -148,7 +149,7 @@ def batch_etl(spark: SparkSession, folder: str) -> DataFrame:
 
 def publish_lines(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "published")
-    publish_to_folder(files.read_lines(spark, testdata.csv_path(spark, folder)), path)
+    publish_to_folder(files.read_lines(spark, testdata.csv_path(spark, folder), in_order=True), path)
     return etl.parse_lines(files.read_lines(spark, path, header=None)).select("_id", "payer", "amount")
 
 
@@ -219,6 +220,8 @@ def _messages(spark: SparkSession, folder: str, names: str, **options) -> DataFr
 
 
 BOTH_TOPICS = ",".join(testdata.TOPICS)
+# Small enough that the topics come in several micro-batches.
+FILES_PER_BATCH = 4
 
 
 def stream_multi_source(spark: SparkSession, folder: str) -> DataFrame:
@@ -247,6 +250,27 @@ def stream_message_count(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.message_counts(spark, path)
 
 
+def fold_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The first batch as the base, the second taken into the slices that it touches."""
+    rows = testdata.payments(spark, folder)
+    low = F.right("payer", F.lit(1)) < "5"
+    table = KeyedTable(spark, new_folder(spark, "folded")).create()
+    table.upsert(rows.filter(low), run_id="load", batch_id=0)
+    table.fold()
+    table.upsert(rows.filter(~low), run_id="load", batch_id=1)
+    table.fold()
+    return table.current()
+
+
+def key_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """The current row of the least key, by its bucket and slice, beside the log."""
+    table = _upserted(spark, folder)
+    table.fold()
+    table.upsert(table.current().where("amount > 100000"), run_id="load", batch_id=2)
+    least = table.current().agg(F.min("_id").alias("_id")).first()["_id"]
+    return table.find_key(least)
+
+
 def stream_peek(spark: SparkSession, folder: str) -> DataFrame:
     """Rows kept of each micro-batch, and how many of them the table holds."""
     path = new_folder(spark, "stream-peek")
@@ -273,11 +297,14 @@ def stream_timed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _stream_into(spark: SparkSession, folder: str, table: KeyedTable, pass_no: int) -> None:
-    """One run per topic, so that the second topic wins where both have a key."""
+    """One run per topic, so that the second topic wins where both have a key.
+
+    Within a topic the last message of a key in the order of the files wins.
+    """
     for n, topic in enumerate(testdata.TOPICS):
         jobs.upsert_parsed(
-            _messages(spark, folder, topic), table, f"pass{pass_no}-{n}",
-            new_folder(spark, "checkpoint"), available_now=True, source_order=False,
+            _messages(spark, folder, topic, max_files_per_trigger=FILES_PER_BATCH), table,
+            f"pass{pass_no}-{n}", new_folder(spark, "checkpoint"), available_now=True,
         ).awaitTermination()
 
 
@@ -311,6 +338,39 @@ def stream_report_keyed(spark: SparkSession, folder: str) -> DataFrame:
     return _cents(report.open_payments(table.current()), "us_dollars")
 
 
+def live_report_current(spark: SparkSession, folder: str) -> DataFrame:
+    """The report that signed differences keep while both topics are read, twice."""
+    table = KeyedTable(spark, new_folder(spark, "live-table")).create()
+    ledger = Ledger(table, new_folder(spark, "live-ledger"))
+    for pass_no in range(2):
+        for n, topic in enumerate(testdata.TOPICS):
+            jobs.refresh_current(
+                _messages(spark, folder, topic, max_files_per_trigger=FILES_PER_BATCH), ledger,
+                f"pass{pass_no}-{n}", new_folder(spark, "checkpoint"), available_now=True,
+                fold_every=2,
+            ).awaitTermination()
+    return _cents(ledger.report(), "us_dollars")
+
+
+def live_report_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """What became of the messages of a report, lines without a specialty cut short."""
+    messages = _messages(spark, folder, BOTH_TOPICS)
+    damaged = etl.split_lines(messages, [topics.SEQUENCE]).select(
+        F.when(etl.raw_field("physician_specialty") != "", F.col("value"))
+        .otherwise(F.array_join(F.slice("_fields", 1, 20), ",")).alias("value"),
+        topics.SEQUENCE,
+    )
+    table = KeyedTable(spark, new_folder(spark, "rejecting-table")).create()
+    ledger = Ledger(table, new_folder(spark, "rejecting-ledger"))
+    rejects = new_folder(spark, "rejecting-rejects")
+    jobs.refresh_current(
+        damaged, ledger, "r0", new_folder(spark, "checkpoint"), available_now=True, rejects=rejects
+    ).awaitTermination()
+    kept = table.log(table.batches()).agg(F.count("*").alias("n_records"))
+    lost = spark.read.schema("value string, n_fields int").option("recursiveFileLookup", True).parquet(rejects)
+    return kept.crossJoin(lost.agg(F.count("*").alias("n_rejects")))
+
+
 QUERIES: dict[str, Query] = {
     # Sources
     "scan_csv": scan_csv,
@@ -333,6 +393,8 @@ QUERIES: dict[str, Query] = {
     "publish_lines": publish_lines,
     "upsert_batch": upsert_batch,
     "compact_table": compact_table,
+    "fold_table": fold_table,
+    "key_lookup": key_lookup,
     "result_as_json": _on_payments(result_as_json),
     "view_payments": _on_view("SELECT _id, payer, amount FROM payments"),
     "cache_count": cache_count,
@@ -443,4 +505,6 @@ QUERIES: dict[str, Query] = {
     "stream_replay_idempotent": stream_replay_idempotent,
     "stream_report": stream_report,
     "stream_report_keyed": stream_report_keyed,
+    "live_report_current": live_report_current,
+    "live_report_rejects": live_report_rejects,
 }
