@@ -10,20 +10,22 @@ import argparse
 import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from paystrata.functions.patterns import FEBRUARY_EXACT
 from paystrata.operators import etl, queries as q, report
-from paystrata.operators.find import AMOUNT_AT_LEAST_10000, find, find_count
+from paystrata.operators.find import AMOUNT_AT_LEAST_10000, write_found
+from paystrata.plans.questions import QUESTIONS, ask, parameters, values_of
 from paystrata.plans.views import create_session_views, create_stored_views, session_view
-from paystrata.schema import PAYMENT_SCHEMA
 from paystrata.session import apply_scale, build_session, bytes_at, new_folder, partitions_for
+from paystrata.sinks import loading
 from paystrata.sinks.keyed_table import KeyedTable
 from paystrata.sinks.layouts import write_by_payer
+from paystrata.sinks.ledger import Ledger
 from paystrata.sinks.messages import publish_to_folder, publish_to_kafka
 from paystrata.sources import files, topics
-from paystrata.sources.topics import SEQUENCE
 from paystrata.streaming import jobs
+from paystrata.streaming.lifecycle import RunLog
 
 FILE, ROOT, TOPIC, TABLE = "./data/payments.csv", "./data/topics", "payments", "./data/tables/payments"
 
@@ -42,10 +44,16 @@ def _messages(spark: SparkSession, args) -> DataFrame:
 
 
 def _current(spark: SparkSession, args) -> DataFrame:
-    """The current rows, written once, for jobs that ask more than one question."""
-    path = new_folder(spark, "current")
-    KeyedTable(spark, args.table).current().write.parquet(path)
-    return files.read_payments(spark, path)
+    return KeyedTable(spark, args.table).current()
+
+
+def _rejects(args) -> str:
+    return args.rejects or f"{args.table.rstrip('/')}-rejects"
+
+
+def _follow(spark: SparkSession, *queries: StreamingQuery) -> None:
+    for query in queries:
+        query.awaitTermination()
 
 
 def create(spark: SparkSession, args) -> None:
@@ -53,95 +61,79 @@ def create(spark: SparkSession, args) -> None:
 
 
 def produce(spark: SparkSession, args) -> None:
-    """Publish a file's lines, its header left out."""
-    lines = files.read_lines(spark, args.file)
+    """Publish a file's lines in their order, its header left out."""
     if args.brokers:
-        publish_to_kafka(lines, args.topics, args.brokers)
-    else:
-        for path in topics.paths(args.root, args.topics):
-            publish_to_folder(lines, path)
+        publish_to_kafka(files.read_lines(spark, args.file), args.topics, args.brokers)
+        return
+    lines = files.read_lines(spark, args.file, in_order=True)
+    for path in topics.paths(args.root, args.topics):
+        publish_to_folder(lines, path)
 
 
 def consume(spark: SparkSession, args) -> None:
     """Print messages, or write them to ``--to``, and count them per micro-batch and in all."""
     path = f"{args.checkpoint}/counts"
-    jobs.count_messages(
-        _messages(spark, args), path, f"{args.checkpoint}/offsets", args.once, show=args.limit, to=args.to
-    ).awaitTermination()
+    with RunLog(print).on(spark) as log:
+        query = jobs.count_messages(
+            _messages(spark, args), path, f"{args.checkpoint}/offsets", args.once,
+            show=args.limit, to=args.to,
+        )
+        _follow(spark, query)
+        log.of(query)
     _show("messages read", jobs.message_counts(spark, path).orderBy("batch_id"))
 
 
 def peek(spark: SparkSession, args) -> None:
     """Parsed records of each micro-batch on the console."""
-    jobs.peek(
+    _follow(spark, jobs.peek(
         _messages(spark, args), None, args.checkpoint, args.limit or 10, available_now=args.once,
-        rejects=args.rejects,
-    ).awaitTermination()
+        rejects=_rejects(args),
+    ))
 
 
 def stream(spark: SparkSession, args) -> None:
     """Topics to keyed table, until stopped."""
-    jobs.upsert_parsed(
-        _messages(spark, args), KeyedTable(spark, args.table), args.run, args.checkpoint, args.once,
-        rejects=args.rejects or f"{args.table.rstrip('/')}-rejects",
-    ).awaitTermination()
+    with RunLog(print).on(spark) as log:
+        query = jobs.upsert_parsed(
+            _messages(spark, args), KeyedTable(spark, args.table), args.run, args.checkpoint,
+            args.once, rejects=_rejects(args),
+        )
+        _follow(spark, query)
+        log.of(query)
 
 
 def load(spark: SparkSession, args) -> None:
-    """File to keyed table; of rows with one key the last in the file stays."""
-    source = files.in_file_order(files.read_csv(spark, args.file))
+    """File to keyed table: every row, or none and a list of the bad ones."""
     table = KeyedTable(spark, args.table)
-    table.upsert(etl.csv_to_payments(source, carry=[SEQUENCE]), args.run)
-    written = _current(spark, args)
-    _show("payments", written)
-    _show("specialties", q.total_by(written, q.SPECIALTY, with_count=True))
+    loading.load(spark, args.file, table, args.run, _rejects(args))
+    _show("payments", table.current())
 
 
 def query(spark: SparkSession, args) -> None:
-    """The standing questions, by DataFrame and by SQL."""
-    table = _current(spark, args)
-    _show("payments above 2000", q.amount_above(table, 2000))
-    _show("physician and amount", table.select("_id", "physician_id", "amount"))
-    _show("top 5 natures by count", q.count_by(table, limit=5))
-    _show("natures above 1000", q.count_by(q.amount_above(table, 1000)))
-    fields = ["_id", "physician_specialty", "amount"]
-    _show("physician", q.by_id_prefix(table, args.physician).select(*fields), truncate=False)
-    _show("february", q.in_february(table).select(*fields), truncate=False)
-    session_view(table)
-    for title, text in SQL_QUESTIONS.items():
-        _show(title, spark.sql(text.format(physician=args.physician)), truncate=False)
-
-
-SQL_QUESTIONS = {
-    "top 5 natures by total":
-        "SELECT nature_of_payment, sum(bround(amount)) AS total FROM payments "
-        "GROUP BY nature_of_payment ORDER BY total DESC, nature_of_payment LIMIT 5",
-    "top 5 specialties by total, with count":
-        "SELECT physician_specialty, count(*) AS cnt, sum(bround(amount)) AS total FROM payments "
-        "WHERE physician_specialty IS NOT NULL GROUP BY physician_specialty "
-        "ORDER BY total DESC, physician_specialty LIMIT 5",
-    "payments of one physician":
-        "SELECT _id, physician_id, amount FROM payments WHERE _id LIKE '{physician}%'",
-    "payments in february":
-        "SELECT _id, physician_id, amount FROM payments WHERE _id LIKE '%_02/%'",
-}
+    """Answer the named questions, each with the given values that it takes."""
+    given = dict(text.split("=", 1) for text in args.set or [])
+    unknown = set(given) - {key for name in QUESTIONS for key in parameters(name)}
+    if unknown:
+        raise ValueError(f"no question takes {sorted(unknown)}")
+    session_view(_current(spark, args))
+    for name in args.question or QUESTIONS:
+        values = values_of(name, given)
+        title = ", ".join([name, *(f"{key} = {value!r}" for key, value in values.items())])
+        _show(title, ask(spark, name, **values), truncate=False)
 
 
 def find_documents(spark: SparkSession, args) -> None:
     """All documents found as JSON text, their number and the time taken.
 
-    ``--to`` writes them in parallel; otherwise they are printed one partition at a
-    time. ``--limit`` asks for the first ones only.
+    They are written once, to ``--to`` or a folder of the job's own, and printed from there
+    one partition at a time without ``--to``. ``--limit`` asks for some of them only.
     """
     start = time.perf_counter()
-    table = _current(spark, args)
-    found = find(table, args.where, args.fields, args.limit)
-    if args.to:
-        found.select(F.to_json(F.struct("*")).alias("value")).write.text(args.to)
-    else:
-        for document in found.toJSON().toLocalIterator():
-            print(document)
-    total = find_count(table, args.where).first()["n_found"]
+    path = args.to or new_folder(spark, "found")
+    total = write_found(_current(spark, args), path, args.where, args.fields, args.limit)
+    if not args.to:
+        for document in spark.read.text(path).toLocalIterator():
+            print(document["value"])
     print(f"{total} found in {round((time.perf_counter() - start) * 1000)} ms")
 
 
@@ -166,13 +158,27 @@ def map_report(spark: SparkSession, args) -> None:
 
 
 def live_report(spark: SparkSession, args) -> None:
-    """Totals over topics, kept current in a keyed table of their own."""
+    """Topics to keyed table, and the totals over its current rows beside it."""
+    ledger = Ledger(KeyedTable(spark, args.table), args.to or f"{args.table.rstrip('/')}-ledger")
+    _follow(spark, jobs.refresh_current(
+        _messages(spark, args), ledger, args.run, args.checkpoint, args.once,
+        rejects=_rejects(args), fold_every=args.fold_every,
+    ))
+    _show("totals", ledger.report())
+
+
+def message_report(spark: SparkSession, args) -> None:
+    """Totals over all messages, superseded ones included, in a keyed table of their own."""
     table = jobs.report_table(spark, args.to or f"{args.table.rstrip('/')}-report")
     if not table.exists():
         table.create()
-    jobs.refresh_report(
-        _messages(spark, args), table, args.run, args.checkpoint, args.once
-    ).awaitTermination()
+    _follow(
+        spark,
+        jobs.refresh_report(_messages(spark, args), table, args.run, args.checkpoint, args.once),
+        jobs.store_rejects(
+            _messages(spark, args), f"{_rejects(args)}/{args.run}", f"{args.checkpoint}-rejects", args.once
+        ),
+    )
     _show("totals", table.current())
 
 
@@ -185,16 +191,29 @@ def index(spark: SparkSession, args) -> None:
 
 
 def compact(spark: SparkSession, args) -> None:
-    KeyedTable(spark, args.table, PAYMENT_SCHEMA).compact(args.to, _files(spark, args))
+    """The current rows as a new table."""
+    KeyedTable(spark, args.table).compact(args.to, _files(spark, args))
+
+
+def fold(spark: SparkSession, args) -> None:
+    """The log's batches into the base, in place."""
+    batches = KeyedTable(spark, args.table).fold()
+    print(f"{len(batches)} batches folded")
+
+
+def vacuum(spark: SparkSession, args) -> None:
+    """Delete the batches that the base holds."""
+    batches = KeyedTable(spark, args.table).vacuum()
+    print(f"{len(batches)} batches deleted")
 
 
 JOBS = {
     "create": create, "produce": produce, "consume": consume, "peek": peek, "stream": stream,
-    "load": load,
-    "query": query, "find": find_documents, "views": views, "top": top_specialties,
-    "report": map_report, "live-report": live_report, "index": index, "compact": compact,
+    "load": load, "query": query, "find": find_documents, "views": views, "top": top_specialties,
+    "report": map_report, "live-report": live_report, "message-report": message_report,
+    "index": index, "compact": compact, "fold": fold, "vacuum": vacuum,
 }
-STREAMS = ("consume", "peek", "stream", "live-report")
+STREAMS = ("consume", "peek", "stream", "live-report", "message-report")
 WHERE = {
     "large": AMOUNT_AT_LEAST_10000,
     "february": {"$like": {"_id": FEBRUARY_EXACT}},
@@ -216,7 +235,9 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--backlog", type=int, help="offsets, or files, of one micro-batch at most")
     out.add_argument("--run", default=time.strftime("%Y%m%dT%H%M%S"), help="later runs win")
     out.add_argument("--once", action="store_true", help="stop when everything is read")
-    out.add_argument("--physician", default="98485")
+    out.add_argument("--fold-every", type=int, help="micro-batches between two folds of the table")
+    out.add_argument("--question", action="append", choices=QUESTIONS, help="all if not given")
+    out.add_argument("--set", action="append", help="name=value, a parameter of the questions")
     out.add_argument("--where", help="JSON condition, or one of: " + ", ".join(WHERE))
     out.add_argument("--fields")
     out.add_argument("--limit", type=int, help="documents or messages to print, if not all")

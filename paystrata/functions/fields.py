@@ -87,6 +87,11 @@ def _number(text: Column) -> Column:
     )
 
 
+def is_amount(text: Column) -> Column:
+    """Whether a strict amount can be read from the text."""
+    return _number(text).isNotNull()
+
+
 def lenient_amount(text: Column) -> Column:
     """Number, or 0.0 where the text is not one."""
     return F.coalesce(_number(text), F.lit(0.0))

@@ -140,6 +140,22 @@ def csv_to_payments(
     return records if raw_blanks else normalize_blanks(records)
 
 
+def bad_rows(source: DataFrame) -> DataFrame:
+    """The rows of a delimited file that cannot be loaded: ``record_id``, ``amount``, ``why``
+    and the row's own text where it does not fit the columns.
+
+    ``source`` has the corrupt-record column. A row that lacks columns which no record
+    uses is not bad.
+    """
+    amount = F.col(SOURCE_NAMES["amount"])
+    short = F.col(CORRUPT).isNotNull() & ~f.has_fields(F.col(CORRUPT), MIN_FIELDS)
+    why = F.when(short, F.lit("too few columns")).when(~f.is_amount(amount), F.lit("not an amount"))
+    return source.select(
+        F.col(SOURCE_NAMES["record_id"]).alias("record_id"), amount.alias("amount"),
+        why.alias("why"), F.col(CORRUPT).alias("row"),
+    ).where("why IS NOT NULL")
+
+
 def to_document(records: DataFrame, pretty: bool = False) -> DataFrame:
     """One JSON document per record beside its key; NULL fields are left out."""
     options = {"pretty": "true"} if pretty else {}

@@ -182,6 +182,13 @@ ORACLES: dict[str, str] = {
     "view_payments": _select("_id, payer, amount"),
     "cache_count": _select("count(*) AS n_rows"),
     "payer_index_lookup": _select("_id, payer, amount, nature_of_payment", _BY_PAYER),
+    "filtered_lookup": _select("_id, payer, amount", _BY_PAYER),
+    "find_written": _latest(
+        _LATER, "count(*) AS n_written, count(*) AS n_found", f"AND amount >= {LARGE_AMOUNT}"
+    ),
+    "load_checked": _select(
+        f"count(*) AS n_loaded, count(*) FILTER (WHERE amount >= {LARGE_AMOUNT}) AS n_bad"
+    ),
     "id_prefix_lookup": _select("_id, amount", _BY_PREFIX),
     # Projections
     "select_id_physician": _select("_id, physician_id"),
@@ -254,6 +261,16 @@ FROM payments p WHERE NOT EXISTS (
         _LATER, f"{_DIMS}, round(sum(amount), 2) AS us_dollars", f"GROUP BY {_DIMS}"
     ),
     "keyed_open_payments_all": _latest(_LATER),
+    # Questions with parameters
+    "question_natures": _top("nature_of_payment", f"count(*) AS cnt, {_EVEN_TOTAL}", "total", 7),
+    "question_payers": _top(
+        "payer", f"count(*) AS cnt, {_EVEN_TOTAL}", "total", 20, f"WHERE payer LIKE '{PAYER_PATTERN}'"
+    ),
+    "question_above": _top(
+        "nature_of_payment", "count(*) AS cnt", "cnt", where=f"WHERE amount > {LARGE_AMOUNT}"
+    ),
+    "question_physician": _select("_id, physician_id, physician_specialty, amount", _BY_PREFIX),
+    "question_month": _select("_id, physician_specialty, amount", f"WHERE {_FEBRUARY}"),
     # Report
     "map_by_payer": f"{_PAYMENTS}{_MARKS} SELECT * FROM marks",
     "map_by_nature": f"{_PAYMENTS}{_MARKS} SELECT nature_of_payment AS series, payer, "
@@ -287,6 +304,9 @@ FROM payments p WHERE NOT EXISTS (
     "stream_upsert": _last_in_file(batch=_LATER),
     "stream_replay_idempotent": _last_in_file(batch=_LATER),
     "stream_report_keyed": _CURRENT_REPORT,
+    "stream_lifecycle": _select(
+        "'ended' AS reason, CAST(count(*) AS BIGINT) AS n_messages, count(*) AS running_total"
+    ),
     "live_report_current": _CURRENT_REPORT,
     "live_report_rejects": _select(
         "count(physician_specialty) AS n_records, count(*) - count(physician_specialty) AS n_rejects"

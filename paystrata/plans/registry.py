@@ -10,15 +10,19 @@ from pyspark.sql import functions as F
 from paystrata.functions import fields
 from paystrata.functions.measures import attribute
 from paystrata.operators import etl, queries as q, report
-from paystrata.operators.find import AMOUNT_AT_LEAST_10000, find, find_count
+from paystrata.operators.find import AMOUNT_AT_LEAST_10000, find, find_count, write_found
 from paystrata.plans import views
+from paystrata.plans.questions import ask
 from paystrata.schema import NARROW_SCHEMA, SOURCE_NAMES
 from paystrata.session import new_folder
+from paystrata.sinks import loading
 from paystrata.sinks.keyed_table import KeyedTable
+from paystrata.sinks.layouts import write_with_filters
 from paystrata.sinks.ledger import Ledger
 from paystrata.sinks.messages import publish_to_folder
 from paystrata.sources import files, testdata, topics
 from paystrata.streaming import jobs
+from paystrata.streaming.lifecycle import RunLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +31,8 @@ PHYSICIAN = "214"
 PAYER = "Supplier#000000042"
 PAYER_PATTERN = "%00004%"
 LARGE_AMOUNT = 90000
+# The registered queries keep their views apart from those of the session's user.
+VIEWS_NAMESPACE = "paystrata_queries"
 
 
 def _cents(frame: DataFrame, *names: str) -> DataFrame:
@@ -171,8 +177,8 @@ def _keyed_view(name: str, *money: str) -> Query:
     """A stored view over a keyed table that holds superseded rows."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        views.create_stored_views(spark, _upserted(spark, folder).path)
-        return _cents(spark.table(f"default.{name}"), *money)
+        views.create_stored_views(spark, _upserted(spark, folder).path, VIEWS_NAMESPACE)
+        return _cents(spark.table(f"{VIEWS_NAMESPACE}.{name}"), *money)
 
     return run
 
@@ -181,6 +187,16 @@ def compact_table(spark: SparkSession, folder: str) -> DataFrame:
     return _upserted(spark, folder).compact(new_folder(spark, "compacted")).current()
 
 
+def _question(name: str, **values) -> Query:
+    """A named question over a session view."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        views.session_view(testdata.payments(spark, folder), "asked_payments")
+        return ask(spark, name, "asked_payments", **values)
+
+    return run
+
+
 def result_as_json(payments: DataFrame) -> DataFrame:
     top = q.total_by(payments, q.SPECIALTY, limit=10)
     exact = top.withColumn("total", F.round("total", 2).cast("decimal(38,2)"))
@@ -194,6 +210,41 @@ def cache_count(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame([(rows,)], "n_rows bigint")
 
 
+def find_written(spark: SparkSession, folder: str) -> DataFrame:
+    """What a find counts while it writes, and what is there afterwards."""
+    path = new_folder(spark, "found")
+    where = {"$ge": {"amount": LARGE_AMOUNT}}
+    found = write_found(_upserted(spark, folder).current(), path, where, "_id,amount")
+    written = files.read_documents(spark, path).agg(F.count("amount").alias("n_written"))
+    return written.withColumn("n_found", F.lit(found).cast("bigint"))
+
+
+def load_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """A load that looks for bad rows first: those it names, and the rows it writes without them."""
+    csv, rejects = testdata.csv_path(spark, folder), new_folder(spark, "bad-rows")
+    table = KeyedTable(spark, new_folder(spark, "checked")).create()
+    loading.load(spark, csv, table, "good", rejects)
+    damaged, amount = new_folder(spark, "damaged"), F.col(SOURCE_NAMES["amount"])
+    large = amount.cast("double") >= LARGE_AMOUNT
+    rows = files.read_csv(spark, csv)
+    rows = rows.withColumn(SOURCE_NAMES["amount"], F.when(large, F.lit("n/a")).otherwise(amount))
+    rows.write.option("header", True).option("escape", '"').csv(damaged)
+    named = 0
+    try:
+        loading.load(spark, damaged, table, "bad", rejects)
+    except loading.BadRows as error:
+        named = error.n
+    rows_now = table.log(table.batches()).agg(F.count("*").alias("n_loaded"))
+    return rows_now.withColumn("n_bad", F.lit(named).cast("bigint"))
+
+
+def filtered_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """A payer in an unsorted copy that has Bloom filters."""
+    path = new_folder(spark, "with-filters")
+    write_with_filters(testdata.payments(spark, folder), path)
+    return find(files.read_payments(spark, path), {"$eq": {"payer": PAYER}}, "_id,payer,amount")
+
+
 def payer_index_lookup(spark: SparkSession, folder: str) -> DataFrame:
     copy = files.read_payments(spark, testdata.payer_copy_path(spark, folder))
     return find(copy, {"$eq": {"payer": PAYER}}, "_id,payer,amount,nature_of_payment")
@@ -352,6 +403,24 @@ def live_report_current(spark: SparkSession, folder: str) -> DataFrame:
     return _cents(ledger.report(), "us_dollars")
 
 
+def stream_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
+    """What the listener has seen of a run with a trigger that was stopped at the end of the topics."""
+    with RunLog().on(spark) as log:
+        query = jobs.store_parsed(
+            _messages(spark, folder, BOTH_TOPICS, max_files_per_trigger=FILES_PER_BATCH),
+            new_folder(spark, "followed"), new_folder(spark, "checkpoint"), interval="0 seconds",
+        )
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        log.of(query)
+        rows = log.frame(spark)
+    return rows.groupBy("reason").agg(
+        F.sum("batch_messages").alias("n_messages"), F.max("total_messages").alias("running_total")
+    )
+
+
 def live_report_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """What became of the messages of a report, lines without a specialty cut short."""
     messages = _messages(spark, folder, BOTH_TOPICS)
@@ -399,6 +468,9 @@ QUERIES: dict[str, Query] = {
     "view_payments": _on_view("SELECT _id, payer, amount FROM payments"),
     "cache_count": cache_count,
     "payer_index_lookup": payer_index_lookup,
+    "filtered_lookup": filtered_lookup,
+    "find_written": find_written,
+    "load_checked": load_checked,
     "id_prefix_lookup": _on_payments(
         lambda p: find(p, {"$like": {"_id": f"{ID_PREFIX}%"}}, "_id,amount")
     ),
@@ -482,6 +554,12 @@ QUERIES: dict[str, Query] = {
     "keyed_physicians_by_specialty_revenue": _keyed_view("physicians_by_specialty_revenue", "total"),
     "keyed_open_payments": _keyed_view("aca_open_payments", "us_dollars"),
     "keyed_open_payments_all": _keyed_view("aca_open_payments_all"),
+    # Questions with parameters
+    "question_natures": _question("natures", limit=7),
+    "question_payers": _question("payers", payer=PAYER_PATTERN),
+    "question_above": _question("above", floor=float(LARGE_AMOUNT)),
+    "question_physician": _question("physician", physician=ID_PREFIX),
+    "question_month": _question("month", month="02"),
     # Report
     "map_by_payer": _on_payments(lambda p: report.map_by_payer(report.open_payments(p))),
     "map_by_nature": _on_payments(lambda p: report.map_by_nature(report.open_payments(p))),
@@ -505,6 +583,7 @@ QUERIES: dict[str, Query] = {
     "stream_replay_idempotent": stream_replay_idempotent,
     "stream_report": stream_report,
     "stream_report_keyed": stream_report_keyed,
+    "stream_lifecycle": stream_lifecycle,
     "live_report_current": live_report_current,
     "live_report_rejects": live_report_rejects,
 }

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from paystrata.schema import REPORT_DIMENSIONS
@@ -10,16 +13,16 @@ from paystrata.sources.files import path_sql
 
 _DIMENSIONS = ", ".join(REPORT_DIMENSIONS)
 
-# View name -> definition over {table}.
+# View name -> definition over ``payments``.
 VIEWS = {
     "physicians_by_revenue":
-        "SELECT physician_id, sum(amount) AS revenue FROM {table} GROUP BY physician_id",
+        "SELECT physician_id, sum(amount) AS revenue FROM payments GROUP BY physician_id",
     "physicians_by_specialty_revenue":
-        "SELECT physician_specialty, sum(amount) AS total FROM {table} GROUP BY physician_specialty",
+        "SELECT physician_specialty, sum(amount) AS total FROM payments GROUP BY physician_specialty",
     "aca_open_payments":
-        f"SELECT {_DIMENSIONS}, sum(amount) AS us_dollars FROM {{table}} GROUP BY {_DIMENSIONS}",
+        f"SELECT {_DIMENSIONS}, sum(amount) AS us_dollars FROM payments GROUP BY {_DIMENSIONS}",
     "aca_open_payments_all":
-        "SELECT * FROM {table}",
+        "SELECT * FROM payments",
 }
 
 
@@ -31,20 +34,32 @@ def create_session_views(spark: SparkSession, payments: DataFrame) -> list[str]:
     """The four views over a frame, for this session."""
     session_view(payments)
     for name, text in VIEWS.items():
-        spark.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS {text.format(table='payments')}")
+        session_view(spark.sql(text), name)
     return list(VIEWS)
 
 
-def create_stored_views(
-    spark: SparkSession, table_path: str, namespace: str = "default"
-) -> list[str]:
-    """The four views over a stored or a keyed table, kept in the session's catalog.
+@contextmanager
+def using(spark: SparkSession, namespace: str) -> Iterator[None]:
+    """Unqualified names are in ``namespace``, made if need be, until the block ends."""
+    before = spark.catalog.currentDatabase()
+    spark.sql("CREATE SCHEMA IF NOT EXISTS IDENTIFIER(:namespace)", args={"namespace": namespace})
+    spark.sql("USE IDENTIFIER(:namespace)", args={"namespace": namespace})
+    try:
+        yield
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+def create_stored_views(spark: SparkSession, table_path: str, namespace: str) -> list[str]:
+    """The four views over a stored or a keyed table, kept in a namespace of the catalog.
 
     Over a keyed table they give its current rows, also those written later.
     """
     keyed = KeyedTable(spark, table_path)
     table = keyed.sql() if keyed.exists() else path_sql(spark, table_path)
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {namespace}")
-    for name, text in VIEWS.items():
-        spark.sql(f"CREATE OR REPLACE VIEW {namespace}.{name} AS {text.format(table=table)}")
+    with using(spark, namespace):
+        for name, text in VIEWS.items():
+            spark.sql(
+                f"CREATE OR REPLACE VIEW {name} AS WITH payments AS (SELECT * FROM {table}) {text}"
+            )
     return [f"{namespace}.{name}" for name in VIEWS]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paystrata.schema import CSV_COLUMNS, CSV_SCHEMA, PAYMENT_SCHEMA
+from paystrata.schema import CORRUPT, CSV_COLUMNS, CSV_SCHEMA, PAYMENT_SCHEMA
 from paystrata.sinks.keyed_table import KeyedTable
 from paystrata.sources.topics import sequence
 
@@ -18,15 +18,20 @@ def read_csv(
     path: str,
     schema: T.StructType | None = CSV_SCHEMA,
     multi_line: bool = False,
+    with_corrupt: bool = False,
 ) -> DataFrame:
     """Delimited file with a header; every column is a string.
 
     With a schema nothing is read ahead, the parser only builds the columns a
     query uses, and a header that differs is an error. Without one the names
-    come from the header line.
+    come from the header line. ``with_corrupt`` adds the text of rows that have more or
+    fewer columns than the schema; all columns are then parsed.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if schema is not None:
+        if with_corrupt:
+            schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+            reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
         reader = reader.schema(schema).option("enforceSchema", False)
     return reader.csv(path)
 

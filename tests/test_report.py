@@ -58,10 +58,10 @@ def test_exclusion_treats_null_as_a_value(spark):
 
 def test_stored_views(spark, folder, payments):
     path = testdata.payments_path(spark, folder)
-    names = views.create_stored_views(spark, path)
+    names = views.create_stored_views(spark, path, "test_views")
     assert len(names) == 4
-    assert spark.table("default.aca_open_payments_all").count() == payments.count()
-    assert spark.table("default.aca_open_payments").columns == [*REPORT_DIMENSIONS, "us_dollars"]
+    assert spark.table("test_views.aca_open_payments_all").count() == payments.count()
+    assert spark.table("test_views.aca_open_payments").columns == [*REPORT_DIMENSIONS, "us_dollars"]
 
 
 def test_stored_views_of_a_keyed_table(spark):
@@ -73,20 +73,20 @@ def test_stored_views_of_a_keyed_table(spark):
         into.upsert(spark.createDataFrame(data, PAYMENT_SCHEMA), run_id, batch_id)
 
     def seen():
-        return [r.amount for r in spark.table("default.aca_open_payments_all").collect()]
+        return [r.amount for r in spark.table("test_views.aca_open_payments_all").collect()]
 
     write(1.0, "7", 9, table)
     write(2.0, "7", 10, table)
-    views.create_stored_views(spark, table.path)
+    views.create_stored_views(spark, table.path, "test_views")
     assert seen() == [2.0]
     write(3.0, "7", 11, table)
     assert seen() == [3.0]
     compacted = table.compact(new_folder(spark, "viewed-compact"))
-    views.create_stored_views(spark, compacted.path)
+    views.create_stored_views(spark, compacted.path, "test_views")
     assert seen() == [3.0]
     write(4.0, "8", 0, compacted)
     assert seen() == [4.0]
-    assert spark.table("default.physicians_by_revenue").first().revenue == 4.0
+    assert spark.table("test_views.physicians_by_revenue").first().revenue == 4.0
     with pytest.raises(ValueError, match="keyed table"):
         path_sql(spark, table.path)
 
