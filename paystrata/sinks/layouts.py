@@ -39,8 +39,9 @@ def write_with_filters(
     """The rows as they come, with a Bloom filter per row group on some columns.
 
     An equality look-up then skips the row groups whose filter lacks the value, without a
-    second copy and without a shuffle. It pays where a value stands in few row groups:
-    for keys, and for columns by which the input already comes in runs. ``distinct`` is
+    second copy and without a shuffle. It pays where a value stands in few row groups and
+    a row group has too many values for a dictionary: for keys above all. Columns with few
+    values are skipped by their dictionaries anyway. ``distinct`` is
     the number of values to expect in a row group; without it the filter's largest size
     bounds it (1 MiB, Parquet's default).
     """
