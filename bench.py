@@ -13,12 +13,15 @@ import sys
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paystrata.operators import etl, queries as q, report
+from paystrata.operators import coded, etl, queries as q, report
 from paystrata.operators.find import find
 from paystrata.plans import registry
 from paystrata.session import apply_scale, bytes_at, new_folder
+from paystrata.sinks import loading
 from paystrata.sinks.keyed_table import KeyedTable
+from paystrata.sinks.ledger import Ledger
 from paystrata.sources import files, testdata, topics
 from paystrata.streaming import jobs
 
@@ -77,6 +80,10 @@ def main() -> None:
     payer_where = {"$eq": {"payer": registry.PAYER}}
     prefix_where = {"$like": {"_id": f"{registry.ID_PREFIX}%"}}
     open_report = report.open_payments(payments)
+    dictionaries = [
+        coded.Dictionary.write(payments, column, new_folder(spark, "bench-codes"))
+        for column in (q.NATURE, q.SPECIALTY)
+    ]
     frames = {
         "nature_count": q.count_by(payments),
         "top5_nature_by_total": q.rounded_total_by(payments, q.NATURE, limit=5),
@@ -88,6 +95,7 @@ def main() -> None:
         "aca_open_payments": open_report,
         "distinct_payers": q.distinct_payers(payments),
         "map_by_payer": report.map_by_payer(open_report),
+        "map_by_payer_coded": coded.map_by_payer(open_report, dictionaries),
         "attr_agg": registry.attr_agg(payments),
         "exclude_members": registry.exclude_members(payments),
         "find_amount_ge_10000": find(
@@ -106,7 +114,7 @@ def main() -> None:
 
     def load() -> KeyedTable:
         table = KeyedTable(spark, new_folder(spark, "bench-load")).create()
-        table.upsert(etl.csv_to_payments(files.read_csv(spark, csv)), "load")
+        loading.load(spark, csv, table, "load", new_folder(spark, "bench-rejects"))
         return table
 
     results["batch_etl"] = timed(load, runs=2)
@@ -121,6 +129,24 @@ def main() -> None:
         ).awaitTermination()
 
     results["stream_ingest"] = timed(ingest, runs=2)
+
+    # a base that a log of a hundredth of it corrects
+    folded = load()
+    folded.fold()
+    log = payments.where("pmod(xxhash64(_id), 100) = 0").withColumn("amount", F.col("amount") + 1)
+    folded.upsert(log, "log")
+    results["keyed_current_folded"] = timed(lambda: drain(folded.current()), runs=3)
+    results["keyed_find_key"] = timed(lambda: drain(folded.find_key(payments.first()["_id"])), runs=3)
+
+    def live() -> None:
+        table = KeyedTable(spark, new_folder(spark, "bench-live")).create()
+        jobs.refresh_current(
+            topics.folder_stream(spark, root, registry.BOTH_TOPICS),
+            Ledger(table, new_folder(spark, "bench-ledger")), "run0",
+            new_folder(spark, "checkpoint"), available_now=True,
+        ).awaitTermination()
+
+    results["live_report"] = timed(live, runs=2)
     spark.stop()
 
     results = {name: round(value, 4) for name, value in results.items()}

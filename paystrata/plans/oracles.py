@@ -273,6 +273,7 @@ FROM payments p WHERE NOT EXISTS (
     "question_month": _select("_id, physician_specialty, amount", f"WHERE {_FEBRUARY}"),
     # Report
     "map_by_payer": f"{_PAYMENTS}{_MARKS} SELECT * FROM marks",
+    "map_by_payer_coded": f"{_PAYMENTS}{_MARKS} SELECT * FROM marks",
     "map_by_nature": f"{_PAYMENTS}{_MARKS} SELECT nature_of_payment AS series, payer, "
                      "recipient_zip, us_dollars, physician_specialty FROM marks",
     "clamped_measure": f"{_PAYMENTS}{_MARKS} SELECT payer, recipient_zip, "

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from paystrata.functions import fields
 from paystrata.functions.measures import attribute
-from paystrata.operators import etl, queries as q, report
+from paystrata.operators import coded, etl, queries as q, report
 from paystrata.operators.find import AMOUNT_AT_LEAST_10000, find, find_count, write_found
 from paystrata.plans import views
 from paystrata.plans.questions import ask
@@ -258,6 +258,15 @@ def exclude_members(payments: DataFrame) -> DataFrame:
     return report.exclude_members(payments, members).select("_id", *report.EXCLUSION_KEYS, "amount")
 
 
+def map_by_payer_coded(spark: SparkSession, folder: str) -> DataFrame:
+    payments = testdata.payments(spark, folder)
+    dictionaries = [
+        coded.Dictionary.write(payments, column, new_folder(spark, f"codes-{column}"))
+        for column in (q.NATURE, q.SPECIALTY)
+    ]
+    return coded.map_by_payer(report.open_payments(payments), dictionaries)
+
+
 def attr_agg(payments: DataFrame) -> DataFrame:
     return payments.groupBy("physician_id").agg(
         *[attribute(F.col(c)).alias(c) for c in ("recipient_state", "payer", "physician_name_middle")]
@@ -562,6 +571,7 @@ QUERIES: dict[str, Query] = {
     "question_month": _question("month", month="02"),
     # Report
     "map_by_payer": _on_payments(lambda p: report.map_by_payer(report.open_payments(p))),
+    "map_by_payer_coded": map_by_payer_coded,
     "map_by_nature": _on_payments(lambda p: report.map_by_nature(report.open_payments(p))),
     "clamped_measure": _on_payments(
         lambda p: report.with_mark_size(report.map_by_payer(report.open_payments(p))).select(

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paystrata.functions.measures import attribute, clamp, rounded_total, whole_dollars
-from paystrata.operators import report
+from paystrata.operators import coded, report
 from paystrata.plans import views
 from paystrata.plans.registry import QUERIES
 from paystrata.schema import PAYMENT_SCHEMA, REPORT_DIMENSIONS
@@ -112,3 +112,34 @@ def test_scan_reads_only_what_is_used(spark, folder):
     text = plan(QUERIES["top5_nature_by_total"](spark, folder))
     assert "ReadSchema: struct<amount:double,nature_of_payment:string>" in text
     assert "TakeOrderedAndProject" in text and "partial_sum" in text
+
+
+@pytest.mark.parametrize("few", [100_000, 3])
+def test_coded_attributes_are_the_same(spark, payments, monkeypatch, few):
+    """With dictionaries that are broadcast, and with some that are too large for it."""
+    monkeypatch.setattr(coded, "FEW_VALUES", few)
+    dictionaries = [
+        coded.Dictionary.write(payments, column, new_folder(spark, "codes"))
+        for column in ("nature_of_payment", "physician_specialty")
+    ]
+    totals = report.open_payments(payments)
+    found, expected = coded.map_by_payer(totals, dictionaries), report.map_by_payer(totals)
+    assert found.columns == expected.columns and found.count() == expected.count()
+    assert found.exceptAll(expected).count() == 0
+    text = plan(found)
+    assert "SortAggregate" not in text and "partial_min" in text
+    assert "SortAggregate" in plan(expected)
+
+
+def test_coded_attributes_of_few_rows(spark):
+    rows = spark.createDataFrame(
+        [("p", "1", "a", "x", 1.0), ("p", "1", "b", None, 2.0), ("q", "1", None, None, 3.0)],
+        "payer string, recipient_zip string, nature_of_payment string, physician_specialty string, us_dollars double",
+    )
+    dictionaries = [
+        coded.Dictionary.write(rows, c, new_folder(spark, "codes"))
+        for c in ("nature_of_payment", "physician_specialty")
+    ]
+    assert sorted(map(tuple, coded.map_by_payer(rows, dictionaries).collect())) == [
+        ("p", "1", 3, "*", "x"), ("q", "1", 3, None, None),
+    ]
