@@ -13,14 +13,36 @@ from paystrata.functions import fields as f
 from paystrata.operators import etl
 from paystrata.schema import CSV_COLUMNS, MIN_FIELDS, PAYMENT_COLUMNS, SOURCE_POSITIONS
 
-SAMPLE = (
-    'NEW,Covered Recipient Physician,,,,"204417","MARLO","D","TESTERSON",,"12 SAMPLE STREET","FLOOR 3",'
-    '"EXAMPLETON","CA","00999","United States",,,"Medical Doctor",'
-    '"Invented Group|Sample Field|Sample Branch","CA",,,,,"Acme Devices, Inc",'
-    '"100000009999","Acme Devices, Inc","CA","United States",41.25,"02/17/2016","1",'
-    '"In-kind items and services","Food and Beverage",,,,"No","No Third Party Payment",,,,,"No",'
-    '"700000001","No","Yes"' + "," * 26 + '"2016","06/30/2017"'
-)
+# A row that needs every kind of care: commas and doubled quotes inside cells, an amount
+# without quotes, blanks in the middle and at the end.
+SAMPLE_CELLS = {
+    "Change_Type": "CHANGED",
+    "Teaching_Hospital_Name": "Harbour, Hill and Vale Hospital",
+    "Physician_Profile_ID": "77310",
+    "Physician_First_Name": "Ilka",
+    "Physician_Last_Name": "Vantheur",
+    "Physician_Name_Suffix": "III",
+    "Recipient_City": "Lowport",
+    "Recipient_Zip_Code": "04321-0007",
+    "Recipient_Province": "West",
+    "Physician_Specialty": "Made Up Trade|Bench Work",
+    "Applicable_Manufacturer_or_Applicable_GPO_Making_Payment_Name": "Beryl & Sons, Ltd",
+    "Total_Amount_of_Payment_USDollars": "1250.75",
+    "Date_of_Payment": "02/09/2015",
+    "Nature_of_Payment_or_Transfer_of_Value": "Royalty",
+    "City_of_Travel": "Ostwick",
+    "Contextual_Information": 'called "final", twice',
+    "Record_ID": "5512",
+    "Program_Year": "2015",
+}
+
+
+def csv_cell(name: str, text: str) -> str:
+    plain = not text or name == "Total_Amount_of_Payment_USDollars"
+    return text if plain else '"' + text.replace('"', '""') + '"'
+
+
+SAMPLE = ",".join(csv_cell(name, SAMPLE_CELLS.get(name, "")) for name in CSV_COLUMNS)
 
 
 def line(**values) -> str:
@@ -62,9 +84,9 @@ def test_positions():
 
 def test_sample_row(spark):
     row = parse_one(spark, SAMPLE)
-    assert row._id == "204417_02/17/2016_700000001"
-    assert (row.amount, row.payer, row.recipient_zip) == (41.25, "Acme Devices, Inc", "00999")
-    assert row.physician_specialty.startswith("Invented Group|Sample Field")
+    assert row._id == "77310_02/09/2015_5512"
+    assert (row.amount, row.payer, row.recipient_zip) == (1250.75, "Beryl & Sons, Ltd", "04321-0007")
+    assert (row.physician_specialty, row.recipient_state) == ("Made Up Trade|Bench Work", None)
     assert list(row.asDict()) == PAYMENT_COLUMNS
 
 

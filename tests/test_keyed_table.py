@@ -263,8 +263,9 @@ def test_a_fold_that_broke_off_is_finished(spark, table, monkeypatch):
 def test_another_session_reads_the_base(spark, table):
     table.upsert(many(spark, 0, 300, 1.0), "r0", 0)
     table.fold(buckets=3, slices=3)
-    for name in spark.catalog.listTables("paystrata_bases"):
-        spark.sql(f"DROP TABLE paystrata_bases.{name.name}")
+    for stored in spark.catalog.listTables("paystrata_bases"):
+        if not stored.isTemporary:
+            spark.sql(f"DROP TABLE paystrata_bases.{stored.name}")
     again = KeyedTable(spark, table.path)
     assert len(content(again)) == 300
 

@@ -92,27 +92,27 @@ def test_command_line(spark, tmp_path, capsys):
     assert "|             1|" in shown and SAMPLE[:60] in shown
     run("peek", *common, "--once", "--checkpoint", str(tmp_path / "c2"))
     run("stream", *common, "--once", "--checkpoint", str(tmp_path / "c1"), "--run", "r0")
-    assert "204417_02/17/2016" in run("load", "--file", str(file), "--run", "r1")
-    shown = run("query", "--question", "physician", "--set", "physician=2044")
-    assert "204417_02/17/2016_700000001" in shown and "physician = '2044'" in shown
-    assert "Food and Beverage" in run("query", "--set", "physician=it's")
+    assert "77310_02/09/2015" in run("load", "--file", str(file), "--run", "r1")
+    shown = run("query", "--question", "physician", "--set", "physician=773")
+    assert "77310_02/09/2015_5512" in shown and "physician = '773'" in shown
+    assert "Royalty" in run("query", "--set", "physician=it's")
     with pytest.raises(ValueError, match="takes"):
         run("query", "--set", "doctor=1")
     assert "1 found in" in run("find", "--where", "february", "--fields", "_id,amount")
     assert "0 found in" in run("find", "--where", "large", "--limit", "5")
-    assert "204417" in run("find", "--where", '{"$eq": {"payer": "Acme Devices, Inc"}}')
+    assert "77310" in run("find", "--where", '{"$eq": {"payer": "Beryl & Sons, Ltd"}}')
     assert "aca_open_payments_all" in run("views")
-    assert '"total": 41.25}' in run("top")
-    assert "00999" in run("report")
+    assert '"total": 1250.75}' in run("top")
+    assert "04321-0007" in run("report")
     run("views", "--namespace", "kept")
     assert spark.table("kept.aca_open_payments_all").count() == 1
     live = ["--once", "--checkpoint", str(tmp_path / "c3"), "--run", "r0"]
-    assert "41.25" in run("live-report", *common, *live)
+    assert "1250.75" in run("live-report", *common, *live)
     again = ["--once", "--checkpoint", str(tmp_path / "c4"), "--run", "r0"]
-    assert "41.25" in run("message-report", *common, *again)
+    assert "1250.75" in run("message-report", *common, *again)
     assert "batches folded" in run("fold") and "batches deleted" in run("vacuum")
     assert "1 found in" in run("find", "--where", "february")
     run("index", "--to", str(tmp_path / "by_payer"))
     run("compact", "--to", str(tmp_path / "compacted"))
-    assert spark.read.parquet(str(tmp_path / "by_payer")).agg(F.sum("amount")).first()[0] == 41.25
+    assert spark.read.parquet(str(tmp_path / "by_payer")).agg(F.sum("amount")).first()[0] == 1250.75
     assert SOURCE_POSITIONS["amount"] == 30

@@ -11,7 +11,9 @@ from tests.test_keyed_table import file_rows
 SOURCE = "/root/testdata/sf0.001"
 NAMES = [
     "aca_open_payments", "attr_agg", "batch_etl", "compact_table", "distinct_payers",
-    "exclude_members", "map_by_payer", "payer_index_lookup", "physicians_by_revenue",
+    "exclude_members", "filtered_lookup", "find_written", "fold_table", "key_lookup",
+    "live_report_current", "load_checked", "map_by_payer", "map_by_payer_coded",
+    "payer_index_lookup", "physicians_by_revenue", "question_payers",
     "scan_payments", "stream_report", "stream_upsert", "top5_physician_revenue", "upsert_batch",
 ]
 
