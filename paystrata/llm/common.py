@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,10 +53,35 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
+class Releasing:
+    """A function of batches that gives its worker's free memory back when it is done.
+
+    Workers are kept for later tasks and stages, and what they hold without using it is
+    missing there.
+    """
+
+    def __init__(self, function: Callable) -> None:
+        self.function = function
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from self.function(batches)
+        finally:
+            release_memory()
+
+
+def release_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: its own policy stands
+
+
 def map_arrow(frame: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` by workers that find this package where the driver has it."""
     tell_workers(frame)
-    return frame.mapInArrow(function, schema)
+    return frame.mapInArrow(Releasing(function), schema)
 
 
 def tell_workers(frame: DataFrame) -> None:

@@ -61,13 +61,15 @@ SUFFIX_DEDUP = f"""WITH {_TEXTS}, bytes AS MATERIALIZED (
   SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM runs
 ), cuts AS (
   SELECT r, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS last,
+         string_agg(concat(a, ':', z), ',' ORDER BY a) AS spans,
          string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
   FROM placed JOIN bytes USING (r) GROUP BY r
 )
 SELECT doc_id, CAST(n AS BIGINT) AS n_bytes,
        CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
        CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
-       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256,
+       coalesce(spans, '') AS spans
 FROM bytes LEFT JOIN cuts USING (r)"""
 
 

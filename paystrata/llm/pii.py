@@ -16,7 +16,7 @@ hash of one half to the other modulo its radix. That is a permutation of all
 A * B values for any A and B.
 
 Defined results: a null text stays null; a text without personal data is
-unchanged; repeated rows get the same result; an empty table stays empty. Other
+unchanged; a text of any length is searched whole, in time linear in it; repeated rows get the same result; an empty table stays empty. Other
 columns pass through, and ``n_chars`` is brought up to date where it exists.
 """
 
@@ -30,10 +30,19 @@ from pyspark.sql import functions as F
 from paystrata.llm.common import let
 
 ROUNDS = 8
+# The session's own key, without which anyone who has this code can undo the pseudonyms:
+# the default is for tests and trials.
+KEY_SETTING = "spark.paystrata.pii.key"
 DEFAULT_KEY = "paystrata"
 
 # One pattern per kind, tried in this order where several fit.
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# An address takes its whole run of characters before the at sign; from a start within a run it
+# takes at most 64, or a long run would be searched again from every start. Its domain has at
+# most 127 labels of at most 63.
+LOCAL = "[A-Za-z0-9._%+-]"
+RUN_START = f"(?<!{LOCAL})"
+DOMAIN = r"@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}){0,125}\.[A-Za-z]{2,63}"
+EMAIL = f"(?:{RUN_START}{LOCAL}++|{LOCAL}{{1,64}}+){DOMAIN}"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 CARD_FORMS = (
     r"[0-9]{4}(?:[\x20-]?[0-9]{4}){3}[\x20-]?[0-9]{1,3}",
@@ -52,13 +61,15 @@ SLASH_DATE = r"(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9/])"
 DOT_DATE = r"(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9]|\.[0-9])"
 # An address may start where its run of characters does, or after another match.
 EMAIL_START = (
-    r"(?:(?<![A-Za-z0-9._%+-])|(?<=[A-Za-z])(?![A-Za-z])|(?<=[0-9])(?![0-9]))" + EMAIL
+    rf"(?:{RUN_START}{LOCAL}++|(?:(?<=[A-Za-z])(?![A-Za-z])|(?<=[0-9])(?![0-9])){LOCAL}{{1,64}}+)"
+    + DOMAIN
 )
 ANY = "|".join(
     (EMAIL_START, IBAN, *CARDS, SSN, PHONE, IPV4, ISO_DATE, SLASH_DATE, DOT_DATE)
 )
 # Characters seen before a start and from it on; only an address is longer.
-BEFORE, AHEAD = 2, 64
+BEFORE, AHEAD, LONGEST = 2, 64, 64 + 1 + 255
+CHUNK = 256  # pieces of a text that are put together at a time
 # Days are counted from here. Per era, its first day and two radices whose
 # product is its days: from 0001-01-01, from 1900-01-01, and 2101-01-27 to 9999-12-31.
 FIRST_DAY = "1900-01-01"
@@ -383,27 +394,27 @@ def pseudonymised(text: Column, key: str = DEFAULT_KEY) -> Column:
     """A struct of ``text`` after replacement and ``n``, the matches that changed.
 
     The text is split where a match may start, also within another candidate. From left
-    to right, a start that a match before it covers is passed over.
+    to right, a start that a match before it covers is passed over. Some hundred pieces at
+    a time see the text around them and give one new piece, so the work grows with the
+    text and not with its square.
     """
-    def window(at: Column) -> Column:
-        def seen(length: Column) -> Column:
-            return F.concat(
-                F.repeat(F.lit(" "), F.greatest(BEFORE - at, F.lit(0))),
-                F.substr(text, F.greatest(at - BEFORE + 1, F.lit(1)), length),
-            )
+    def state(out: Column, at: Column, skip: Column, n: Column) -> Column:
+        return F.struct(out.alias("text"), at.alias("at"), skip.alias("skip"), n.alias("n"))
+
+    def window(near: Column, at: Column) -> Column:
+        """What is seen from a start: ``near`` begins ``BEFORE`` characters before place 0."""
+        def seen(ahead: Column) -> Column:
+            return F.substr(near, at + 1, F.lit(BEFORE) + ahead)
 
+        run = rf"[A-Za-z0-9._%+@-]{{{AHEAD - BEFORE},}}$"
         return let(
-            seen(F.lit(BEFORE + AHEAD)),
-            lambda near: F.when(
-                near.rlike(rf"(?s)^.{{{BEFORE}}}[A-Za-z0-9._%+@-]{{{AHEAD - BEFORE},}}$"),
-                seen(F.length(text)),
-            ).otherwise(near),
+            seen(F.lit(AHEAD)),
+            lambda short: F.when(~short.rlike(f"(?s)^.{{{BEFORE}}}{run}"), short)
+            .when(short.rlike(f"(?s)^.{{{BEFORE}}}{RUN_START}{run}"), seen(F.length(near)))
+            .otherwise(seen(F.lit(LONGEST))),
         )
 
-    def state(out: Column, at: Column, skip: Column, n: Column) -> Column:
-        return F.struct(out.alias("text"), at.alias("at"), skip.alias("skip"), n.alias("n"))
-
-    def step(acc: Column, piece: Column) -> Column:
+    def step(acc: Column, piece: Column, near: Column) -> Column:
         size = F.length(piece)
         end = acc["at"] + size
 
@@ -419,31 +430,55 @@ def pseudonymised(text: Column, key: str = DEFAULT_KEY) -> Column:
             )
 
         return F.when(acc["skip"] > 0, after(acc["skip"], F.lit(""), F.lit(0))).otherwise(
-            let(let(window(acc["at"]), lambda w: pseudonym(w, key)), matched)
+            let(let(window(near, acc["at"]), lambda w: pseudonym(w, key)), matched)
         )
 
-    start = state(F.lit(""), F.lit(0), F.lit(0), F.lit(0))
-    return F.when(
-        text.isNotNull(),
-        F.aggregate(
-            F.split(text, f"(?={ANY})", -1), start, step,
+    def chunk(acc: Column, first: Column, pieces: Column) -> Column:
+        """The pieces from ``first`` on, seen with the text before them and far enough ahead."""
+        begin = F.greatest(first - BEFORE, F.lit(1))
+        before = F.array_join(F.slice(pieces, begin, first - begin), "")
+        own = F.slice(pieces, first, F.lit(CHUNK))
+        near = F.concat(
+            F.lpad(F.right(before, F.lit(BEFORE)), F.lit(BEFORE), F.lit(" ")),
+            F.array_join(F.slice(pieces, first, F.lit(CHUNK + LONGEST)), ""),
+        )
+        start = state(F.lit(""), F.lit(0), acc["skip"], acc["n"])
+        return let(near, lambda seen: let(
+            F.aggregate(own, start, lambda s, piece: step(s, piece, seen)),
+            lambda s: state(F.concat(acc["text"], s["text"]), F.lit(0), s["skip"], s["n"]),
+        ))
+
+    def all_of(pieces: Column) -> Column:
+        empty = state(F.lit(""), F.lit(0), F.lit(0), F.lit(0))
+        return F.aggregate(
+            F.sequence(F.lit(1), F.size(pieces), F.lit(CHUNK)), empty,
+            lambda acc, first: chunk(acc, first, pieces),
             lambda acc: F.struct(acc["text"].alias("text"), acc["n"].alias("n")),
-        ),
+        )
+
+    return F.when(
+        text.isNotNull(), let(F.split(text, f"(?={ANY})", -1), all_of)
     ).otherwise(F.struct(text.alias("text"), F.lit(0).alias("n")))
 
 
-def pseudonymise(documents: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
-    """``documents`` with their texts pseudonymised under ``key``."""
-    result = documents.withColumn("text", pseudonymised(F.col("text"), key)["text"])
+def session_key(documents: DataFrame) -> str:
+    return documents.sparkSession.conf.get(KEY_SETTING, DEFAULT_KEY)
+
+
+def pseudonymise(documents: DataFrame, key: str | None = None) -> DataFrame:
+    """``documents`` with their texts pseudonymised under ``key``, or the session's key."""
+    text = pseudonymised(F.col("text"), key or session_key(documents))["text"]
+    result = documents.withColumn("text", text)
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
         result = result.withColumn("n_chars", F.length("text").cast(kind))
     return result
 
 
-def digest(documents: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
+def digest(documents: DataFrame, key: str | None = None) -> DataFrame:
     """doc_id, the text after replacement, and the number of replacements."""
-    done = documents.select("doc_id", pseudonymised(F.col("text"), key).alias("_p"))
+    text = pseudonymised(F.col("text"), key or session_key(documents))
+    done = documents.select("doc_id", text.alias("_p"))
     return done.select(
         "doc_id", F.col("_p.text").alias("text"),
         F.coalesce("_p.n", F.lit(0)).cast("long").alias("n_replaced"),

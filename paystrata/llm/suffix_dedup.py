@@ -21,6 +21,9 @@ A bucket with more than ``HOT`` different surroundings is not collected: it is s
 by the cores of its halves in Spark, as often as needed, before the rest is refined
 in tasks. At a single string nothing is left to refine, and a count settles it.
 
+Strings are taken as equal by 64 bits of BLAKE2 within a bucket; the sums that choose the
+buckets settle nothing.
+
 Texts are taken as UTF-8, null as empty, and nothing crosses from one text into
 another. Repeated rows are texts of their own, so their strings are repeated. Rows
 are told apart by id and text hash only; equal ones share one result. An empty table
@@ -38,9 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paystrata.llm.common import cut, map_arrow, tell_workers
-from paystrata.llm.texthash import (
-    INVERSE, SHINGLE_CODES, mix, powers, prefix_sums, substring_hashes,
-)
+from paystrata.llm.texthash import digests, mix, prefix_sums, substring_hashes
 
 WIDTH = 400
 Q = 100
@@ -86,7 +87,7 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sides = np.zeros(REACH, dtype=np.uint64)
     greatest = sliding(np.concatenate((sides, least, sides)), REACH + 1, np.maximum)
     places = np.flatnonzero(greatest == grams)
-    return places, grams[places], substring_hashes(sums, places, places + AROUND)
+    return places, grams[places], digests(whole.tobytes(), places, places + AROUND)
 
 
 def _bytes(value: pa.Scalar) -> np.ndarray:
@@ -136,24 +137,14 @@ def _surrounding_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 
 class Blocks:
-    """Hashes of blocks of a table of surroundings; prefix sums of ``STEP`` rows at a time."""
+    """Hashes of blocks of a table of surroundings."""
 
     def __init__(self, table: np.ndarray) -> None:
-        self.table = table
-        self.sums = prefix_sums(table) if len(table) <= STEP else None
+        self.data, self.width = table.tobytes(), table.shape[1]
 
     def hashes(self, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        if self.sums is not None:
-            raw = self.sums[row, end] - self.sums[row, start]
-        else:
-            raw = np.empty(len(row), dtype=np.uint64)
-            for first in range(0, len(self.table), STEP):
-                here = np.flatnonzero((row >= first) & (row < first + STEP))
-                sums = prefix_sums(self.table[first : first + STEP])
-                own = row[here] - first
-                raw[here] = sums[own, end[here]] - sums[own, start[here]]
-        raw = raw * powers(INVERSE, self.table.shape[1] + 1)[start]
-        return mix(raw + (end - start).astype(np.uint64) * SHINGLE_CODES[63])
+        first = row * self.width
+        return digests(self.data, first + start, first + end)
 
     def cores(self, bucket: np.ndarray, row: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """What all strings of a range share, within the row's bucket."""
@@ -414,4 +405,6 @@ def deduplicate(documents: DataFrame) -> DataFrame:
 
 
 def digest(documents: DataFrame) -> DataFrame:
-    return deduplicate(documents).drop("kept", "spans")
+    """The sizes, the SHA-256 of what is kept, and the removed spans as ``start:end,...``."""
+    spans = F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return deduplicate(documents).drop("kept").withColumn("spans", F.array_join(spans, ","))

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from datetime import date
 
 import pytest
@@ -265,3 +266,53 @@ def test_no_python_in_plan(spark, small, name):
 
     plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+LONG = {
+    "dotted address": "x@" + "a." * 2000 + "com",
+    "very long dotted address": "x@" + "a." * 2_000_000 + "com",
+    "one run of hex": "".join(random.Random(1).choices("abcdef", k=1 << 20)),
+    "one run of letters and digits": "ab1" * 300_000,
+    "local part": "a" * 100_000 + "@x.com",
+}
+
+
+def test_long_texts_without_data_end_in_linear_time(spark):
+    """Runs in which a search could start at every character."""
+    started = time.perf_counter()
+    assert replaced(spark, list(LONG.values())[:4]) == list(LONG.values())[:4]
+    tail = replaced(spark, [LONG["local part"]])[0]
+    assert len(tail) == 37 and tail.endswith("@example.invalid")
+    assert time.perf_counter() - started < 90
+
+
+def test_long_texts_full_of_data(spark):
+    generator = random.Random(2)
+    days = [date.fromordinal(generator.randint(700_000, 760_000)).isoformat() for _ in range(20_000)]
+    mails = [f"user{n}@mail{n % 7}.example.org" for n in range(5_000)]
+    shown = replaced(spark, [" ".join(days), ", ".join(mails), days[0]])
+    out = shown[0].split(" ")
+    pairs = dict(zip(days, out))
+    assert len(out) == len(days) and [pairs[d] for d in days] == out and shown[2] == pairs[days[0]]
+    assert len(set(out)) == len(set(days)) and sum(a == b for a, b in pairs.items()) < 5
+    hidden = shown[1].split(", ")
+    assert len(set(hidden)) == 5_000 and all(h.endswith("@example.invalid") for h in hidden)
+
+
+def test_a_match_over_many_pieces(spark):
+    """Starts within a long address, and more pieces than are put together at a time."""
+    address = "-".join(["1a"] * 20) + "@" + ".".join(["9b"] * 40) + ".example"
+    text = "; ".join([address] * 200)
+    once = replaced(spark, [address])[0]
+    assert once.endswith("@example.invalid") and len(once) == 37
+    assert replaced(spark, [text])[0] == "; ".join([once] * 200)
+
+
+def test_the_key_comes_from_the_session(spark):
+    frame = spark.createDataFrame([(1, "mail me at joe@example.com")], "doc_id long, text string")
+    plain = pii.digest(frame).first()["text"]
+    spark.conf.set(pii.KEY_SETTING, "secret")
+    try:
+        assert pii.digest(frame).first()["text"] == pii.digest(frame, "secret").first()["text"] != plain
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
