@@ -3,13 +3,16 @@
 A rule is a host and a path prefix. It fits its host and all subdomains, and the
 longest fitting rule decides. The rules' verdicts also serve as labels for the
 rest: per host, paths become templates whose variable segments are wildcards,
-branches whose labelled share does not differ from their siblings' are merged,
+branches whose labelled share does not differ from their siblings' are merged into ``*``,
 and a template is rejected when its labelled share of blocked URLs, smoothed
-towards one half, reaches ``REJECT``. Without labels a template is allowed.
+towards one half, reaches ``REJECT``. Branches without labels cannot be told apart: below
+a node they are one template that ends in ``?``, and it is allowed. How many siblings a
+branch has, and how deep a path goes, decides nothing.
 
-Levels beyond ``DEPTH`` share one tail wildcard. The tree is built level by level
-on distinct templates with counts, never on single URLs, and a host with a third
-of all rows is combined on the map side.
+The tree is built level by level on distinct templates with counts, never on single
+URLs, and a host with a third of all rows is combined on the map side. A level is
+settled only where labelled paths still go on and more than one shape is left, so
+a long path costs no levels of its own.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path and
 falls under the template of that empty host; repeated rows count as often as they
@@ -31,8 +34,6 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-DEPTH = 6
-MAX_CHILDREN = 50
 SAME_Z2 = 3.84
 PRIOR_WEIGHT = 2.0
 REJECT = 0.8
@@ -60,62 +61,63 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
 
 
 def segment_shape(segment: Column) -> Column:
-    """Segments that vary by form: numbers, dates, hex strings, and long slugs."""
+    """Segments that vary by form: numbers, dates and hex strings."""
     stem = F.regexp_replace(segment, r"\.[A-Za-z]{1,5}$", "")
     return (
         F.when(stem.rlike(r"^[0-9][0-9._-]*$"), F.lit("{n}"))
         .when(stem.rlike(r"^(?=[^-]*[0-9])[0-9a-fA-F-]{8,}$"), F.lit("{h}"))
-        .when(F.length(stem) > 40, F.lit("{long}"))
         .otherwise(segment)
     )
 
 
 def shaped_path(path: Column) -> Column:
-    """Up to ``DEPTH`` segments in general form; what is deeper becomes one tail."""
-    parts = F.filter(F.split(path, "/", -1), lambda s: s != "")
-    shaped = F.transform(F.slice(parts, 1, DEPTH), segment_shape)
-    return F.when(F.size(parts) > DEPTH, F.concat(shaped, F.array(F.lit("{tail}")))).otherwise(
-        shaped
-    )
+    """The segments in general form."""
+    return F.transform(F.filter(F.split(path, "/", -1), lambda s: s != ""), segment_shape)
 
 
 def _level(tree: DataFrame, level: int) -> DataFrame:
-    """Replaces the segment at ``level`` by ``*`` where the node's children vary or agree.
+    """Settles the segment at ``level`` of the templates that are still open.
 
-    ``done`` holds the segments already settled. A node with too many distinct
-    children is variable there. A child is merged with its siblings when the
-    squared z score of its blocked share against theirs stays below ``SAME_Z2``; one
-    without labels resembles none.
+    ``done`` holds the segments already settled. A labelled child is merged with its
+    siblings when the squared z score of its blocked share against theirs stays below
+    ``SAME_Z2``. One without labels ends the template, and so does a node with a single
+    shape, whose other segments can only be alike.
     """
     child = F.get("shape", F.lit(level))
-    branches = tree.groupBy("host", "done", child.alias("child")).agg(
-        F.sum("n_labelled").alias("c_n"), F.sum("n_blocked").alias("c_b")
+    opened = tree.where("open")
+    branches = opened.groupBy("host", "done", child.alias("child")).agg(
+        F.sum("n_labelled").alias("c_n"), F.sum("n_blocked").alias("c_b"),
+        F.count(F.lit(1)).alias("shapes"),
     )
     nodes = branches.groupBy("host", "done").agg(
-        F.count("child").alias("children"),
         F.sum("c_n").alias("all_n"), F.sum("c_b").alias("all_b"),
+        F.sum("shapes").alias("all_shapes"),
     )
     share = F.col("all_b") / F.col("all_n")
     gap = F.col("c_b") - F.col("c_n") * share
     z2 = gap * gap / (F.col("c_n") * share * (1 - share))
-    alike = (F.col("c_n") > 0) & (
-        (F.col("all_b") == 0) | (F.col("all_b") == F.col("all_n")) | (z2 < SAME_Z2)
-    )
-    merged = F.col("child").isNotNull() & ((F.col("children") > MAX_CHILDREN) | alike)
-    settled = F.when(F.col("child").isNull(), F.col("done")).otherwise(
-        F.concat_ws("/", "done", F.when(merged, F.lit("*")).otherwise(F.col("child")))
-    )
+    alike = (F.col("all_b") == 0) | (F.col("all_b") == F.col("all_n")) | (z2 < SAME_Z2)
+    kept = F.when(F.col("c_n") == 0, F.lit("?")).when(alike, F.lit("*")).otherwise(F.col("child"))
     verdicts = branches.join(nodes, ["host", "done"]).select(
-        F.col("host").alias("_host"), F.col("done").alias("_done"),
-        F.col("child").alias("_child"), settled.alias("_settled"),
+        F.col("host").alias("_host"), F.col("done").alias("_done"), F.col("child").alias("_child"),
+        F.when(F.col("child").isNull(), F.col("done")).otherwise(F.concat_ws("/", "done", kept))
+        .alias("_settled"),
+        (F.col("child").isNotNull() & (F.col("c_n") > 0)).alias("_goes_on"),
+        (F.col("all_shapes") == 1).alias("_single"),
     )
     same = (
         (F.col("host") == F.col("_host")) & (F.col("done") == F.col("_done"))
         & F.col("_now").eqNullSafe(F.col("_child"))
     )
-    return tree.withColumn("_now", child).join(verdicts, same).select(
-        "host", "shape", F.col("_settled").alias("done"), "n_labelled", "n_blocked"
+    last = F.col("_single") & F.col("_goes_on")
+    rest = F.repeat(F.lit("/*"), F.size("shape") - (level + 1))
+    settled = opened.withColumn("_now", child).join(verdicts, same).select(
+        "host", "shape",
+        F.when(last, F.concat("_settled", rest)).otherwise(F.col("_settled")).alias("done"),
+        "n_labelled", "n_blocked",
+        (F.col("_goes_on") & ~F.col("_single") & (F.size("shape") > level + 1)).alias("open"),
     )
+    return tree.where("not open").unionByName(settled)
 
 
 def template_verdicts(judged: DataFrame) -> DataFrame:
@@ -131,10 +133,10 @@ def template_verdicts(judged: DataFrame) -> DataFrame:
         ),
         "url-shapes",
     )
-    depth = tree.agg(F.max(F.size("shape"))).first()[0] or 0
-    tree = tree.withColumn("done", F.lit(""))
-    for level in range(depth):
-        tree = cut(_level(tree, level), f"url-level-{level}")
+    tree = tree.withColumns({"done": F.lit(""), "open": F.size("shape") > 0})
+    level = 0
+    while tree.where("open").limit(1).count():
+        tree, level = cut(_level(tree, level), f"url-level-{level}"), level + 1
     templates = tree.groupBy("host", "done").agg(
         F.sum("n_labelled").alias("t_n"), F.sum("n_blocked").alias("t_b")
     )
