@@ -45,7 +45,7 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return secret_scan.digest(_table(spark, folder, "documents"))
+    return secret_scan.digest(_table(spark, folder, "documents"), secret_scan.own_ledger(spark))
 
 
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:

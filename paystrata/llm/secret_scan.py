@@ -3,23 +3,31 @@
 Every text is addressed by its SHA-256. Only pairs of blob and rule version that
 the ledger does not hold are scanned, each blob once however many paths carry it,
 and the findings are joined back to all paths. A ledger is a Parquet folder of
-(blob, rule_version, findings); ``scan`` appends what it scanned.
+(blob, rule_version, findings); ``scan`` appends what it scanned. The version is
+a hash of the rules, so a changed rule scans every blob again and old entries stay
+for old versions. The registered query keeps its ledger in the shared folder: a later
+call, also of another application, scans only texts that no call has seen. Two calls at
+once may both scan a new blob; entries are then told apart by (blob, version) when read.
 
 Findings are (kind, start, end) in code points, end exclusive, leftmost and
 non-overlapping per kind, ordered by start and then by the order of ``KINDS``.
 
 Defined results: a null text is the empty blob without findings; repeated rows get
-the same findings each; an empty table gives an empty result.
+the same findings each; an empty table gives an empty result. Very long texts are
+scanned whole. Column names that begin with ``_s_`` are reserved; a column ``blob`` of
+the documents is replaced by the address.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paystrata.llm.common import let, matches, sha256_hex, text_or_empty
+from paystrata.session import shared_folder
 
-RULE_VERSION = "1"
 # Kind, pattern, and the group and least length that a match must have.
 BASE_KINDS = (
     (
@@ -37,6 +45,9 @@ ADDED_KINDS = (
     ("url_login", r"[a-z][a-z0-9+.-]*://[^\s:/@]+:[^\s:/@]+@[^\s/@]+", 0, 0),
 )
 KINDS = BASE_KINDS + ADDED_KINDS
+SCANNER = "1"  # to be raised when the way spans are found changes
+RULE_VERSION = hashlib.sha256(repr((SCANNER, KINDS)).encode()).hexdigest()[:16]
+ENTRY = "blob string, rule_version string, findings array<struct<start:int,rank:int,end:int>>"
 
 
 def kind_spans(text: Column, rank: int, pattern: str, group: int, least: int) -> Column:
@@ -85,6 +96,14 @@ def findings(text: Column) -> Column:
     return F.array_sort(F.concat(*spans))
 
 
+def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
+    """The entries of a ledger folder, or null if there is no such folder yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return spark.read.schema(ENTRY).parquet(path)
+
+
 def scan(
     documents: DataFrame, ledger: DataFrame | None = None, ledger_path: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -106,7 +125,7 @@ def scan(
     )
     if ledger_path is not None:
         scanned.write.mode("append").parquet(ledger_path)
-        after = spark.read.schema(scanned.schema).parquet(ledger_path)
+        after = spark.read.schema(ENTRY).parquet(ledger_path)
         if ledger is not None:
             # the caller may keep older entries elsewhere
             after = after.unionByName(ledger.select(*scanned.columns)).dropDuplicates(
@@ -117,16 +136,30 @@ def scan(
     return versions.drop("_s_text"), after
 
 
-def with_findings(documents: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
-    """Every path with ``blob`` and its ``findings``."""
-    paths, after = scan(documents, ledger)
+def scan_into(documents: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """``scan`` with the one ledger at ``path``, which begins empty."""
+    spark = documents.sparkSession
+    paths, _ = scan(documents, read_ledger(spark, path), path)
+    return paths, spark.read.schema(ENTRY).parquet(path)
+
+
+def own_ledger(spark: SparkSession) -> str:
+    """The ledger of the registered query, below the shared folder."""
+    return f"{shared_folder(spark)}/paystrata/secret-ledger"
+
+
+def with_findings(
+    documents: DataFrame, ledger: DataFrame | None = None, path: str | None = None
+) -> DataFrame:
+    """Every path with ``blob`` and its ``findings``; the ledger is a frame or kept at ``path``."""
+    paths, after = scan_into(documents, path) if path else scan(documents, ledger)
     current = after.where(F.col("rule_version") == RULE_VERSION).select("blob", "findings")
-    return paths.join(current, "blob", "left")
+    return paths.join(current.dropDuplicates(["blob"]), "blob", "left")
 
 
-def digest(documents: DataFrame) -> DataFrame:
+def digest(documents: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, the counts of the base kinds, and all spans as text."""
-    found = with_findings(documents.select("doc_id", "text")).select("doc_id", "findings")
+    found = with_findings(documents.select("doc_id", "text"), path=path).select("doc_id", "findings")
     names = F.array(*[F.lit(kind[0]) for kind in KINDS])
 
     def listed(spans: Column) -> Column:
