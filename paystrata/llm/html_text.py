@@ -7,19 +7,29 @@ of ratios (two means on one axis) vote for the region they stand in. Elements
 that never hold main text weigh nothing, and an ``article`` or ``main`` weighs
 more than the page around it, also where a form or a block named for its layout
 (``with-sidebar``) holds it. Where no article is left and such wrappers hold the most
-text, they are taken for the page. Inside an article only divs and lists are judged by
-name, and by whole names (``share-links``, not ``related-work``). A region that wins gives all of its lines, short
+text, they are taken for the page. A region that wins gives all of its lines, short
 ones included, so a one-word paragraph of the article stays.
 
+On a page without ``article`` and ``main`` the regions that win span the smallest
+container around them, and one more level: its other parts (a heading in a ``div`` of
+its own, a short last section) stay too, unless most of their text is links.
+
+Inside an article divs and lists are judged by whole names (``share-links``, not
+``related-work``), other blocks and ``ins`` by whole class names of adverts, notices and
+comments, and sections by an id that names comments. Headings and inline elements are not
+judged. ``noscript`` counts inside an article only.
+
 Defined results: a null, empty or text-free page gives an empty text; repeated
 rows get the same result each; an empty table gives an empty result. Character
 references are decoded, white space inside a block becomes one space, and blocks
-are joined by one line feed in page order.
+are joined by one line feed in page order. Very long pages are read whole, in time
+linear in their length. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from typing import NamedTuple
@@ -40,8 +50,8 @@ VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 HIDDEN = frozenset(
-    "script style template noscript head title iframe object svg math canvas audio video map "
-    "select datalist textarea button".split()
+    "script style template head title iframe object svg canvas audio video map "
+    "select datalist textarea button annotation annotation-xml".split()
 )
 OUTSIDE = frozenset("nav menu aside footer form dialog search".split())
 MAIN = frozenset(("article", "main"))
@@ -75,6 +85,12 @@ def _whole_names(words: str) -> re.Pattern:
 
 WHOLE_OUTSIDE = _whole_names(WORDS_OUTSIDE.replace(r"\w", "[a-z]"))
 WHOLE_COMMENTS = _whole_names("comments?|commentlist|disqus|replies|respond")
+# names that a paragraph, section or other block of an article may be dropped for
+WHOLE_FOREIGN = _whole_names(
+    "ads?|advert[a-z]*|adsense|adsbygoogle|promo[a-z]*|sponsor[a-z]*|cookies?|consent|notices?|gdpr|"
+    "newsletter|subscribe|share|sharing|social|pagination|pager|breadcrumbs?|"
+    "comments?|commentlist|disqus|replies|respond"
+)
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PROSE = HEADINGS | frozenset("p li dd dt td th pre blockquote caption figcaption".split())
 # Why an element weighs nothing: it may be a wrapper, its whole name, its tag or role.
@@ -106,18 +122,32 @@ class State(NamedTuple):
     cause: int = 0  # why the weight is zero
     within: str = ""  # main or article
     prose: bool = False
+    link: bool = False
+
+
+class Line(NamedTuple):
+    """A block's text with what the page says of it."""
+
+    text: str
+    tags: int
+    weight: float
+    region: int
+    spare: float
+    linked: int  # characters of link text
 
 
 class LineReader(HTMLParser):
-    """Collects a page's lines: (text, tags, weight, region, spare weight)."""
+    """Collects a page's lines, and the region that holds each region (``inside``)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, float, int, float]] = []
+        self.lines: list[Line] = []
         self.open: list[tuple[str, State]] = []
+        self.names: Counter[str] = Counter()  # how often each element is open
         self.pieces: list[str] = []
+        self.linked = 0
         self.tags = 0
-        self.regions = 0
+        self.inside = [0]
 
     def _state(self) -> State:
         return self.open[-1][1] if self.open else State()
@@ -126,9 +156,16 @@ class LineReader(HTMLParser):
         text = WHITE.sub(" ", "".join(self.pieces)).strip()
         state = self._state()
         if text:
-            self.lines.append((text, self.tags, state.weight, state.region, state.spare))
+            self.lines.append(
+                Line(text, self.tags, state.weight, state.region, state.spare, self.linked)
+            )
             self.tags = 0
-        self.pieces = []
+        self.pieces, self.linked = [], 0
+
+    def _close(self, at: int) -> None:
+        """Ends the open elements from place ``at`` on."""
+        self.names.subtract(name for name, _ in self.open[at:])
+        del self.open[at:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -139,13 +176,13 @@ class LineReader(HTMLParser):
         if tag in VOID:
             return
         while self.open and tag in CLOSED_BY.get(self.open[-1][0], ()):
-            self.open.pop()
+            self._close(len(self.open) - 1)
         if tag in BLOCKS:
             self._close_inline_paragraph(tag)
         parent = self._state()
-        weight, spare, region, hidden, cause, within, prose = parent
+        weight, spare, region, hidden, cause, within, prose, link = parent
         named = dict(attrs)
-        if tag in HIDDEN or "hidden" in named:
+        if tag in HIDDEN or "hidden" in named or tag == "noscript" and not within:
             hidden = KIND
         why = self._outside(tag, named, parent)
         if why:
@@ -167,12 +204,14 @@ class LineReader(HTMLParser):
                 weight, spare = weight * MAIN_WEIGHT, spare * MAIN_WEIGHT
             within = "article" if "article" in (kind, within) else kind
         if tag in REGIONS and spare:
-            self.regions += 1
             # parts of an article belong to it
-            joined = spare > 1 and region and parent.spare > 1
-            region = region if joined else self.regions
+            if not (spare > 1 and region and parent.spare > 1):
+                self.inside.append(region)
+                region = len(self.inside) - 1
         prose = prose or tag in PROSE
-        self.open.append((tag, State(weight, spare, region, hidden, cause, within, prose)))
+        link = link or tag == "a"
+        self.open.append((tag, State(weight, spare, region, hidden, cause, within, prose, link)))
+        self.names[tag] += 1
 
     @staticmethod
     def _main(tag: str, named: dict[str, str | None]) -> str:
@@ -191,27 +230,31 @@ class LineReader(HTMLParser):
         if tag in OUTSIDE or named.get("role") in ROLES_OUTSIDE:
             return KIND
         if tag == "header":
-            return 0 if any(name in MAIN for name, _ in self.open) else KIND
+            return 0 if any(self.names[name] for name in MAIN) else KIND
         if tag in ("body", "html") or self._main(tag, named):
             return 0
-        if not self._names(tag, named, NAMES_OUTSIDE):
-            return 0
         if parent.within:
             if tag in ("div", "ul", "ol"):
                 return NAME if self._names(tag, named, WHOLE_OUTSIDE) else 0
-            comments = tag == "section" and parent.within == "main"
-            return NAME if comments and self._names(tag, named, WHOLE_COMMENTS) else 0
+            if tag == "section" and self._names(tag, named, WHOLE_COMMENTS):
+                return NAME
+            judged = tag == "ins" or tag in BLOCKS and tag not in HEADINGS
+            return NAME if judged and WHOLE_FOREIGN.search(named.get("class") or "") else 0
+        if not self._names(tag, named, NAMES_OUTSIDE):
+            return 0
         if tag not in BLOCKS and parent.prose:
             return 0
         return NAME if self._names(tag, named, WHOLE_OUTSIDE) else WRAPPER
 
     def _close_inline_paragraph(self, tag: str) -> None:
         """A block inside unclosed inline elements of a paragraph ends the paragraph."""
+        if not self.names["p"]:
+            return
         for at in range(len(self.open) - 1, -1, -1):
             name = self.open[at][0]
             if name == "p":
                 if tag in CLOSED_BY["p"]:
-                    del self.open[at:]
+                    self._close(at)
                 return
             if name in BLOCKS:
                 return
@@ -220,14 +263,19 @@ class LineReader(HTMLParser):
         if tag in BLOCKS:
             self.flush()
         self.tags += 1
+        if not self.names[tag]:
+            return
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
-                del self.open[at:]
+                self._close(at)
                 return
 
     def handle_data(self, data: str) -> None:
-        if not self._state().hidden:
+        state = self._state()
+        if not state.hidden:
             self.pieces.append(data)
+            if state.link:
+                self.linked += len(WHITE.sub(" ", data).strip())
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -253,35 +301,72 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def page_lines(html: str) -> list[tuple[str, int, float, int, float]]:
+def page_lines(html: str) -> tuple[list[Line], list[int]]:
+    """The page's lines, and for each region the one that holds it."""
     reader = LineReader()
     reader.feed(html)
     reader.close()
     reader.flush()
-    return reader.lines
+    return reader.lines, reader.inside
 
 
-def line_weights(lines: list[tuple[str, int, float, int, float]]) -> np.ndarray:
+def line_weights(lines: list[Line]) -> np.ndarray:
     """The lines' weights; with those of wrappers where they hold most of an unmarked page."""
-    weights = np.array([line[2] for line in lines])
+    weights = np.array([line.weight for line in lines])
     if (weights > 1).any():
         return weights
-    wrapped = [line[0] for line in lines if not line[2] and line[4]]
-    usable = sum(len(line[0]) for line in lines if line[2])
+    wrapped = [line.text for line in lines if not line.weight and line.spare]
+    usable = sum(len(line.text) for line in lines if line.weight)
     if sum(map(len, wrapped)) > usable and any(len(t.split()) >= PROSE_WORDS for t in wrapped):
-        return np.array([line[4] for line in lines])
+        return np.array([line.spare for line in lines])
     return weights
 
 
+def around(winners: set[int], inside: list[int]) -> int:
+    """The region that holds the smallest region around all winners (0 is the page).
+
+    A region's number is greater than that of the region that holds it.
+    """
+    held = [int(region in winners) for region in range(len(inside))]
+    for region in range(len(inside) - 1, -1, -1):
+        if held[region] == len(winners):
+            return inside[region]
+        held[inside[region]] += held[region]
+    return 0
+
+
+def joined(lines: list[Line], usable: np.ndarray, winners: set[int], inside: list[int]) -> np.ndarray:
+    """Which lines stand with the winning regions of an unmarked page."""
+    text, linked = [0] * len(inside), [0] * len(inside)
+    for line, counts in zip(lines, usable):
+        if counts:
+            text[line.region] += len(line.text)
+            linked[line.region] += line.linked
+    links = [2 * a > b for a, b in zip(linked, text)]
+    # smoothing also lifts short blocks of links that stand beside long lines
+    winners = {region for region in winners if not links[region]} or winners
+    top = around(winners, inside)
+    within = [False] * len(inside)
+    for region, parent in enumerate(inside):  # a parent comes before its parts
+        within[region] = region == top or region > 0 and within[parent]
+
+    def stays(line: Line) -> bool:
+        if line.region in winners:
+            return True
+        return within[line.region] and not links[line.region] and 2 * line.linked <= len(line.text)
+
+    return usable & np.array([stays(line) for line in lines])
+
+
 def main_text(html: str | None) -> str:
     """The page's main text, empty if it has none."""
-    lines = page_lines(html) if html else []
+    lines, inside = page_lines(html) if html else ([], [0])
     weights = line_weights(lines)
     if not (weights > 0).any():
         return ""
-    regions = np.array([line[3] for line in lines])
-    sizes = np.array([len(line[0]) for line in lines], dtype=float)
-    tags = np.array([max(1, line[1]) for line in lines])
+    regions = np.array([line.region for line in lines])
+    sizes = np.array([len(line.text) for line in lines], dtype=float)
+    tags = np.array([max(1, line.tags) for line in lines])
     usable = weights > 0
     # a region that the page marks as its article stands out by its marks, not by its length
     score = np.log1p(sizes / tags) * usable
@@ -291,8 +376,11 @@ def main_text(html: str | None) -> str:
         value = value + marked * (value.max() + 1.0)
     content = usable & (value >= threshold(value))
     winners = np.unique(regions[content])
-    keep = usable & np.isin(regions, winners)
-    return "\n".join(line[0] for line, kept in zip(lines, keep) if kept)
+    if marked.any():
+        keep = usable & np.isin(regions, winners)
+    else:
+        keep = joined(lines, usable, set(winners.tolist()), inside)
+    return "\n".join(line.text for line, kept in zip(lines, keep) if kept)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
