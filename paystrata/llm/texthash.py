@@ -114,19 +114,30 @@ def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return found
 
 
-def word_hashes(
+def word_places(
     texts: list[bytes], punctuation_splits: bool = False
-) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every lowered word of the texts in order, and where each text's words begin.
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' lowered bytes, where words start and end in them, and each text's first word.
 
-    The second array has one entry more than there are texts.
+    The last array has one entry more than there are texts.
     """
     data = _LOWER[np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)]
     space = (_PUNCT if punctuation_splits else _SPACE)[data]
     edges = np.flatnonzero(np.diff(np.concatenate(([True], space)).astype(np.int8)))
     starts, ends = edges[0::2], edges[1::2]
     offsets = np.cumsum([0] + [len(t) + 1 for t in texts])
-    return run_hashes(data, starts, ends), np.searchsorted(starts, offsets)
+    return data, starts, ends, np.searchsorted(starts, offsets)
+
+
+def word_hashes(
+    texts: list[bytes], punctuation_splits: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every lowered word of the texts in order, and where each text's words begin.
+
+    The second array has one entry more than there are texts.
+    """
+    data, starts, ends, begins = word_places(texts, punctuation_splits)
+    return run_hashes(data, starts, ends), begins
 
 
 def shingles(words: np.ndarray, size: int) -> np.ndarray:

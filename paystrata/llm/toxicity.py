@@ -1,20 +1,24 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic texts are the positives; other texts are unlabelled and may hold
-toxic ones. With class prior p, the risk of a linear classifier is
+Confirmed toxic texts are the positives. The unlabelled texts are drawn from all documents
+but the held-out ones, whatever their label, so they hold toxic ones in the share of
+the whole; labels of harmless texts count for the prior at most. With class prior p, the risk of a linear classifier is
 
     p * R(positive as 1) + max(0, R(unlabelled as 0) - p * R(positive as 0)),
 
 and where the second part turns negative the step goes the other way, so that the
 classifier cannot profit from fitting the unlabelled texts too closely. Features
-are hashed words, present or not, of which those are used whose presence differs
-clearly between the two samples (chi-square). Training is numpy on the driver over at most
+are hashed words, present or not, and beginnings of words that several different words of a
+text share; of these those are used whose presence differs clearly between the two
+samples (chi-square). Training is numpy on the driver over at most
 ``MAX_POSITIVE`` and ``MAX_UNLABELLED`` texts, chosen by a hash of their id;
-scoring covers every whole text in parallel, without a shuffle.
+scoring covers every whole text in parallel, without a shuffle. The sample reaches the
+driver as slots of words in Arrow buffers, never as texts.
 
 Defined results: a null or empty text scores by the bias alone; without positives
-every score is 0; repeated rows get the same score each; an empty table gives an
-empty result.
+every score is 0; repeated rows get the same score each and count once in training; an
+empty table gives an empty result. Very long texts are scored whole, in time linear in
+their length; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paystrata.llm.common import map_arrow
-from paystrata.llm.texthash import chunks, mix, word_hashes
+from paystrata.llm.texthash import chunks, mix, run_hashes, word_places
 
 BITS = 18
 MAX_POSITIVE = 6000
@@ -37,18 +41,44 @@ TELLING = 25.0
 STEPS = 800
 RATE = 0.03
 BATCH = 512
-DECAY = 1e-5
+DECAY = 3e-5
+STEMS = (4, 6, 8)  # bytes of a word's beginning
+SHARED_BY = (2, 5)  # different words of a text that must begin so
 
 
 def is_held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 4 == 2
 
 
+def _counted(owner: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of one of each distinct pair, how often the pair occurs)."""
+    order = np.lexsort((value, owner))
+    owner, value = owner[order], value[order]
+    fresh = np.ones(len(order), dtype=bool)
+    fresh[1:] = (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])
+    first = np.flatnonzero(fresh)
+    return order[first], np.diff(np.append(first, len(order)))
+
+
 def features(texts: list[bytes]) -> list[np.ndarray]:
-    """For each text the distinct slots of its words."""
-    words, begins = word_hashes(texts, punctuation_splits=True)
-    slots = (mix(words) >> np.uint64(64 - BITS)).astype(np.int64)
-    return [np.unique(slots[a:b]) for a, b in zip(begins[:-1], begins[1:])]
+    """For each text the distinct slots of its words and of the beginnings they share."""
+    data, starts, ends, begins = word_places(texts, punctuation_splits=True)
+    words = run_hashes(data, starts, ends)
+    owner = np.repeat(np.arange(len(texts)), np.diff(begins))
+    one, _ = _counted(owner, words)
+    found = [(owner[one], words[one])]
+    for size in STEMS:
+        longer = one[(ends - starts)[one] > size]
+        stems = run_hashes(data, starts[longer], starts[longer] + size)
+        at, count = _counted(owner[longer], stems)
+        for least in SHARED_BY:
+            several = at[count >= least]
+            found.append((owner[longer[several]], mix(stems[several] + np.uint64(least))))
+    text = np.concatenate([t for t, _ in found])
+    slots = np.concatenate([(mix(h) >> np.uint64(64 - BITS)).astype(np.int64) for _, h in found])
+    pairs = np.unique(text << BITS | slots)
+    borders = np.searchsorted(pairs >> BITS, np.arange(1, len(texts)))
+    return np.split(pairs & ((1 << BITS) - 1), borders)
 
 
 def _as_bytes(column: pa.Array) -> list[bytes]:
@@ -62,7 +92,11 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             rows += [r.astype(np.int32) for r in features(texts[a:b])]
         rows += [np.empty(0, np.int32)] * (len(texts) - len(rows))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("toxic"), pa.array(rows, pa.list_(pa.int32()))], ["toxic", "slots"]
+            [
+                batch.column("doc_id"), batch.column("toxic"),
+                pa.array(rows, pa.list_(pa.int32())),
+            ],
+            ["doc_id", "toxic", "slots"],
         )
 
 
@@ -91,7 +125,7 @@ def train(
 ) -> tuple[np.ndarray, float]:
     """Weights per slot and bias, by stochastic steps (Adam) on the non-negative risk."""
     chosen = telling_slots(positive, unlabelled)
-    place = np.full(1 << BITS, -1)
+    place = np.full(1 << BITS, -1, dtype=np.int32)
     place[chosen] = np.arange(len(chosen))
     positive, unlabelled = (
         [k[k >= 0] for k in (place[r] for r in rows)] for rows in (positive, unlabelled)
@@ -129,38 +163,51 @@ def train(
     return whole, bias
 
 
-def fit(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float] | None:
-    """The classifier, from labelled rows that are not held out; null without positives.
+def sample(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, toxic (1 for positives, 0 for unlabelled) and slots of the training texts.
 
-    The prior is the toxic share among those rows. Positives and unlabelled texts are
-    the first of each by a hash of the id, at most so many as the bounds say.
+    Both kinds are the first by a hash of the id, at most so many as the bounds say.
     """
-    known = labels.where(~is_held_out(F.col("doc_id")) & F.col("toxic").isNotNull()).select(
-        "doc_id", "toxic"
+    def first(ids: DataFrame, toxic: int, most: int) -> DataFrame:
+        order = F.xxhash64("doc_id")
+        some = ids.select("doc_id", order.alias("order")).distinct().orderBy("order", "doc_id")
+        return some.limit(most).select("doc_id", F.lit(toxic).alias("toxic"))
+
+    usable = ~is_held_out(F.col("doc_id"))
+    ids = first(labels.where(usable & (F.col("toxic") == 1)), 1, MAX_POSITIVE).union(
+        first(documents.where(usable), 0, MAX_UNLABELLED)
     )
+    texts = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    kind = dict(documents.dtypes)["doc_id"]
+    rows = map_arrow(texts, _feature_rows, f"doc_id {kind}, toxic int, slots array<int>")
+    return rows.dropDuplicates(["doc_id", "toxic"])
+
+
+def fit(
+    documents: DataFrame, labels: DataFrame, prior: float | None = None
+) -> tuple[np.ndarray, float] | None:
+    """The classifier, from labels that are not held out; null without positives.
+
+    ``prior`` is the share of toxic texts among the documents; by default that
+    among the labelled rows, which must then hold harmless ones too.
+    """
+    known = labels.where(~is_held_out(F.col("doc_id")) & F.col("toxic").isNotNull())
     counts = known.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
     if not counts["toxic"]:
         return None
-    chosen = known.withColumn("order", F.xxhash64("doc_id"))
-    some = (
-        chosen.where("toxic = 1").orderBy("order", "doc_id").limit(MAX_POSITIVE)
-        .union(chosen.where("toxic <> 1").orderBy("order", "doc_id").limit(MAX_UNLABELLED))
-    )
-    rows = (
-        documents.select("doc_id", "text").join(F.broadcast(some), "doc_id")
-        .select(F.col("toxic").cast("int"), "text")
-    )
-    rows = map_arrow(rows, _feature_rows, "toxic int, slots array<int>").toArrow()
-    slots = [np.asarray(s, dtype=np.int64) for s in rows.column("slots").to_pylist()]
-    toxic = rows.column("toxic").to_pylist()
-    positive = [s for s, t in zip(slots, toxic) if t == 1]
-    if not positive:
+    # in a fixed order, since training takes random places
+    rows = sample(documents, labels).orderBy("toxic", F.xxhash64("doc_id"), "doc_id").toArrow()
+    toxic = rows.column("toxic").to_numpy() == 1
+    if not toxic.any():
         return None
-    prior = min(max(counts["toxic"] / counts["n"], 0.001), 0.9)
-    # the unlabelled texts hold toxic ones in the share of the whole
-    share = round(prior * len(slots))
-    unlabelled = [s for s, t in zip(slots, toxic) if t != 1] + positive[:share]
-    return train(positive, unlabelled, prior)
+    lists = rows.column("slots").combine_chunks()
+    places = lists.offsets.to_numpy()
+    slots = np.split(lists.values.to_numpy(), places[1:-1])
+    if prior is None:
+        prior = min(max(counts["toxic"] / counts["n"], 0.001), 0.9)
+    return train(
+        [s for s, t in zip(slots, toxic) if t], [s for s, t in zip(slots, toxic) if not t], prior
+    )
 
 
 def _score_rows(model: tuple[np.ndarray, float] | None):

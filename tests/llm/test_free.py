@@ -1,7 +1,11 @@
 """Operators with work in numpy or plain Python, against brute force."""
 
 import random
+import re
 import string
+import time
+from collections import Counter
+from html import unescape
 
 import numpy as np
 import pytest
@@ -178,6 +182,61 @@ def test_main_text_in_wrappers(html, text):
     assert html_text.main_text(f"<html><body>{html}</body></html>") == text
 
 
+@pytest.mark.parametrize("html, text", [
+    # unmarked pages: parts under one parent stay together, but not blocks of links
+    (f"<section><p>{TALE}</p></section><section><p>Short.</p></section><section><p>{TALE}</p></section>",
+     f"{TALE.strip()}\nShort.\n{TALE.strip()}"),
+    (f"<div><h1>Title</h1></div><div><p>{TALE}</p><p>{TALE}</p></div><div><p>The end.</p></div>",
+     f"Title\n{TALE.strip()}\n{TALE.strip()}\nThe end."),
+    (f"<div><a href='/'>Home</a> <a href='/b'>About us</a></div><div><div><h1>Title</h1></div><div><p>{TALE}</p></div>"
+     f"<div><p>{TALE}</p></div></div><div>Links: <a href='/c'>Contact and more</a></div>",
+     f"Title\n{TALE.strip()}\n{TALE.strip()}"),
+    # blocks inside an article
+    ("<article><p>One</p><section id='comments'><p>First</p></section><p class='advert'>Buy</p>"
+     "<section class='ad'>Buy</section><ins class='adsbygoogle'>Buy</ins><p class='cookie-notice'>We bake</p>"
+     "<p class='adverb header-text'>Two</p><section id='ad-hoc'>Three</section>"
+     "<p>Sum <math><mi>x</mi><annotation>\\x</annotation></math></p><noscript><p>Four</p></noscript></article>"
+     "<noscript>Turn it on</noscript>", "One\nTwo\nThree\nSum x\nFour"),
+])
+def test_main_text_of_parts(html, text):
+    assert html_text.main_text(f"<html><body>{html}</body></html>") == text
+
+
+@pytest.mark.parametrize("html", [
+    "<div><b>" * 40_000 + "x" + "</i>" * 40_000, "<b>" * 40_000 + "<div>x</div>" * 40_000,
+    "<div>word " * 40_000, "<p><b>" * 40_000 + "x", "<a href='/'>x</a>" * 40_000,
+])
+def test_long_pages_in_linear_time(html):
+    start = time.monotonic()
+    assert html_text.main_text(html) is not None
+    assert time.monotonic() - start < 10
+
+
+def plain_page(html, marks):
+    """(article by its tags, the page with those marks taken away)."""
+    body = html.split("<article>")[1].split("</article>")[0]
+    blocks = re.split(r"</?(?:h1|p|ul|li|div)[^>]*>", re.sub(r"<br ?/?>", " ", body))
+    lines = [" ".join(unescape(re.sub(r"</?(?:b|a|i|em)\b[^>]*>", "", x)).split()) for x in blocks]
+    for mark in marks:
+        html = html.replace(f"<{mark}>", "<div>").replace(f"</{mark}>", "</div>")
+    return "\n".join(x for x in lines if x), html
+
+
+@pytest.mark.parametrize("marks", [(), ("article",), ("article", "nav", "footer")])
+def test_pages_without_marks(spark, folder, marks):
+    """Words of the articles found and words found that are theirs, over all pages."""
+    asked = found = right = 0
+    for row in spark.read.parquet(f"{folder}/pages.parquet").select("html").collect():
+        text, html = plain_page(row["html"], marks)
+        result = html_text.main_text(html)
+        if not marks:
+            assert result == text
+        a, b = Counter(text.split()), Counter(result.split())
+        asked, found, right = asked + a.total(), found + b.total(), right + (a & b).total()
+    print(f"marks removed {marks}: recall {right / asked:.4f}, precision {right / found:.4f}")
+    assert right / asked > 0.95 and right / found > 0.95
+
+
 def test_pages(spark, folder):
     pages = spark.read.parquet(f"{folder}/pages.parquet")
     result = {r["page_id"]: r for r in html_text.extract(pages).collect()}
@@ -209,12 +268,39 @@ def test_toxicity_on_held_out_rows(spark, folder, odd, nothing):
     good = ((held.predicted == 1) == (held.toxic == 1)).mean()
     assert good > 0.93
     assert held[held.predicted == 1].toxic.mean() > 0.9
+    larger = folder.replace("sf0.01", "sf0.1")  # with 120 toxic rows held out
+    labelled = spark.read.parquet(f"{larger}/labels.parquet")
+    many = toxicity.judge(spark.read.parquet(f"{larger}/documents.parquet"), labelled)
+    many = many.where("held_out").join(labelled, "doc_id").toPandas()
+    assert many[many.toxic == 1].predicted.mean() > 0.8
+    assert many[many.predicted == 1].toxic.mean() > 0.9
     blank = spark.createDataFrame([], labels.schema)
     assert toxicity.judge(odd, blank).where("score <> 0").count() == 0
     assert toxicity.judge(nothing, labels).count() == 0
     assert toxicity.judge(odd, labels).where("score is null").count() == 0
 
 
+def test_harmless_labels_are_not_learnt(spark, small):
+    """With the prior given, the labels of harmless texts change nothing."""
+    documents = spark.read.parquet(f"{small}/documents.parquet")
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    documents = documents.union(documents)  # copies count once
+    weights, bias = toxicity.fit(documents, labels, 0.1)
+    fewer, same = toxicity.fit(documents, labels.where("toxic = 1"), 0.1)
+    assert (weights == fewer).all() and bias == same
+    drawn = toxicity.sample(documents, labels)
+    assert not drawn.where(toxicity.is_held_out(drawn.doc_id)).count()
+    assert drawn.groupBy("doc_id", "toxic").count().where("count > 1").count() == 0
+
+
+def test_shared_beginnings_of_words():
+    """Texts with one of no words, beginnings of few and of several different words."""
+    one, empty, several = toxicity.features([b"abcdef abcdef", b"", b"abcdxy abcdzz other"])
+    assert len(one) == 1 and len(empty) == 0  # a repeated word does not share its beginning
+    assert len(several) == 4  # three words, and a beginning of four bytes that two share
+    assert [len(f) for f in toxicity.features([b"word " * 400_000, b"x"])] == [1, 1]
+
+
 def test_non_negative_risk_stops_overfitting():
     generator = np.random.Generator(np.random.PCG64(4))
     noise = [generator.integers(100, 4000, 30) for _ in range(400)]
