@@ -5,9 +5,11 @@ the ledger does not hold are scanned, each blob once however many paths carry it
 and the findings are joined back to all paths. A ledger is a Parquet folder of
 (blob, rule_version, findings); ``scan`` appends what it scanned. The version is
 a hash of the rules, so a changed rule scans every blob again and old entries stay
-for old versions. The registered query keeps its ledger in the shared folder: a later
-call, also of another application, scans only texts that no call has seen. Two calls at
-once may both scan a new blob; entries are then told apart by (blob, version) when read.
+for old versions. The registered query keeps its ledger in the folder that the session
+names in ``spark.paystrata.secrets.ledger``: a later call, also of another application,
+scans only texts that no call has seen. Without that setting every call begins a ledger of
+its own in the shared folder and scans every distinct blob. Two calls at once may both scan
+a new blob; a blob's entries of one version are taken once when read.
 
 Findings are (kind, start, end) in code points, end exclusive, leftmost and
 non-overlapping per kind, ordered by start and then by the order of ``KINDS``.
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paystrata.llm.common import let, matches, sha256_hex, text_or_empty
-from paystrata.session import shared_folder
+from paystrata.session import new_folder
 
 # Kind, pattern, and the group and least length that a match must have.
 BASE_KINDS = (
@@ -46,6 +48,7 @@ ADDED_KINDS = (
 )
 KINDS = BASE_KINDS + ADDED_KINDS
 SCANNER = "1"  # to be raised when the way spans are found changes
+LEDGER_SETTING = "spark.paystrata.secrets.ledger"
 RULE_VERSION = hashlib.sha256(repr((SCANNER, KINDS)).encode()).hexdigest()[:16]
 ENTRY = "blob string, rule_version string, findings array<struct<start:int,rank:int,end:int>>"
 
@@ -144,8 +147,8 @@ def scan_into(documents: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def own_ledger(spark: SparkSession) -> str:
-    """The ledger of the registered query, below the shared folder."""
-    return f"{shared_folder(spark)}/paystrata/secret-ledger"
+    """The ledger that the session names, or a new one below the shared folder."""
+    return spark.conf.get(LEDGER_SETTING, None) or new_folder(spark, "secret-ledger")
 
 
 def with_findings(

@@ -172,24 +172,27 @@ def test_secret_ledger_scans_only_what_is_new(spark, odd, nothing, tmp_path):
     assert secret_scan.digest(nothing).count() == 0
 
 
-def test_the_query_keeps_its_ledger(spark, small):
-    """A second call scans no blob, adds none and gives the same rows."""
+def test_the_query_keeps_the_named_ledger(spark, small, tmp_path):
+    """A second call with it scans no blob, adds none and gives the same rows; one without scans all."""
     from paystrata.llm.queries import QUERIES
 
-    path = secret_scan.own_ledger(spark)
+    path = str(tmp_path / "ledger")
     documents = spark.read.parquet(f"{small}/documents.parquet")
-    blobs = documents.select("text").distinct().count()
-    first = QUERIES["op6_secret_scan"](spark, small).collect()
-    entries = spark.read.parquet(path)
-    assert entries.count() >= blobs
-    _, after = secret_scan.scan(documents, entries)
-    assert after.count() == entries.count()
-    second = QUERIES["op6_secret_scan"](spark, small).collect()
-    assert sorted(first) == sorted(second)
-    assert spark.read.parquet(path).count() == entries.count()
-
-
-def luhn(digits):
+    blobs = documents.select(F.coalesce("text", F.lit(""))).distinct().count()
+    assert secret_scan.own_ledger(spark) != secret_scan.own_ledger(spark)
+    whole = QUERIES["op6_secret_scan"](spark, small).collect()
+    spark.conf.set(secret_scan.LEDGER_SETTING, path)
+    try:
+        first = QUERIES["op6_secret_scan"](spark, small).collect()
+        assert spark.read.parquet(path).count() == blobs
+        second = QUERIES["op6_secret_scan"](spark, small).collect()
+        assert spark.read.parquet(path).count() == blobs
+    finally:
+        spark.conf.unset(secret_scan.LEDGER_SETTING)
+    assert sorted(whole) == sorted(first) == sorted(second)
+
+
+def luhn(def luhn(digits):
     places = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
     return sum(d - 9 if d > 9 else d for d in places) % 10 == 0
 
