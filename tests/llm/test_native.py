@@ -178,7 +178,7 @@ def test_the_query_keeps_the_named_ledger(spark, small, tmp_path):
 
     path = str(tmp_path / "ledger")
     documents = spark.read.parquet(f"{small}/documents.parquet")
-    blobs = documents.select(F.coalesce("text", F.lit(""))).distinct().count()
+    blobs = documents.select(F.coalesce("text", F.lit("")).alias("text")).distinct().count()
     assert secret_scan.own_ledger(spark) != secret_scan.own_ledger(spark)
     whole = QUERIES["op6_secret_scan"](spark, small).collect()
     spark.conf.set(secret_scan.LEDGER_SETTING, path)
@@ -192,7 +192,7 @@ def test_the_query_keeps_the_named_ledger(spark, small, tmp_path):
     assert sorted(whole) == sorted(first) == sorted(second)
 
 
-def luhn(def luhn(digits):
+def luhn(digits):
     places = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
     return sum(d - 9 if d > 9 else d for d in places) % 10 == 0
 
