@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,21 +15,26 @@ def write_sorted(
     spread: Sequence[Column | str] = (),
     partitions: int | None = None,
     mode: str = "errorifexists",
+    made: Callable[[DataFrame], DataFrame] | None = None,
+    places: Mapping[str, Column] | None = None,
 ) -> None:
     """Range-partition and sort by ``keys``, then write Parquet.
 
     ``spread`` columns only widen the range key: rows that share one hot key
     value are cut into several ranges by them instead of filling one task.
     They must depend on the row alone, so that a re-run task gives the same ranges.
+    ``made`` gives the rows to write from those of ``frame``, once they are where they
+    belong, so that only the latter move; ``places`` has the keys that it makes.
     """
-    ranges = [F.col(key) for key in keys]
+    ranges = [(places or {}).get(key, F.col(key)) for key in keys]
     ranges += [F.col(c) if isinstance(c, str) else c for c in spread]
     ranged = (
         frame.repartitionByRange(partitions, *ranges)
         if partitions
         else frame.repartitionByRange(*ranges)
     )
-    ranged.sortWithinPartitions(*keys).write.mode(mode).parquet(path)
+    rows = made(ranged) if made else ranged
+    rows.sortWithinPartitions(*keys).write.mode(mode).parquet(path)
 
 
 def write_with_filters(
