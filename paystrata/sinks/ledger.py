@@ -26,10 +26,6 @@ _COUNTS = ("n", "n_amounts", "n_nan", "n_plus", "n_minus")
 _START = Batch("-", -1)
 
 
-def _signed(rows: DataFrame, sign: int) -> DataFrame:
-    return rows.withColumn("_sign", F.lit(sign).cast("bigint"))
-
-
 class Ledger:
     def __init__(
         self, table: KeyedTable, path: str, dimensions: Sequence[str] = tuple(REPORT_DIMENSIONS),
@@ -84,7 +80,8 @@ class Ledger:
         """Begin a generation with the totals of the table as it is now."""
         names = self.table._names_in(self.path)
         last = max((int(n.split("=")[1]) for n in names if n.startswith("generation=")), default=0)
-        totals = self._totals(_signed(self.table.current(), 1))
+        rows = self.table.current(columns=[*self.dimensions, self.amount])
+        totals = self._totals(rows.withColumn("_sign", F.lit(1).cast("bigint")))
         totals.write.mode("overwrite").parquet(self._folder(last + 1, _START))
         return self
 
@@ -96,22 +93,9 @@ class Ledger:
         if not generation or any(other > batch for other in known):
             self.start()
             return
-        changed = table.log([batch]).select(*table.keys).distinct()
-        slices = table.slices_of(changed)
-        old = self._of_keys(table.current(batch, slices), changed)
-        new = self._of_keys(table.current(None, slices), changed)
-        entry = self._totals(_signed(old, -1).unionByName(_signed(new, 1)))
+        entry = self._totals(table.changes(batch, [*self.dimensions, self.amount]))
         entry.write.mode("overwrite").parquet(self._folder(generation, batch))
 
-    def _of_keys(self, rows: DataFrame, keys: DataFrame) -> DataFrame:
-        wanted = keys.select(*[F.col(k).alias(f"_wanted_{k}") for k in self.table.keys])
-        same = F.lit(True)
-        for k in self.table.keys:
-            same &= F.col(k).eqNullSafe(F.col(f"_wanted_{k}"))
-        return rows.join(wanted, same, "left_semi").select(
-            *self.dimensions, self.amount
-        )
-
     # Totals
 
     def report(self) -> DataFrame:
