@@ -1,11 +1,14 @@
 """Derived forms are sized by their rows, kept compressed, and equal each other."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from paystrata.session import bytes_at
+from paystrata.plans import registry
+from paystrata.session import STATE_STORE, bytes_at, new_folder
+from paystrata.sinks.keyed_table import Batch, KeyedTable
 from paystrata.sinks.layouts import write_sorted
-from paystrata.sources import files, testdata
-from pyspark.sql import functions as F
+from paystrata.sources import files, testdata, topics
+from paystrata.streaming import jobs
 
 
 @pytest.fixture
@@ -60,3 +63,49 @@ def test_what_is_made_after_the_shuffle_is_sorted_too(spark, tmp_path):
     )
     read = spark.read.parquet(path).select("key", "_metadata.file_path", F.monotonically_increasing_id().alias("n"))
     assert [r["key"] for r in read.orderBy("file_path", "n").collect()] == [f"{n:04d}" for n in range(1000)]
+
+
+def upserted(spark, payments):
+    table = KeyedTable(spark, new_folder(spark, "narrow")).create()
+    table.upsert(payments.limit(500), "r0", 0)
+    table.upsert(payments.limit(300).withColumn("amount", F.lit(1.0)), "r0", 1)
+    return table
+
+
+def test_current_rows_carry_only_the_columns_asked_for(spark, payments):
+    table, names = upserted(spark, payments), ["payer", "amount"]
+    narrow, whole = table.current(columns=names), table.current().select(*names)
+    assert narrow.exceptAll(whole).count() == 0 and narrow.count() == whole.count()
+    assert "recipient_city" not in narrow._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_changes_of_a_batch_are_one_pass_over_the_log_in_its_range(spark, payments):
+    table = upserted(spark, payments)
+    changes = table.changes(Batch("r0", 1), ["payer", "amount"])
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "GreaterThanOrEqual(_id" in plan
+    signed = changes.groupBy("_sign").agg(F.count("*"), F.sum("amount")).orderBy("_sign").collect()
+    n = payments.limit(300).select("_id").distinct().count()
+    assert [r[0] for r in signed] == [-1, 1] and [r[1] for r in signed] == [n, n] and signed[1][2] == n
+    with pytest.raises(ValueError, match="last"):
+        table.changes(Batch("r0", 0), ["payer"])
+
+
+def test_micro_batches_do_not_grow_with_the_files(spark, folder, monkeypatch):
+    monkeypatch.setattr(testdata, "_written", {})
+    monkeypatch.setattr(testdata, "partitions_for", lambda _spark, _size: 40)
+    assert registry._files_per_batch(spark, folder) == 10
+    monkeypatch.setattr(testdata, "_written", {})
+    monkeypatch.setattr(testdata, "partitions_for", lambda _spark, _size: 8)
+    assert registry._files_per_batch(spark, folder) == registry.FILES_PER_BATCH
+
+
+def test_report_state_is_on_disk_and_the_session_keeps_its_own(spark, folder):
+    checkpoint, before = new_folder(spark, "checkpoint"), spark.conf.get(STATE_STORE, None)
+    table = jobs.report_table(spark, new_folder(spark, "report")).create()
+    stream = topics.folder_stream(spark, testdata.topics_root(spark, folder), testdata.TOPICS[0])
+    jobs.refresh_report(stream, table, "r0", checkpoint, True).awaitTermination()
+    names = table._names_in(f"{checkpoint}/state/0/0")
+    assert any(n.endswith((".zip", ".changelog")) for n in names)
+    assert not any(n.endswith(".delta") for n in names)
+    assert spark.conf.get(STATE_STORE, None) == before
