@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from paystrata.plans import registry
+from paystrata.plans import registry, views
+from paystrata.schema import PAYMENT_SCHEMA
 from paystrata.session import STATE_STORE, bytes_at, new_folder
 from paystrata.sinks.keyed_table import Batch, KeyedTable
 from paystrata.sinks.layouts import write_sorted
@@ -109,3 +110,35 @@ def test_report_state_is_on_disk_and_the_session_keeps_its_own(spark, folder):
     assert any(n.endswith((".zip", ".changelog")) for n in names)
     assert not any(n.endswith(".delta") for n in names)
     assert spark.conf.get(STATE_STORE, None) == before
+
+
+def tied(spark):
+    """One key twice in a batch without ``_seq``: the greater payer wins, with the less amount."""
+    table = KeyedTable(spark, new_folder(spark, "tied")).create()
+    data = [("k", "1", "d", payer, amount, name, *[None] * 9) for payer, amount, name in
+            [("b", 1.0, "s"), ("a", 9.0, "t")]]
+    table.upsert(spark.createDataFrame(data, PAYMENT_SCHEMA), "r0", 0)
+    return table
+
+
+def test_the_same_row_wins_whatever_columns_are_asked_for(spark):
+    table, names = tied(spark), ["physician_specialty", "amount"]
+    assert [tuple(r) for r in table.current(columns=names).collect()] == [("s", 1.0)]
+    assert [tuple(r) for r in spark.sql(f"SELECT * FROM {table.sql(names)}").collect()] == [("s", 1.0)]
+    assert [tuple(r) for r in table.changes(Batch("r0", 0), names).collect()] == [("s", 1.0, 1)]
+
+
+def test_a_stored_view_moves_only_the_columns_that_it_reads(spark, payments):
+    table = upserted(spark, payments)
+    views.create_stored_views(spark, table.path, "narrow_views")
+    views.create_session_views(spark, table.current())
+    for name in views.VIEWS:
+        stored, plain = spark.table(f"narrow_views.{name}"), spark.table(name)
+        assert stored.columns == plain.columns
+        if name in views.VIEW_COLUMNS:
+            stored, plain = ([(*r[:-1], round(r[-1], 2)) for r in f.collect()] for f in (stored, plain))
+            assert sorted(stored, key=repr) == sorted(plain, key=repr)
+        else:
+            assert stored.exceptAll(plain).count() == 0 and stored.count() == plain.count()
+    frame = spark.table("narrow_views.physicians_by_specialty_revenue")
+    assert "recipient_city" not in frame._jdf.queryExecution().executedPlan().toString()
