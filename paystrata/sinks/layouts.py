@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paystrata.session import TABLE_OPTIONS
+
 
 def write_sorted(
     frame: DataFrame,
@@ -34,7 +36,7 @@ def write_sorted(
         else frame.repartitionByRange(*ranges)
     )
     rows = made(ranged) if made else ranged
-    rows.sortWithinPartitions(*keys).write.mode(mode).parquet(path)
+    rows.sortWithinPartitions(*keys).write.mode(mode).options(**TABLE_OPTIONS).parquet(path)
 
 
 def write_with_filters(

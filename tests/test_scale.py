@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from paystrata.plans import registry, views
 from paystrata.schema import PAYMENT_SCHEMA
-from paystrata.session import STATE_STORE, bytes_at, new_folder
+from paystrata.session import MIB, SCAN_BYTES, STATE_STORE, bytes_at, new_folder, scans_of
 from paystrata.sinks.keyed_table import Batch, KeyedTable
 from paystrata.sinks.layouts import write_sorted
 from paystrata.sources import files, testdata, topics
@@ -142,3 +142,34 @@ def test_a_stored_view_moves_only_the_columns_that_it_reads(spark, payments):
             assert stored.exceptAll(plain).count() == 0 and stored.count() == plain.count()
     frame = spark.table("narrow_views.physicians_by_specialty_revenue")
     assert "recipient_city" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_scan_is_cut_by_its_rows_and_the_session_keeps_its_own(spark, folder):
+    path, before = testdata.joined_path(spark, folder), spark.conf.get(SCAN_BYTES)
+    stored = bytes_at(spark, path)
+    with scans_of(spark, stored, 128 * stored, MIB * 256):
+        assert spark.conf.get(SCAN_BYTES) == str(max(MIB, 2 * MIB * stored // stored))
+    with scans_of(spark, stored, stored // 100):
+        assert spark.conf.get(SCAN_BYTES).rstrip("b") == before.rstrip("b")
+    assert spark.conf.get(SCAN_BYTES) == before
+
+
+def test_derived_tables_are_small(spark, folder, payments):
+    path = testdata.payments_path(spark, folder)
+    assert all(".zstd." in name for name in spark.read.parquet(path).inputFiles())
+    table = upserted(spark, payments)
+    table.fold()
+    table.upsert(payments.limit(5), "r1", 0)
+    for rows in (table.log(table.batches()), table.base()):
+        assert all(".zstd." in name for name in rows.inputFiles())
+
+
+def test_forms_are_sorted_within_a_bounded_scan(spark, folder, monkeypatch):
+    seen, plain = [], testdata.write_sorted
+    monkeypatch.setattr(testdata, "_written", {})
+    monkeypatch.setattr(
+        testdata, "write_sorted",
+        lambda *args, **more: seen.append(int(spark.conf.get(SCAN_BYTES).rstrip("b"))) or plain(*args, **more),
+    )
+    testdata.payments_path(spark, folder)
+    assert seen[0] < 128 * MIB
