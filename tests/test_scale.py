@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from paystrata.plans import registry, views
 from paystrata.schema import PAYMENT_SCHEMA
 from paystrata.session import MIB, SCAN_BYTES, STATE_STORE, bytes_at, new_folder, scans_of
+from paystrata.sinks import keyed_table
 from paystrata.sinks.keyed_table import Batch, KeyedTable
 from paystrata.sinks.layouts import write_sorted
 from paystrata.sources import files, testdata, topics
@@ -173,3 +174,24 @@ def test_forms_are_sorted_within_a_bounded_scan(spark, folder, monkeypatch):
     )
     testdata.payments_path(spark, folder)
     assert seen[0] < 128 * MIB
+
+
+def test_a_log_is_compared_in_tasks_of_few_rows(spark, monkeypatch):
+    """However small the rows are stored: one file here, which one task would read."""
+    monkeypatch.setattr(keyed_table, "SMALL_LOG", 0)
+    table, n, own = KeyedTable(spark, new_folder(spark, "few")).create(), 700_000, spark.conf.get(SCAN_BYTES)
+    values = {"_id": F.md5(F.col("id").cast("string")), "amount": F.col("id").cast("double")}
+    rows = spark.range(n, numPartitions=1).select(
+        *[values.get(f.name, F.lit("same")).cast(f.dataType).alias(f.name) for f in PAYMENT_SCHEMA]
+    )
+    table.upsert(rows, "r0")
+    spark.conf.set("spark.sql.files.minPartitionNum", 1)
+    try:
+        held = table._compared(table.batches())
+        counts = [r["count"] for r in held.groupBy(F.spark_partition_id()).count().collect()]
+        current = table.current()
+        assert current.count() == n and current.sparkSession is spark and held.sparkSession is spark
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert sum(counts) == n and max(counts) <= 2 * keyed_table.ROWS_TOGETHER and len(counts) > 1
+    assert spark.conf.get(SCAN_BYTES) == own
