@@ -23,3 +23,35 @@ def test_longest_arcs_give_the_path_with_steps_back():
     for word in words:
         spelled = word.encode()
         assert machine.path(spelled) == machine._path_with_steps_back(spelled)
+
+
+def by_merges(machine, word):
+    """The tokens of a word by its merges, the least rank first and of equal ones the leftmost."""
+    tokens = [machine.token[word[n : n + 1]] for n in range(len(word))]
+    while True:
+        pairs = [(machine.merge_rank.get(p, bpe.NEVER), n) for n, p in enumerate(zip(tokens, tokens[1:]))]
+        rank, at = min(pairs, default=(bpe.NEVER, 0))
+        if rank == bpe.NEVER:
+            return tokens
+        made = machine.label[tokens[at]] + machine.label[tokens[at + 1]]
+        tokens[at : at + 2] = [machine.token[made]]
+
+
+def test_paths_are_what_the_merges_make():
+    machine, draw = bpe.Automaton(vocabulary()), random.Random(11)
+    words = ["".join(draw.choices(" abcdehinorstuéèç0123'-._\n", k=draw.randint(1, 40))) for _ in range(2000)]
+    words += ["".join(draw.choices(["th", "er", "tion", " an", "le", "st", "ed", "ou"], k=8)) for _ in range(2000)]
+    words += ["你好 😀", " " + "a" * 300, "=" * 100]
+    for word in words:
+        assert machine.path(word.encode()) == by_merges(machine, word.encode())
+
+
+def test_words_in_use_stay_remembered(monkeypatch):
+    monkeypatch.setattr(bpe, "WORD_MEMORY", 20)
+    machine, searched = bpe.Automaton(vocabulary()), []
+    plain = machine.path
+    monkeypatch.setattr(machine, "path", lambda word: searched.append(word) or plain(word))
+    text = "".join(f" the a{chr(97 + n // 26)}{chr(97 + n % 26)}" for n in range(200))
+    ids = machine.encode(text)
+    assert searched.count(b" the") == 1 and len(machine.words) + len(machine.older_words) <= 20
+    assert machine.decode(ids) == text
