@@ -356,6 +356,41 @@ def test_repeats_in_hot_buckets(spark, monkeypatch):
     check_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
 
 
+def test_anchors_of_one_bucket_stay_dealt(spark, monkeypatch):
+    """op1, round 3: runs of one byte have an anchor of one bucket at every place."""
+    generator = random.Random(28)
+    letter = lambda n: "".join(generator.choices("abcdé f", k=n))
+    texts = [letter(200) + "q" * 3000 + letter(200) for _ in range(16)] + passages(generator, 20)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    cut, shares = suffix_dedup.cut, {}
+
+    def share(rows):
+        counts = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+        return max(counts) / sum(counts)
+
+    def watched(rows, purpose):
+        if purpose == "shared-anchors":
+            shares[purpose] = share(rows)
+        return cut(rows, purpose)
+
+    monkeypatch.setattr(suffix_dedup, "cut", watched)
+    options = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+        "spark.sql.files.openCostInBytes": "128m",  # a file a task
+    }
+    before = {k: spark.conf.get(k) for k in options}
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        whole = suffix_dedup.repeated_ranges(frame).where(f"low = 0 and high = {suffix_dedup.REACH}")
+        shares["equal surroundings"] = share(whole)
+        check_repeats(frame)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(shares.values()) < 0.4, shares
+
+
 def test_repeats_odd(odd, nothing):
     check_repeats(odd)
     assert suffix_dedup.digest(nothing).count() == 0
