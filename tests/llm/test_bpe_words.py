@@ -2,8 +2,11 @@
 
 import random
 
+import pyarrow as pa
+
 from paystrata.llm import bpe
 from paystrata.llm.queries import vocabulary
+from tests.llm.brute import sha
 
 
 def test_latin_words_are_the_words_of_the_full_pattern():
@@ -55,3 +58,23 @@ def test_words_in_use_stay_remembered(monkeypatch):
     ids = machine.encode(text)
     assert searched.count(b" the") == 1 and len(machine.words) + len(machine.older_words) <= 20
     assert machine.decode(ids) == text
+
+
+def test_decoded_text_is_read_from_the_ids():
+    """A label that is changed shows in the text, so the text is not that which came in."""
+    machine = bpe.Automaton(vocabulary())
+    machine.label[machine.token[b" the"]] = b" THE"
+    ids, decoded = machine.encode_and_spell("of the cat <|endoftext|>")
+    assert decoded == machine.decode(ids.tolist()) == "of THE cat <|endoftext|>"
+
+
+def test_digest_is_of_the_text_decoded_from_the_ids(monkeypatch):
+    machine = bpe.Automaton(vocabulary())
+    machine.label[machine.token[b" the"]] = b" THE"
+    monkeypatch.setattr(bpe, "automaton", lambda path: machine)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["of the cat", None]})
+    found = next(bpe._digests("any")(iter([batch]))).to_pydict()
+    ids = machine.encode("of the cat")
+    assert found["n_tokens"] == [len(ids), 0]
+    assert found["ids_sha256"] == [sha(",".join(map(str, ids))), sha("")]
+    assert found["decoded_sha256"] == [sha("of THE cat"), sha("")]
