@@ -78,3 +78,14 @@ def test_digest_is_of_the_text_decoded_from_the_ids(monkeypatch):
     assert found["n_tokens"] == [len(ids), 0]
     assert found["ids_sha256"] == [sha(",".join(map(str, ids))), sha("")]
     assert found["decoded_sha256"] == [sha("of THE cat"), sha("")]
+
+
+def test_encode_gives_the_text_decoded_from_the_ids(monkeypatch):
+    """As the pipeline's last stage takes it."""
+    machine = bpe.Automaton(vocabulary())
+    machine.label[machine.token[b" the"]] = b" THE"
+    monkeypatch.setattr(bpe, "automaton", lambda path: machine)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["of the cat", None]})
+    found = next(bpe._tokens("any")(iter([batch]))).to_pydict()
+    assert found["ids"] == [machine.encode("of the cat"), []]
+    assert found["decoded"] == ["of THE cat", ""]
