@@ -40,6 +40,21 @@ def test_text_forms_are_compressed(spark, folder):
     assert bytes_at(spark, testdata.topics_root(spark, folder)) < 60 * lines
 
 
+def test_documents_are_compressed_and_written_within_a_bounded_scan(spark, folder, monkeypatch):
+    seen, plain = [], testdata.scans_of
+    testdata.payments_path(spark, folder)
+    monkeypatch.setattr(testdata, "_written", {k: v for k, v in testdata._written.items() if k[1] != "documents"})
+    monkeypatch.setattr(
+        testdata, "scans_of", lambda spark, stored, size: seen.append((stored, size)) or plain(spark, stored, size)
+    )
+    path = testdata.documents_path(spark, folder)
+    rows = testdata.payments(spark, folder)
+    assert bytes_at(spark, path) < 60 * rows.count()
+    assert seen == [(bytes_at(spark, testdata.payments_path(spark, folder)), rows.count() * testdata.ROW_BYTES)]
+    read = files.bind(files.read_documents(spark, path))
+    assert read.count() == rows.count() and read.exceptAll(rows).count() == 0
+
+
 def test_topics_hold_the_lines_of_the_delimited_copy_in_its_order(spark, folder):
     def in_order(lines):
         rows = lines.select("value", "_metadata.file_path", F.monotonically_increasing_id().alias("n"))
