@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from paystrata.schema import PAYMENT_SCHEMA, REPORT_DIMENSIONS
 from paystrata.session import new_folder
-from paystrata.sinks.keyed_table import Batch, KeyedTable
+from paystrata.sinks import keyed_table
+from paystrata.sinks.keyed_table import Batch, KeyedTable, Layout
 from paystrata.sinks.layouts import write_by_id, write_by_payer
 from paystrata.sources.topics import SEQUENCE, SEQUENCE_TYPE
 from paystrata.streaming import jobs
@@ -260,6 +261,50 @@ def test_a_fold_that_broke_off_is_finished(spark, table, monkeypatch):
     assert content(table) == expected
 
 
+def test_the_first_fold_moves_whole_rows_once_and_stages_nothing(spark, table):
+    table.upsert(many(spark, 0, 300, 1.0), "r0", 0)
+    table.upsert(many(spark, 100, 400, 2.0), "r0", 1)
+    expected, log = content(table), table.log(table.batches())
+    rows = table._newest_in_place(log, [], Layout(4, [("k00150",)]), 8)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert table.fold(buckets=3, slices=3) == [Batch("r0", 0), Batch("r0", 1)]
+    assert table._names_in(f"{table.path}/stage") == [] and table.batches() == []
+    assert content(table) == expected and len(expected) == 400
+
+
+def test_rows_of_hot_keys_are_combined_before_they_move(spark, table, monkeypatch):
+    monkeypatch.setattr(keyed_table, "ROWS_TOGETHER", 50)
+    hot = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit("k"), "id")).otherwise(F.lit("hot")).alias("_id"),
+        F.col("id").cast("double").alias("amount"),
+    )
+    names = [F.col(f.name) if f.name in hot.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in PAYMENT_SCHEMA]
+    table.upsert(hot.select(*names), "r0", 0)
+    expected, log = content(table), table.log(table.batches())
+    n, bins = table._hot_bins(log)
+    assert n == 3000 and bins == [log.where("_id = 'hot'").select(table._bin()).first()[0]]
+    plan = table._newest_in_place(log, bins, Layout(2, []), 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and plan.index("partial_max") < plan.rindex("hashpartitioning")
+    table.fold(buckets=2, slices=3)
+    assert content(table) == expected and len(expected) == 1001 and table.find_key("hot").first().amount == 2999.0
+
+
+@pytest.mark.parametrize("step", ["_take", "_done"])
+def test_a_first_fold_that_broke_off_is_finished(spark, table, monkeypatch, step):
+    table.upsert(many(spark, 0, 200, 1.0), "r0", 0)
+    table.upsert(many(spark, 100, 300, 2.0), "r0", 1)
+    expected = content(table)
+    with monkeypatch.context() as patch:
+        patch.setattr(KeyedTable, step, lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            table.fold(buckets=2, slices=2)
+    assert content(table) == expected and len(table.batches()) == 2
+    table.upsert(many(spark, 0, 10, 7.0), "r1", 0)
+    expected = content(table)
+    table.fold()
+    assert content(table) == expected and table.batches() == []
+
+
 def test_another_session_reads_the_base(spark, table):
     table.upsert(many(spark, 0, 300, 1.0), "r0", 0)
     table.fold(buckets=3, slices=3)
