@@ -2,6 +2,7 @@
 
 import math
 import re
+from random import Random
 
 import pytest
 from hypothesis import given, settings
@@ -206,3 +207,32 @@ def test_many_quotes_do_not_exhaust_the_stack(spark):
     text = '"",' * 40 + '""' * 50_000 + ',"x"' * 10
     assert etl.parse_lines(lines(spark, text)).count() == 1
     assert etl.rejected_lines(lines(spark, '""' * 50_000)).first().n_fields == 1
+
+
+ODD_LINES = [
+    SAMPLE, line(physician_specialty="s"), line(), "", ",", ",,,", '"', 'a,"b', 'a,b,"c,d,', '",",,', ",,\n,",
+    'a,"b,c",,d', '"a""b",,"', "a,b,,", "a,b,", "a,b", '"x,y",z,,\n"q', ",".join(["x"] * 46), ",".join(["x"] * 45) + '"',
+]
+
+
+def test_least_fields_and_cuts_are_those_of_the_split(spark):
+    signs, random = 'ab,,,"" \n', Random(3)
+    texts = ODD_LINES + ["".join(random.choices(signs, k=random.randint(0, 30))) for _ in range(2000)]
+    value, split = F.col("value"), f.split_fields(F.col("value"))
+    for place in (1, 2, 5, 19):
+        short = F.when(F.get(split, F.lit(place)) != "", value).otherwise(
+            F.array_join(F.slice(split, 1, place + 1), ",")
+        )
+        wrong = lines(spark, *texts).where(
+            (f.splits_into(value, place + 1) != (F.size(split) >= place + 1))
+            | (f.cut_where_blank(value, place) != short)
+        )
+        assert wrong.collect() == []
+
+
+def test_only_short_lines_are_split_for_the_rejects(spark):
+    frame = etl.rejected_lines(lines(spark, *ODD_LINES, None))
+    split = etl.split_lines(lines(spark, *ODD_LINES)).select("value", F.size("_fields").alias("n"))
+    assert sorted(map(tuple, frame.collect())) == sorted(map(tuple, split.where(F.col("n") < MIN_FIELDS).collect()))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("RLIKE")
