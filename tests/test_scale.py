@@ -210,3 +210,39 @@ def test_a_log_is_compared_in_tasks_of_few_rows(spark, monkeypatch):
         spark.conf.unset("spark.sql.files.minPartitionNum")
     assert sum(counts) == n and max(counts) <= 2 * keyed_table.ROWS_TOGETHER and len(counts) > 1
     assert spark.conf.get(SCAN_BYTES) == own
+
+
+def test_the_runs_of_a_pass_go_on_side_by_side(spark, folder, monkeypatch):
+    """And where one fails, the others are stopped."""
+    table = KeyedTable(spark, new_folder(spark, "side-by-side")).create()
+    events, plain = [], jobs.upsert_parsed
+
+    class Run:
+        def __init__(self, query, fails):
+            self.query, self.fails = query, fails
+
+        def awaitTermination(self):  # noqa: N802
+            events.append("awaited")
+            if self.fails:
+                raise RuntimeError("lost")
+            self.query.awaitTermination()
+
+        def stop(self):
+            self.query.stop()
+
+    def started(fails):
+        def start(*args, **more):
+            events.append(args[2])
+            return Run(plain(*args, **more), fails)
+
+        return start
+
+    monkeypatch.setattr(jobs, "upsert_parsed", started(False))
+    registry._stream_into(spark, folder, table, 0)
+    assert events == ["pass0-0", "pass0-1", "awaited", "awaited"]
+    assert table.current().count() == testdata.payments(spark, folder).select("_id").distinct().count()
+    assert {b.run_id for b in table.batches()} == {"pass0-0", "pass0-1"}
+    monkeypatch.setattr(jobs, "upsert_parsed", started(True))
+    with pytest.raises(RuntimeError, match="lost"):
+        registry._stream_into(spark, folder, table, 1)
+    assert spark.streams.active == []
